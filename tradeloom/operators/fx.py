@@ -32,7 +32,9 @@ def rate_per_day(daily: DataFrame) -> DataFrame:
     """
     following = F.lead("rate_date").over(W.partitionBy("currency_code").orderBy("rate_date"))
     until = F.coalesce(F.date_sub(following, 1), F.col("rate_date"))
-    return daily.withColumn("rate_date", F.explode(F.sequence("rate_date", until)))
+    spans = daily.withColumn("_until", until)
+    days = F.explode(F.sequence("rate_date", "_until"))
+    return spans.withColumn("rate_date", days).drop("_until")
 
 
 def attach_rates(
