@@ -2,8 +2,8 @@
 
 Everything an order line inherits from its order (customer, store, channel,
 currency, rate, payment) is resolved at order grain first.  The lines are then
-joined once to their finished order header, so the largest table is shuffled at
-most once, on the order id.
+joined once to their finished order header and once to their product; the order
+join comes last, so what follows finds the lines partitioned by order.
 """
 
 from __future__ import annotations
@@ -19,13 +19,34 @@ from tradeloom.operators.joins import lookup_join
 from tradeloom.operators.payments import payment_by_order
 
 
+# Dimension -> (business key, surrogate key) of the joins at order grain.
+HEADER_DIMENSIONS = {
+    "dim_customer": ("customer_id", "customer_key"),
+    "dim_store": ("store_id", "store_key"),
+    "dim_date": ("date_key", "date_key"),
+    "dim_channel": ("channel_key", "channel_key"),
+}
+Carry = dict[str, tuple[str, ...]]
+
+
+def _dimension_columns(name: str, required: tuple[str, ...], carry: Carry) -> list[str]:
+    """Join columns plus the carried attributes, each once."""
+    return list(dict.fromkeys((*required, *carry.get(name, ()))))
+
+
 def order_headers(
     valid: dict[str, DataFrame],
     dims: dict[str, DataFrame],
     fallback: str = "latest",
     with_payment: bool = True,
+    carry: Carry | None = None,
 ) -> DataFrame:
-    """Orders with their keys, rate and payment; orders lacking a key are dropped."""
+    """Orders with their keys, rate and payment; orders lacking a key are dropped.
+
+    ``carry`` names dimension attributes to bring along, so that a report over
+    them needs no second join to the same dimension.
+    """
+    carry = carry or {}
     orders = valid["orders"].select(
         "order_id",
         "customer_id",
@@ -41,10 +62,10 @@ def order_headers(
         code_key(F.col("sales_channel"), C.CHANNELS).alias("channel_key"),
         code_key(F.col("currency"), C.CURRENCIES).alias("currency_key"),
     ).dropna(subset=["date_key", "channel_key", "currency_key"])
-    headers = lookup_join(
-        headers, dims["dim_customer"].select("customer_id", "customer_key"), "customer_id"
-    )
-    headers = lookup_join(headers, dims["dim_store"].select("store_id", "store_key"), "store_id")
+    for name, (business, surrogate) in HEADER_DIMENSIONS.items():
+        if name in carry or business != surrogate:
+            columns = _dimension_columns(name, (business, surrogate), carry)
+            headers = lookup_join(headers, dims[name].select(*columns), business)
     headers = attach_rates(headers, valid["exchange_rates"], fallback=fallback)
     if with_payment:
         headers = lookup_join(headers, payment_by_order(valid["payments"]), "order_id", "left")
@@ -59,14 +80,17 @@ def sales_lines(
     dims: dict[str, DataFrame],
     fallback: str = "latest",
     with_payment: bool = True,
+    carry: Carry | None = None,
 ) -> DataFrame:
     """Order lines with keys and amounts, before the load projection.
 
     ``with_payment=False`` leaves out the payment join, which never adds or
     drops lines, for callers that do not read the payment method.
     """
-    headers = order_headers(valid, dims, fallback, with_payment)
-    products = dims["dim_product"].select("product_id", "product_key", "unit_cost")
+    carry = carry or {}
+    headers = order_headers(valid, dims, fallback, with_payment, carry)
+    required = ("product_id", "product_key", "unit_cost")
+    products = dims["dim_product"].select(*_dimension_columns("dim_product", required, carry))
     items = valid["order_items"].select(
         "order_item_id", "order_id", "product_id", "quantity", "unit_price", "discount_percent"
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tradeloom.contracts import BASE_CURRENCY, RATE
+from tradeloom.contracts import BASE_CURRENCY, CURRENCY_CODES, RATE
 from tradeloom.operators.joins import lookup_join
 
 
@@ -58,8 +58,10 @@ def attach_rates(
         F.col("rate_date").alias(day),
         F.col("rate_to_inr").alias("_exact"),
     )
-    latest = latest_rates(daily).withColumnRenamed("currency_code", currency)
-    joined = lookup_join(lookup_join(frame, exact, [currency, day], "left"), latest, currency, "left")
+    # One row per allowed code: a dozen rows whatever the feed holds, so always broadcast.
+    allowed = daily.filter(F.col("currency_code").isin(*CURRENCY_CODES))
+    latest = F.broadcast(latest_rates(allowed).withColumnRenamed("currency_code", currency))
+    joined = lookup_join(frame, exact, [currency, day], "left").join(latest, currency, "left")
     spare = F.col("latest_rate")
     if fallback == "asof":
         spare = F.when(F.col(day) >= F.col("latest_date"), spare)

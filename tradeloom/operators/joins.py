@@ -12,8 +12,8 @@ BROADCAST_INPUT_LIMIT = 16 * 1024 * 1024
 def input_bytes(df: DataFrame) -> int | None:
     """Bytes the plan scans, from file metadata only; None when not knowable.
 
-    A lookup side is built by projections and lookups that never add rows, so
-    what it scans bounds what it holds.
+    A lookup side is built by projections and lookups that never add rows (or
+    is a calendar, which its days bound), so what it scans bounds what it holds.
     """
     jdf = getattr(df, "_jdf", None)
     if jdf is None:

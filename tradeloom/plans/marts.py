@@ -16,7 +16,7 @@ TOTAL = "decimal(24,2)"
 
 SALES_MARTS: dict[str, tuple[str, str, tuple[str, ...]]] = {
     # mart: (dimension, join key, group columns)
-    "monthly_sales": ("dim_date", "date_key", ("year", "month", "month_name")),
+    "monthly_sales": ("dim_date", "date_key", ("year", "month_number", "month_name")),
     "category_performance": ("dim_product", "product_key", ("category",)),
     "product_performance": (
         "dim_product",
@@ -50,11 +50,23 @@ def _total(name: str) -> Column:
 def sales_mart(name: str, fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Sales, distinct orders, units and profit by one dimension's attributes."""
     dim_name, key, groups = SALES_MARTS[name]
-    dim = dims[dim_name]
-    if name == "monthly_sales":
-        dim = dim.withColumnRenamed("month_number", "month")
-    joined = lookup_join(fact.select(key, *FACT_COLUMNS), dim.select(key, *groups), key)
-    return joined.groupBy(*groups).agg(
+    attributes = dims[dim_name].select(key, *[a for a in groups if a != key])
+    return summarise_lines(name, lookup_join(fact.select(key, *FACT_COLUMNS), attributes, key))
+
+
+def carried(name: str) -> dict[str, tuple[str, ...]]:
+    """The dimension attributes lines must carry for ``summarise_lines``."""
+    dim_name, _, groups = SALES_MARTS[name]
+    return {dim_name: groups}
+
+
+def summarise_lines(name: str, lines: DataFrame) -> DataFrame:
+    """The mart from lines that already carry the dimension's attributes."""
+    groups = [
+        F.col(a).alias("month") if a == "month_number" else F.col(a)
+        for a in SALES_MARTS[name][2]
+    ]
+    return lines.groupBy(*groups).agg(
         _total("net_amount_inr").alias("sales"),
         F.count_distinct("source_order_id").alias("orders"),
         F.sum("quantity").cast("bigint").alias("units"),

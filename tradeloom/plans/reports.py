@@ -15,10 +15,11 @@ from tradeloom.plans.marts import TOTAL, with_year_month
 def top_n(rows: DataFrame, value: str, n: int, tie_break: list[str]) -> DataFrame:
     """The n highest rows, with every row tied to the n-th.
 
-    Spark keeps each task's own top n before the ranks meet in one task.
+    The n-th value is found from each task's own top n and becomes a threshold,
+    so however many rows tie with it, they never gather in one task.
     """
-    ranked = rows.withColumn("_rank", F.rank().over(W.orderBy(F.desc(value))))
-    return ranked.filter(F.col("_rank") <= n).drop("_rank").orderBy(F.desc(value), *tie_break)
+    threshold = rows.select(value).orderBy(F.desc(value)).limit(n).agg(F.min(value)).scalar()
+    return rows.filter(F.col(value) >= threshold).orderBy(F.desc(value), *tie_break)
 
 
 def ranked(rows: DataFrame, value: str, *tie_break: str) -> DataFrame:

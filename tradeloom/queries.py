@@ -24,6 +24,7 @@ from tradeloom.operators.monitoring import ledger_state
 from tradeloom.operators.payments import payment_by_order
 from tradeloom.operators.rules import SPECS
 from tradeloom.plans import marts, measures, reports
+from tradeloom.session import configure
 from tradeloom.sources.sample import LazyFrames, SampleSources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +35,7 @@ class Sample:
     """Lazy frames shared by the queries of one sample directory."""
 
     def __init__(self, spark: SparkSession, directory: str):
-        self.spark = spark
+        self.spark = configure(spark)
         self.tables = SampleSources(spark, directory)
 
     @cached_property
@@ -74,10 +75,7 @@ class Sample:
         )
 
     def _calendar(self) -> DataFrame:
-        span = self.tables.table("orders").select(F.to_date("o_orderdate").alias("d"))
-        first, last = span.agg(F.min("d")).scalar(), span.agg(F.max("d")).scalar()
-        days = self.spark.range(1).select(F.explode(F.sequence(first, last)).alias("d"))
-        return days.select(*calendar_columns(F.col("d")))
+        return self.tables.order_days().select(*calendar_columns(F.col("day")))
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -86,7 +84,10 @@ class Sample:
     def mart(self, name: str) -> DataFrame:
         if name == "delivery_performance":
             return marts.delivery_mart(facts.delivery_events(self.clean, self.star), self.star)
-        return marts.sales_mart(name, self.lines, self.star)
+        lines = facts.sales_lines(
+            self.clean, self.star, with_payment=False, carry=marts.carried(name)
+        )
+        return marts.summarise_lines(name, lines)
 
     @cached_property
     def runs(self) -> DataFrame:

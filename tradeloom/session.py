@@ -11,8 +11,6 @@ RUNTIME_SETTINGS = {
     # A hot join key is split into several tasks even where that costs a shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Python call sites are not recorded on every column expression.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -24,6 +22,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Do not record a Python call site for every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in RUNTIME_SETTINGS.items():
         builder = builder.config(name, value)

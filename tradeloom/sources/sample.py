@@ -168,6 +168,12 @@ class SampleSources:
             return self._order_items(short_ids=dirty)
         return getattr(self, f"_{name}")()
 
+    def order_days(self) -> DataFrame:
+        """Every calendar day from the first to the last order date."""
+        day = self.table("orders").select(F.to_date("o_orderdate").alias("d"))
+        first, last = day.agg(F.min("d")).scalar(), day.agg(F.max("d")).scalar()
+        return self.spark.range(1).select(F.explode(F.sequence(first, last)).alias("day"))
+
     def _places(self) -> DataFrame:
         regions = self.table("region").withColumnRenamed("r_regionkey", "n_regionkey")
         return lookup_join(self.table("nation"), regions, "n_regionkey").select(
@@ -455,8 +461,8 @@ class SampleSources:
         )
 
     def _exchange_rates(self) -> DataFrame:
-        """A rate per traded weekday and currency; NZD is only quoted on Mondays."""
-        days = self.table("orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+        """A rate per weekday and currency; NZD is only quoted on Mondays."""
+        days = self.order_days()
         quotes = F.array(
             *[
                 F.struct(
