@@ -24,7 +24,7 @@ from tradeloom.operators.monitoring import ledger_state
 from tradeloom.operators.payments import payment_by_order
 from tradeloom.operators.rules import SPECS
 from tradeloom.plans import marts, measures, reports
-from tradeloom.session import configure
+from tradeloom.session import configure, cut_lineage
 from tradeloom.sources.sample import LazyFrames, SampleSources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +52,10 @@ class Sample:
 
     @cached_property
     def all_tagged(self) -> dict[str, DataFrame]:
-        return validate.validate_all(self.dirty)
+        """All tables; orders, which three others refer to, are validated once."""
+        return validate.validate_all(
+            self.dirty, keep=lambda name, df: cut_lineage(df) if name == "orders" else df
+        )
 
     @cached_property
     def dq(self) -> DataFrame:
@@ -475,10 +478,15 @@ def merge_dim_customer(s: Sample) -> DataFrame:
 
 
 def _merge_fact(fact: DataFrame, key: str, surrogate: str, changed: str) -> DataFrame:
-    """Two loads overlapping in 1998-1999; the first one held another status."""
+    """Two loads overlapping in 1998-1999; the first one held another status.
+
+    A merge reads its target and its source several times, so both are stored.
+    """
+    fact = cut_lineage(fact)
     first = fact.filter(F.col("date_key") < 20000101).withColumn(changed, F.lit("EARLIER"))
     second = fact.filter(F.col("date_key") >= 19980101)
-    return upsert(dense_keys(first, key, surrogate), second, key, surrogate)
+    target = cut_lineage(dense_keys(first, key, surrogate))
+    return upsert(target, second, key, surrogate)
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -50,3 +50,14 @@ def shared_dir(spark: SparkSession, local_default: str | None = None) -> str:
     if local_default and spark.sparkContext.master.startswith("local"):
         return local_default
     raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+
+
+def cut_lineage(df: DataFrame, local_default: str = "/tmp/tradeloom-checkpoints") -> DataFrame:
+    """Write a frame that several branches read to the shared folder, once.
+
+    A reliable checkpoint: lost executors cost a re-read, not a recomputation.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession, local_default))
+    return df.checkpoint()
