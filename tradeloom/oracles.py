@@ -1283,6 +1283,14 @@ _oracle(
                 )
             },
         },
+    )
+    + " UNION ALL "
+    + _violations(
+        "delivered",
+        {
+            f"{c}_not_negative": f"{c} >= 0"
+            for c in ("delivery_distance_km", "delivery_time_minutes", "delivery_fee")
+        },
     ),
 )
 _oracle(

@@ -76,12 +76,12 @@ def summarise_lines(name: str, lines: DataFrame) -> DataFrame:
 
 def delivery_mart(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Delivery counts, averages and fees by type, status and channel group."""
-    channels = F.broadcast(dims["dim_channel"].select("channel_key", "channel_group"))
+    channels = dims["dim_channel"].select("channel_key", "channel_group")
     count = F.count("*")
     mean_km = F.sum("delivery_distance_km").cast("double") / count
     mean_minutes = F.sum("delivery_time_minutes").cast("double") / count
     return (
-        fact.join(channels, "channel_key")
+        lookup_join(fact, channels, "channel_key")
         .groupBy("delivery_type", "delivery_status", "channel_group")
         .agg(
             count.alias("deliveries"),

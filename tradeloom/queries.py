@@ -101,16 +101,16 @@ class Sample:
         return self.tables.dq_results()
 
 
+def _register(name: str, build: Callable[[Sample], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, directory: build(Sample(spark, directory))
+
+
 def query(build: Callable[[Sample], DataFrame]) -> Callable[[Sample], DataFrame]:
     """Register a builder under its function name."""
-    QUERIES[build.__name__] = lambda spark, directory: build(Sample(spark, directory))
+    _register(build.__name__, build)
     return build
 
 
-def _register(name: str, build: Callable[[Sample], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, directory: build(Sample(spark, directory))
-
-
 # --- landing ---------------------------------------------------------------
 
 
@@ -149,8 +149,7 @@ def seed_if_absent(s: Sample) -> DataFrame:
 # --- scalars ---------------------------------------------------------------
 
 
-@query
-def norm_text_values(s: Sample) -> DataFrame:
+def _norm_text(s: Sample) -> DataFrame:
     return s.dirty["customers"].select(
         "_raw_id",
         norm_text(F.col("city")).alias("city"),
@@ -159,11 +158,10 @@ def norm_text_values(s: Sample) -> DataFrame:
     )
 
 
-QUERIES["norm_text"] = QUERIES.pop("norm_text_values")
+_register("norm_text", _norm_text)
 
 
-@query
-def norm_code_values(s: Sample) -> DataFrame:
+def _norm_code(s: Sample) -> DataFrame:
     return s.dirty["orders"].select(
         "_raw_id",
         norm_code(F.col("sales_channel")).alias("sales_channel"),
@@ -171,7 +169,7 @@ def norm_code_values(s: Sample) -> DataFrame:
     )
 
 
-QUERIES["norm_code"] = QUERIES.pop("norm_code_values")
+_register("norm_code", _norm_code)
 
 
 def _spelling(selector: Column, spellings: list[Column]) -> Column:
@@ -836,7 +834,12 @@ def chk_fk(s: Sample) -> DataFrame:
 
 @query
 def chk_fact_sales(s: Sample) -> DataFrame:
-    return checks.condition_violations(s.lines, checks.fact_sales_conditions())
+    """Value checks of both facts."""
+    sales = checks.condition_violations(s.lines, checks.fact_sales_conditions())
+    events = facts.delivery_events(s.clean, s.star)
+    return sales.unionByName(
+        checks.condition_violations(events, checks.fact_delivery_conditions())
+    )
 
 
 @query
