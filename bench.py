@@ -20,18 +20,15 @@ from tradeloom.session import local_session  # noqa: E402
 HEADLINES = (
     "mart_monthly_sales",
     "mart_category",
-    "mart_product",
     "mart_customer",
     "mart_delivery",
     "fact_sales",
-    "fact_delivery",
     "merge_fact_sales",
     "fx_attach_asof",
     "rules_order_items",
     "dq_results",
     "measures_bundle",
     "top_customers",
-    "chk_fk",
 )
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 

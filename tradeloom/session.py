@@ -20,6 +20,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tradeloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         # Do not record a Python call site for every column expression.
