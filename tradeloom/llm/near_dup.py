@@ -16,8 +16,9 @@
 4. A pair is a link when its weighted Jaccard similarity, over all shingles, is
    at least the threshold.  Classes are the connected components.
 
-Weights: tf * idf, with idf = 1 + ln((N + 1) / (df + 1)) / ln(N + 1), between 1
-and 2, so that the copies of a large group do not weigh less than their edits.
+Weights: tf * idf, with idf = 1 + IDF_SPAN * ln((N + 1) / (df + 1)) / ln(N + 1).
+The span is small on purpose: what a large group of copies shares is frequent
+for that very reason and must not weigh much less than the copies' edits.
 """
 
 from __future__ import annotations
@@ -46,6 +47,9 @@ from tradeloom.llm.prints import (
 
 SHINGLE = 5
 THRESHOLD = 0.8
+IDF_SPAN = 0.25
+# Samples times shingles that are drawn at once.
+CELLS = 1 << 16
 BANDS, ROWS = 16, 4
 #: Lower-cases A-Z and turns every other ASCII character but digits and letters into a space.
 FOLD = bytes(
@@ -97,42 +101,63 @@ def weighted_samples(prints: np.ndarray, weights: np.ndarray, samples: int) -> n
 
     Two sets draw the same with probability of their weighted Jaccard similarity.
     """
-    seeds = multipliers(3 * samples, 11).reshape(samples, 3)
+    seeds = multipliers(3 * samples, 11).reshape(3, samples)
     log_weight = np.log(weights).astype(np.float32)
-    drawn, levels = np.empty(samples, np.uint64), np.empty(samples, np.int64)
-    scale = np.float32(2.0**-32)
-    low = np.uint64(0xFFFFFFFF)
-
-    def uniforms(seed: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-        h = mix(prints ^ seed)
-        return ((h >> np.uint64(32)).astype(np.float32) + np.float32(0.5)) * scale, (
-            (h & low).astype(np.float32) + np.float32(0.5)
-        ) * scale
-
-    tiny = np.float32(1e-30)
-    for k in range(samples):
-        u1, u2 = uniforms(seeds[k, 0])
-        u3, u4 = uniforms(seeds[k, 1])
-        beta, _ = uniforms(seeds[k, 2])
-        r = np.maximum(-np.log(u1 * u2), tiny)  # Gamma(2, 1)
-        c = np.maximum(-np.log(u3 * u4), tiny)
+    out = np.empty(samples, np.uint64)
+    scale, half, tiny = np.float32(2.0**-32), np.float32(0.5), np.float32(1e-30)
+
+    def uniforms(seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        h = mix(prints ^ seed[:, None]).view(np.uint32).reshape(len(seed), -1, 2)
+        return (h[..., 0].astype(np.float32) + half) * scale, (h[..., 1].astype(np.float32) + half) * scale
+
+    step = max(1, CELLS // len(prints))
+    for start in range(0, samples, step):
+        own = seeds[:, start : start + step]
+        u1, u2 = uniforms(own[0])
+        r = np.maximum(-np.log(u1 * u2), tiny)  # Gamma(2, 1), as is c
+        u1, u2 = uniforms(own[1])
+        c = np.maximum(-np.log(u1 * u2), tiny)
+        beta = uniforms(own[2])[0]
         level = np.floor(log_weight / r + beta)
         rank = np.log(c) - r * (level - beta + np.float32(1))
-        i = int(np.argmin(rank))
-        drawn[k], levels[k] = prints[i], level[i]
-    return mix(drawn ^ mix(levels.view(np.uint64)))
+        drawn = np.argmin(rank, axis=1)
+        levels = level[np.arange(len(drawn)), drawn].astype(np.int64).view(np.uint64)
+        out[start : start + step] = prints[drawn] ^ mix(levels)
+    return mix(out)
+
+
+def band_keys(prints: np.ndarray, weights: np.ndarray, alone: float, digest: bytes) -> list[int]:
+    """The keys of a set in all bands; what only this document has is one element of weight ``alone``."""
+    if alone:
+        prints = np.append(prints, np.uint64(xxhash.xxh64_intdigest(digest)))
+        weights = np.append(weights, np.float32(alone))
+    drawn = weighted_samples(prints, weights, BANDS * ROWS).reshape(BANDS, ROWS)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for m, column in zip(multipliers(ROWS, 3), drawn.T, strict=True):
+        keys += column * m
+    return mix(keys).view(np.int64).tolist()
+
+
+def _draw(batches):
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("prints", "weights", "total", "shared", "digest"))
+        keys = [
+            band_keys(np.frombuffer(p, np.uint64), np.frombuffer(w, np.float32), total - shared, digest)
+            for p, w, total, shared, digest in zip(*columns, strict=True)
+        ]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.list_(pa.int64()))], names=[*batch.schema.names, "bands"])
 
 
 def _sets(buckets: int, width: int, n_docs: int, threshold: float):
     scale = np.log(n_docs + 1.0) or 1.0
 
     def sets(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        out = {"id": [], "digest": [], "total": [], "prints": [], "weights": [], "bands": []}
+        out = {name: [] for name in SETS_ARROW.names}
         if rows.num_rows:
             found = Shingles(rows.column("text").cast(pa.binary()).to_pylist(), width)
             starts = bucket_starts(found.prints[found.heads], buckets)
             df = np.repeat(totals_of(answers, starts, found.df), found.df)
-            weight = (found.tf * (1 + np.log((n_docs + 1.0) / (df + 1.0)) / scale)).astype(np.float32)
+            weight = (found.tf * (1 + IDF_SPAN * np.log((n_docs + 1.0) / (df + 1.0)) / scale)).astype(np.float32)
             repeated = df > 1
             n = rows.num_rows
             total = np.bincount(found.doc, weight, n)
@@ -142,7 +167,6 @@ def _sets(buckets: int, width: int, n_docs: int, threshold: float):
             keep = keep[np.argsort(found.doc[keep], kind="stable")]  # by document, prints stay sorted
             ends = np.searchsorted(found.doc[keep], np.arange(n + 1))
             ids = rows.column("id").to_pylist()
-            by_digest: dict[bytes, list] = {}
             for i in np.flatnonzero(going):
                 own = keep[ends[i] : ends[i + 1]]
                 prints, weights = found.prints[own], weight[own]
@@ -153,38 +177,26 @@ def _sets(buckets: int, width: int, n_docs: int, threshold: float):
                 state.update(weights.tobytes())
                 if alone:  # what only this document has
                     state.update(b"%d" % ids[i])
-                digest = state.digest()
-                if digest not in by_digest:
-                    all_prints, all_weights = prints, weights
-                    if alone:
-                        all_prints = np.append(prints, np.uint64(xxhash.xxh64_intdigest(digest)))
-                        all_weights = np.append(weights, np.float32(alone))
-                    drawn = weighted_samples(all_prints, all_weights, BANDS * ROWS).reshape(BANDS, ROWS)
-                    keys = np.zeros(BANDS, np.uint64)
-                    for m, column in zip(multipliers(ROWS, 3), drawn.T, strict=True):
-                        keys += column * m
-                    keys = mix(keys + np.arange(BANDS, dtype=np.uint64))
-                    by_digest[digest] = keys.view(np.int64).tolist()
                 out["id"].append(ids[i])
-                out["digest"].append(digest)
+                out["digest"].append(state.digest())
                 out["total"].append(float(total[i]))
+                out["shared"].append(float(total[i]) - alone)
                 out["prints"].append(prints.tobytes())
                 out["weights"].append(weights.tobytes())
-                out["bands"].append(by_digest[digest])
         return pa.table(out, schema=SETS_ARROW)
 
     return sets
 
 
-SETS = "id long, digest binary, total double, prints binary, weights binary, bands array<long>"
+SETS = "id long, digest binary, total double, shared double, prints binary, weights binary"
 SETS_ARROW = pa.schema(
     [
         ("id", pa.int64()),
         ("digest", pa.binary()),
         ("total", pa.float64()),
+        ("shared", pa.float64()),
         ("prints", pa.binary()),
         ("weights", pa.binary()),
-        ("bands", pa.list_(pa.int64())),
     ]
 )
 
@@ -204,17 +216,21 @@ def _similar(threshold: float):
     return similar
 
 
+def _possible(x: str, y: str, threshold: float):
+    """Whether two sets can reach the threshold, from their totals and repeated weights alone.
+
+    They share at most the smaller repeated weight r, so their similarity is
+    at most r / (total_x + total_y - r).
+    """
+    most = F.least(f"shared_{x}", f"shared_{y}")
+    return most * (1 + threshold) >= (threshold - 1e-6) * (F.col(f"total_{x}") + F.col(f"total_{y}"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, linked) for pairs (a, b); pairs whose total weights alone exclude a link are dropped first."""
-    totals = sets.select("id", "total")
-    near = (
-        pairs.join(totals.toDF("a", "ta"), "a")
-        .join(totals.toDF("b", "tb"), "b")
-        .where(F.least("ta", "tb") >= (threshold - 1e-6) * F.greatest("ta", "tb"))
-    )
-    full = near.join(sets.select(F.col("id").alias("b"), F.col("prints").alias("pb"), F.col("weights").alias("wb")), "b").join(
-        sets.select(F.col("id").alias("a"), F.col("prints").alias("pa"), F.col("weights").alias("wa")), "a"
-    )
+    """(a, b, linked) for pairs (a, b)."""
+    full = pairs.select("a", "b").join(
+        sets.select(F.col("id").alias("b"), F.col("prints").alias("pb"), F.col("weights").alias("wb"), F.col("total").alias("tb")), "b"
+    ).join(sets.select(F.col("id").alias("a"), F.col("prints").alias("pa"), F.col("weights").alias("wa"), F.col("total").alias("ta")), "a")
     columns = full.select("a", "b", "pa", "wa", "ta", "pb", "wb", "tb")
     return columns.mapInArrow(_similar(threshold), "a long, b long, linked boolean")
 
@@ -250,25 +266,33 @@ def near_duplicates(
     )
     member = sets.select("id", "digest").join(copies, "digest").groupBy("id").agg(F.min("rep").alias("rep"))
     heads = sets.join(copies.select(F.col("rep").alias("id"), "digest"), ["id", "digest"]).dropDuplicates(["id"])
-    heads = written(heads, "heads")
-    bands = heads.select("id", F.explode("bands").alias("key"))
-    buckets = written(bands.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
-    in_bucket = written(bands.join(buckets, "key").select("key", "a", "id"), "in_bucket")
-    stars = in_bucket.where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    heads = written(heads.mapInArrow(_draw, f"{SETS}, bands array<long>"), "heads")
+    bands = heads.select("id", "total", "shared", F.explode("bands").alias("key"))
+    least = F.min(F.struct(F.col("id"), F.col("total"), F.col("shared"))).alias("hub")
+    buckets = bands.groupBy("key").agg(least, F.min("total").alias("least_total"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets = written(buckets.select("key", "least_total", F.col("hub.id").alias("a"), F.col("hub.total").alias("total_a"), F.col("hub.shared").alias("shared_a")), "buckets")
+    own = F.col("id").alias("b"), F.col("total").alias("total_b"), F.col("shared").alias("shared_b")
+    in_bucket = written(bands.join(buckets, "key").select("key", "least_total", "a", "total_a", "shared_a", *own), "in_bucket")
+    stars = in_bucket.where(F.col("a") != F.col("b")).where(_possible("a", "b", threshold)).select("a", "b").distinct()
     first = written(_verified(stars, heads, threshold), "stars")
     links = first.where("linked").select("a", "b")
     classes = components(links)
 
     # Buckets that still span several classes.
-    classed = in_bucket.join(classes, "id", "left").select("key", "id", F.coalesce("class_id", "id").alias("class"))
+    columns = "key", "b", "total_b", "shared_b", "least_total", F.coalesce("class_id", "b").alias("class")
+    classed = written(in_bucket.join(classes.withColumnRenamed("id", "b"), "b", "left").select(*columns), "classed")
     per_class = classed.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
     main = per_class.groupBy("key").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.count(F.lit(1)).alias("classes"))
-    open_buckets = written(classed.join(main.where("classes > 1"), "key").select("key", "id", "class", "main"), "open")
-    strays = open_buckets.where("class <> main").select("key", F.col("id").alias("x"), F.col("class").alias("cx"))
-    others = open_buckets.select("key", F.col("id").alias("y"), F.col("class").alias("cy"), (F.col("class") == F.col("main")).alias("in_main"))
+    main = written(main.where("classes > 1").select("key", "main"), "main")
+    # A stray that could reach the threshold with no member of the bucket, not even the lightest, has no pair.
+    alive = F.col("shared_b") * (1 + threshold) >= (threshold - 1e-6) * (F.col("total_b") + F.col("least_total"))
+    open_buckets = written(classed.where(alive).join(main, "key"), "open")
+    strays = open_buckets.where("class <> main").select("key", *[F.col(f"{c}_b").alias(f"{c}_x") for c in ("total", "shared")], F.col("b").alias("x"), F.col("class").alias("class_x"))
+    others = open_buckets.select("key", *[F.col(f"{c}_b").alias(f"{c}_y") for c in ("total", "shared")], F.col("b").alias("y"), F.col("class").alias("class_y"), (F.col("class") == F.col("main")).alias("in_main"))
+    allowed = (F.col("class_x") != F.col("class_y")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & _possible("x", "y", threshold)
     crossing = (
-        strays.join(others, "key")
-        .where("cx <> cy AND (in_main OR x < y)")
+        strays.withColumnRenamed("key", "key_x")
+        .join(others, (F.col("key_x") == F.col("key")) & allowed)
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
         .join(first.select("a", "b"), ["a", "b"], "left_anti")
