@@ -28,11 +28,11 @@ NO_PAIR = np.int64(1) << 62
 # Words with more pairs than this go through a tree of their own.
 LONG_WORD = 256
 # Cells of one matrix of trees.
-CELLS = 1 << 20
+CELLS = 1 << 18
 # Distinct chunks whose encodings a task remembers; then it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 # Rows whose chunks are learnt together, and rows of one output batch: ids take more room than texts.
-IN_ROWS, OUT_ROWS = 4096, 256
+IN_ROWS, OUT_ROWS = 768, 256
 
 
 def byte_alphabet() -> list[str]:

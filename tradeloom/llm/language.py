@@ -30,8 +30,8 @@ EM_ROUNDS = 4
 # Added to the expected count of every piece, and of the unknown character.
 SMOOTHING = 0.05
 # Distinct words a task remembers; then it starts afresh.
-REMEMBERED = 400_000
-ROWS = 2048
+REMEMBERED = 200_000
+ROWS = 768
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -109,16 +109,20 @@ def _piece(parts: list[tuple[bytes, int, int, int]]):
     return data, at, own >= np.repeat([p[2] for p in parts], sizes), np.repeat([p[3] for p in parts], sizes)
 
 
-def count_contexts(texts: list[bytes], order: int = ORDER) -> list[np.ndarray]:
-    """Counts by (context, byte) for context lengths 0 to ``order``, as flat arrays; contexts stay inside a text."""
-    out = [np.zeros(SYMBOLS ** (n + 1), np.int64) for n in range(order + 1)]
+def count_contexts(texts: list[bytes], order: int = ORDER, out: list[np.ndarray] | None = None) -> list[np.ndarray]:
+    """Counts by (context, byte) for context lengths 0 to ``order``, as flat arrays; contexts stay inside a text.
+
+    Added to ``out`` where it is given.  32 bits are enough for the bytes of one task.
+    """
+    if out is None:
+        out = [np.zeros(SYMBOLS ** (n + 1), np.uint32) for n in range(order + 1)]
     for data, at, counts, _ in _pieces(texts, order):
         key = np.zeros(len(data), np.int64)
         for n in range(order + 1):
             if n:
                 key[n:] += data[:-n] << (8 * n) if len(data) > n else 0
             found, times = np.unique((key + data)[counts & (at >= n)], return_counts=True)
-            out[n][found] += times
+            out[n][found] += times.astype(np.uint32)
     return out
 
 
@@ -179,8 +183,7 @@ def _partial_counts(order: int):
         sums = None
         for batch in batches:
             texts = [t for t in batch.column("text").cast(pa.binary()).to_pylist() if t]
-            counts = count_contexts(texts, order)
-            sums = counts if sums is None else [a.__iadd__(b) for a, b in zip(sums, counts, strict=True)]
+            sums = count_contexts(texts, order, sums)
         for n, flat in enumerate(sums or []):
             at = np.flatnonzero(flat)
             for shard in range(SHARDS):

@@ -188,7 +188,7 @@ OP7_SQL = r"""
 WITH doc AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
 ), win AS (
-  SELECT doc_id, i, hash(words[i : i + 12]) AS h, md5(array_to_string(words[i : i + 12], ' ')) AS win
+  SELECT doc_id, i, md5(array_to_string(words[i : i + 12], ' ')) AS win
   FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 11, 1))) AS i FROM doc)
 ), first AS (
   SELECT win, min(doc_id) AS first FROM win GROUP BY win
@@ -204,4 +204,26 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
 FROM doc LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_warc": OP2_SQL, "op7_substring_dedup": OP7_SQL.replace("hash(words[i : i + 12]) AS h, ", "")}
+ESCAPES = r"\\|</?s>|\[/?ROLE\]|\[/?INST\]|<image>|<audio>|<document>"
+
+OP8_SQL = f"""
+WITH message AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn)) AS loss_sha256,
+  CAST(sum(length('<s>[ROLE][/ROLE][INST][/INST]</s>') + length(role) + length(text)
+    + len(regexp_extract_all(role, '{ESCAPES}')) + len(regexp_extract_all(text, '{ESCAPES}'))) AS BIGINT) AS formatted_chars
+FROM message GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_decontamination": OP1_SQL,
+    "op2_warc": OP2_SQL,
+    "op7_substring_dedup": OP7_SQL,
+    "op8_chat": OP8_SQL,
+}
