@@ -5,6 +5,7 @@ import sys
 import tempfile
 
 import pytest
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -13,8 +14,8 @@ from tradeloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
+    # Where nothing else is set, the session is made with a shared folder of its own.
+    SparkSession.builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tradeloom-"))
     session = local_session(cores=8, shuffle_partitions=4)
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tradeloom-"))
     yield session
     session.stop()

@@ -45,6 +45,10 @@ def test_dates(spark):
         "2020-01-15 10:20:30.5": date(2020, 1, 15), "2020/01/15": date(2020, 1, 15),
         "2020-02-30": None, "not-a-date": None, "": None, "2020-01-15 later": None, "2020-13-45": None,
         "13/13/2020": None,
+        "01/02/20": date(2020, 1, 2), "05/06/87": date(1987, 5, 6), "01/15/2020 10:30": date(2020, 1, 15),
+        "Jan 5 2020 10:00": date(2020, 1, 5), "2020/01": date(2020, 1, 1), "Jan 2020": date(2020, 1, 1),
+        "Sun, 05 Jan 2020": date(2020, 1, 5), "20200115103000": date(2020, 1, 15), "Sept 5 2020": date(2020, 9, 5),
+        "2020-01-15 10:30 PM": date(2020, 1, 15),
     }
     assert dict(zip(cases, many(spark, list(cases), "string", parse.parse_date))) == cases
 

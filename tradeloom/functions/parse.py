@@ -17,8 +17,19 @@ ISO_DATE_PATTERN = (
 )
 NUMERIC_DATE_PATTERN = r"^[0-9]{1,4}[-/.][0-9]{1,2}[-/.][0-9]{1,4}$"
 NAMED_DATE_PATTERN = r"[A-Za-z]{3}"
+SHORT_YEAR_PATTERN = r"^[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{2}$"
+YEAR_MONTH_PATTERN = r"^[0-9]{4}[-/.][0-9]{1,2}$"
+CLOCK_PATTERN = (
+    r"(?i)[ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?( ?[AP]M)?( ?(Z|UTC|GMT|[+-][0-9]{2}:?[0-9]{2}))?$"
+)
+WEEKDAY_PATTERN = r"(?i)^(mon|tues?|wed(nes)?|thu(rs)?|fri|sat(ur)?|sun)(day)?[,.]? "
 NUMERIC_DATE_FORMATS = ("M-d-yyyy", "d-M-yyyy", "yyyy-M-d")
-NAMED_DATE_FORMATS = ("MMM d yyyy", "d MMM yyyy", "MMMM d yyyy", "d MMMM yyyy", "yyyy MMM d")
+SHORT_YEAR_FORMATS = ("M-d-yy", "d-M-yy")
+NAMED_DATE_FORMATS = (
+    "MMM d yyyy", "d MMM yyyy", "MMMM d yyyy", "d MMMM yyyy", "yyyy MMM d", "MMM yyyy", "MMMM yyyy"
+)
+# Two-digit years from this one on are of the last century.
+LAST_CENTURY = 2069
 
 
 def parse_numeric(c: Column) -> Column:
@@ -47,19 +58,29 @@ def parse_date(c: Column) -> Column:
 
     The branches are ordered from the common spelling to the rare one and each
     is guarded, so a well-formed ISO value costs one match and one cast.
-    Relative words (``now``, ``today``) and clock-only values are not dates here.
+    A weekday in front and a clock time behind are ignored; a month stands for
+    its first day.  Relative words (``now``, ``today``) and clock-only values
+    are not dates here.
     """
     t = F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
-    dashed = F.regexp_replace(t, r"[/.]", "-")
-    named = F.initcap(F.trim(F.regexp_replace(t, r"[-,/. ]+", " ")))
     iso = F.when(t.rlike(ISO_DATE_PATTERN), t.try_cast("date"))
-    compact = F.when(t.rlike(r"^[0-9]{8}$"), F.try_to_date(t, "yyyyMMdd"))
-    numeric = F.when(
-        t.rlike(NUMERIC_DATE_PATTERN),
-        F.coalesce(*[F.try_to_date(dashed, f) for f in NUMERIC_DATE_FORMATS]),
+    compact = F.when(t.rlike(r"^[0-9]{8}([0-9]{6})?$"), F.try_to_date(F.substring(t, 1, 8), "yyyyMMdd"))
+    day = F.regexp_replace(F.regexp_replace(t, WEEKDAY_PATTERN, ""), CLOCK_PATTERN, "")
+    dashed = F.regexp_replace(day, r"[/.]", "-")
+    named = F.initcap(F.trim(F.regexp_replace(day, r"[-,/. ]+", " ")))
+    named = F.regexp_replace(named, r"\bSept\b", "Sep")
+    short = F.coalesce(*[F.try_to_date(dashed, f) for f in SHORT_YEAR_FORMATS])
+    short = F.when(F.year(short) >= LAST_CENTURY, F.add_months(short, -1200)).otherwise(short)
+    numeric = (
+        F.when(day.rlike(SHORT_YEAR_PATTERN), short)
+        .when(day.rlike(YEAR_MONTH_PATTERN), F.try_to_date(F.concat(dashed, F.lit("-1")), "yyyy-M-d"))
+        .when(
+            day.rlike(NUMERIC_DATE_PATTERN),
+            F.coalesce(*[F.try_to_date(dashed, f) for f in NUMERIC_DATE_FORMATS]),
+        )
     )
     by_name = F.when(
-        t.rlike(NAMED_DATE_PATTERN),
+        day.rlike(NAMED_DATE_PATTERN),
         F.coalesce(*[F.try_to_date(named, f) for f in NAMED_DATE_FORMATS]),
     )
     return F.coalesce(iso, compact, numeric, by_name)

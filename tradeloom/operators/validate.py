@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tradeloom.contracts import OVERALL_RULE, QUALITY_THRESHOLD, SOURCE_TABLES
+from tradeloom.contracts import OVERALL_RULE, QUALITY_THRESHOLD, SOURCE_SCHEMAS, SOURCE_TABLES
 from tradeloom.functions.parse import parse_date, parse_decimal
 from tradeloom.functions.text import norm_code, norm_text
 from tradeloom.operators.joins import lookup_join
@@ -88,12 +88,13 @@ def tag(spec: TableSpec, raw: DataFrame, parents: dict[str, DataFrame] | None =
         F.when(rule.hit, F.lit(1 << i)).otherwise(F.lit(0)) for i, rule in enumerate(spec.rules())
     ]
     working = _working_types(spec)
-    # A number beyond the working type cannot be stored, so its record is bad:
-    # it counts against the rule that says the number is invalid.
+    # A number beyond the working type, or beyond the type its table is loaded with, cannot
+    # be stored, so its record is bad: it counts against the rule that says it is invalid.
     names = [r.name for r in spec.rules()]
     for n in (*spec.numbers, *spec.integers):
         rule = _range_rule(n, names)
-        too_big = F.col(n).isNotNull() & working[n].isNull()
+        loaded = F.col(n).try_cast(SOURCE_SCHEMAS[spec.name][n])
+        too_big = F.col(n).isNotNull() & (working[n].isNull() | loaded.isNull())
         bits[rule] = F.when(too_big, F.lit(1 << rule)).otherwise(bits[rule])
     hits = reduce(lambda a, b: a.bitwiseOR(b), bits)
     return df.withColumn(HITS, hits).select(
@@ -270,21 +271,17 @@ def overall_score(scores: DataFrame) -> DataFrame:
 
 
 def gate(scores: DataFrame, threshold: float = QUALITY_THRESHOLD) -> tuple[bool, float, list[str]]:
-    """Collect the scores (one row per table) and say whether the load may go on."""
-    messages = []
-    checked = rejected = 0
-    rows = {r["table_name"]: r for r in scores.collect()}
-    for name in (t for t in SOURCE_TABLES if t in rows):
-        row = rows[name]
-        checked += row["records_checked"]
-        rejected += row["records_rejected"]
-        if row["records_checked"] == 0:
-            messages.append(f"{name}: no records extracted (quality 0%)")
-        elif not row["passed"]:
-            messages.append(
-                f"{name}: quality {row['quality_score']:.2f}% is below threshold "
-                f"{threshold:.2f}% (valid={row['records_checked'] - row['records_rejected']}, "
-                f"total={row['records_checked']})"
-            )
+    """Collect the scores (one row per table) and say whether the load may go on.
+
+    Every source table must be there and pass; one without a score has none of its records valid.
+    """
+    found = {r["table_name"]: (r["records_checked"], r["records_rejected"], r["passed"]) for r in scores.collect()}
+    judged = {name: found.get(name, (0, 0, False)) for name in SOURCE_TABLES}
+    messages = [
+        f"{name} passes {100 * (n - bad) / n if n else 0:.2f}% of {n} records, needs {threshold:.2f}%"
+        for name, (n, bad, passed) in judged.items()
+        if not passed
+    ]
+    checked, rejected = (sum(j[i] for j in judged.values()) for i in (0, 1))
     overall = (checked - rejected) / checked * 100.0 if checked else 0.0
     return not messages, overall, messages

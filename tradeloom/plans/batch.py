@@ -22,7 +22,7 @@ from tradeloom.operators.rules import SPECS
 from tradeloom.plans import marts
 from tradeloom.session import configure, shared_dir
 from tradeloom.sources.csv_scan import extract
-from tradeloom.sources.tables import Table
+from tradeloom.sources.tables import Table, delete
 
 PIPELINE = "retail_batch"
 SUCCESS, FAILED, RUNNING = "SUCCESS", "FAILED", "RUNNING"
@@ -88,7 +88,7 @@ def run_batch(
     warehouse_path: str,
     rejects_path: str,
     threshold: float = C.QUALITY_THRESHOLD,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> RunReport:
     """Run the whole batch once.  Failures are recorded in the ledger, not raised."""
     configure(spark)
@@ -107,7 +107,9 @@ def run_batch(
             report.status = SUCCESS
     except Exception as error:  # the ledger must learn about any failure
         report.status = FAILED
-        report.error_message = f"{error}\n{traceback.format_exc()[-2000:]}"
+        report.error_message = f"{error}\n{traceback.format_exc()}"
+    finally:
+        delete(spark, work)  # what the run kept for itself
     _close_run(warehouse, report)
     return report
 
@@ -174,7 +176,7 @@ def _gate(
     report.gate_messages = messages
     if not passed:
         report.status = FAILED
-        report.error_message = "Quality gate failed: " + "; ".join(messages)
+        report.error_message = "below the quality threshold: " + "; ".join(messages)
     return passed
 
 

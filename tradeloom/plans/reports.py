@@ -41,12 +41,13 @@ def revenue_by_year(monthly: DataFrame, where: Column | None = None) -> DataFram
 
 def sales_with_share(mart: DataFrame, by: str) -> DataFrame:
     """Sales and profit by one attribute with revenue share and margin, best first."""
-    whole = mart.agg(M.money_total("sales")).scalar()
     groups = M.summarise(
         mart,
         {"sales": M.money_total("sales"), "profit": M.money_total("profit"), "profit_margin": M.margin()},
         [by],
     )
+    # The groups are few and add up to the whole, so the mart is evaluated once.
+    whole = F.sum("sales").over(W.partitionBy()).cast(TOTAL)
     return ranked(
         groups.withColumn("revenue_share", safe_divide(F.col("sales"), whole)), "sales", by
     )

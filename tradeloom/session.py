@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
@@ -53,12 +55,15 @@ def shared_dir(spark: SparkSession, local_default: str | None = None) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
-def cut_lineage(df: DataFrame, local_default: str = "/tmp/tradeloom-checkpoints") -> DataFrame:
-    """Write a frame that several branches read to the shared folder, once.
+def cut_lineage(df: DataFrame, name: str = "rows") -> DataFrame:
+    """Write a frame that several branches read to the shared folder, once, as Parquet.
 
-    A reliable checkpoint: lost executors cost a re-read, not a recomputation.
+    Lost executors cost a re-read, not a recomputation, and each branch reads
+    only its columns.  The files go when the driver's JVM ends.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession, local_default))
-    return df.checkpoint()
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark, 'spark-warehouse/shared').rstrip('/')}/tradeloom-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    df.write.parquet(f"{folder}/{name}")
+    return spark.read.schema(df.schema).parquet(f"{folder}/{name}")

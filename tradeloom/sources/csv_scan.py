@@ -2,33 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tradeloom.contracts import SOURCE_TABLES
 from tradeloom.sources.tables import exists
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """One extract (a file, or a folder of files) without type inference.
 
-    Quotes are escaped by doubling.  ``multi_line`` accepts line breaks inside
-    quoted cells, at the price of one task per file; extracts without them can
-    be read split.  ``_raw_id`` rises along a file.
+    Quotes are escaped by doubling.  Files are read split; ``multi_line``
+    accepts line breaks inside quoted cells, at the price of one task per file.
+    All files of a folder have the same header: one whose columns differ, or
+    come in another order, fails the read, as does a line with more or fewer
+    cells than its header.  ``_raw_id`` rises along a file.
     """
-    scan = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("inferSchema", False)
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    names = reader.option("inferSchema", False).csv(path).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    scan = reader.schema(schema).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
     return scan.select(
         F.monotonically_increasing_id().alias("_raw_id"),
         *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in scan.columns],
     )
 
 
-def extract(spark: SparkSession, directory: str, multi_line: bool = True) -> dict[str, DataFrame]:
+def extract(spark: SparkSession, directory: str, multi_line: bool = False) -> dict[str, DataFrame]:
     """The eight extracts; a missing folder or file is an error before anything is read."""
     if not exists(spark, directory):
         raise FileNotFoundError(f"input directory not found: {directory}")

@@ -22,7 +22,7 @@ from tradeloom.contracts import (
     SOURCE_TABLES,
     STORE_TYPES,
 )
-from tradeloom.operators.joins import input_bytes, lookup_join
+from tradeloom.operators.joins import lookup_join
 
 TABLE_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -40,9 +40,6 @@ TABLE_SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
     "value double, props string",
 }
-SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
-SPREAD_FROM = 1024 * 1024
-ROW_GROUP_BYTES = 16 * 1024 * 1024
 SEGMENT_BY_MARKET = {
     "AUTOMOBILE": "NEW",
     "BUILDING": "REGULAR",
@@ -132,18 +129,10 @@ class SampleSources:
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """A sample table; one too small to have a row group per core is spread out.
-
-        Large tables come with enough row groups of their own and are left alone.
-        """
+        """A sample table, as Spark reads it at every size."""
         if name not in self._tables:
             reader = self.spark.read.schema(TABLE_SCHEMAS[name])
-            df = reader.parquet(f"{self.directory}/{name}.parquet")
-            cores = self.spark.sparkContext.defaultParallelism
-            size = input_bytes(df) if name in SPREAD_BY else None
-            if size is not None and SPREAD_FROM <= size < cores * ROW_GROUP_BYTES:
-                df = df.repartition(cores, SPREAD_BY[name])
-            self._tables[name] = df
+            self._tables[name] = reader.parquet(f"{self.directory}/{name}.parquet")
         return self._tables[name]
 
     def staged(self, name: str) -> DataFrame:

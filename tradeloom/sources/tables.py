@@ -24,12 +24,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
 class Table:
     """A replaceable or append-only Parquet table."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, kept_versions: int = KEPT_VERSIONS):
+        """``kept_versions``: how many complete versions stay; a reader of an older one loses its files."""
         self.spark = spark
         self.path = path
+        self.kept_versions = kept_versions
 
     def _versions(self) -> list[int]:
         fs, p = _path(self.spark, self.path)
@@ -51,13 +58,12 @@ class Table:
         return self.spark.read.parquet(self._folder(self._complete()[-1]))
 
     def replace(self, df: DataFrame) -> DataFrame:
-        """Write a new version and return it; older versions than the last two go."""
+        """Write a new version and return it; versions older than those kept go."""
         done = self._complete()
         version = (self._versions() or [0])[-1] + 1
         df.write.parquet(self._folder(version))
-        for old in (done + [version])[:-KEPT_VERSIONS]:
-            fs, p = _path(self.spark, self._folder(old))
-            fs.delete(p, True)
+        for old in (done + [version])[: -self.kept_versions]:
+            delete(self.spark, self._folder(old))
         return self.spark.read.parquet(self._folder(version))
 
     def append(self, df: DataFrame) -> None:
