@@ -286,13 +286,15 @@ def near_duplicates(
     main = written(main.where("classes > 1").select("key", "main"), "main")
     # A stray that could reach the threshold with no member of the bucket, not even the lightest, has no pair.
     alive = F.col("shared_b") * (1 + threshold) >= (threshold - 1e-6) * (F.col("total_b") + F.col("least_total"))
-    open_buckets = written(classed.where(alive).join(main, "key"), "open")
-    strays = open_buckets.where("class <> main").select("key", *[F.col(f"{c}_b").alias(f"{c}_x") for c in ("total", "shared")], F.col("b").alias("x"), F.col("class").alias("class_x"))
-    others = open_buckets.select("key", *[F.col(f"{c}_b").alias(f"{c}_y") for c in ("total", "shared")], F.col("b").alias("y"), F.col("class").alias("class_y"), (F.col("class") == F.col("main")).alias("in_main"))
+    open_buckets = classed.where(alive).join(main, "key")
+    # With all keys of a member at hand, a pair is made only in the first bucket that both are in.
+    open_buckets = written(open_buckets.join(heads.select(F.col("id").alias("b"), "bands"), "b"), "open")
+    strays = open_buckets.where("class <> main").select("key", *[F.col(f"{c}_b").alias(f"{c}_x") for c in ("total", "shared")], F.col("b").alias("x"), F.col("class").alias("class_x"), F.col("bands").alias("bands_x"))
+    others = open_buckets.select("key", *[F.col(f"{c}_b").alias(f"{c}_y") for c in ("total", "shared")], F.col("b").alias("y"), F.col("class").alias("class_y"), F.col("bands").alias("bands_y"), (F.col("class") == F.col("main")).alias("in_main"))
     allowed = (F.col("class_x") != F.col("class_y")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & _possible("x", "y", threshold)
     crossing = (
         strays.withColumnRenamed("key", "key_x")
-        .join(others, (F.col("key_x") == F.col("key")) & allowed)
+        .join(others, (F.col("key_x") == F.col("key")) & allowed & (F.array_intersect("bands_x", "bands_y")[0] == F.col("key")))
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
         .join(first.select("a", "b"), ["a", "b"], "left_anti")
