@@ -91,6 +91,35 @@ def test_substring_dedup_equals_brute_force(spark, monkeypatch, blocks):
         assert sum(b - a for a, b in zip(edges[::2], edges[1::2], strict=True)) == r["n_removed"]
 
 
+def expected_longest(rows, width):
+    words = [(i, tuple((t or "").encode().split())) for i, t in rows]
+    out = {}
+    while True:
+        owners = {}
+        for i, own in words:
+            for p in range(len(own) - width + 1):
+                if i is not None:
+                    owners.setdefault(own[p : p + width], set()).add(i)
+        repeated = {w for w, ids in owners.items() if len(ids) > 1}
+        for i, own in words:
+            if i is not None and any(own[p : p + width] in repeated for p in range(len(own) - width + 1)):
+                out[i, own] = width
+        if not repeated:
+            return Counter((i, len(own), out.get((i, own), 0)) for i, own in words)
+        width *= 2
+
+
+@pytest.mark.parametrize("blocks", [1, 5])
+def test_repeats_double_until_none_is_left(spark, monkeypatch, blocks):
+    monkeypatch.setattr("tradeloom.llm.common.part_count", lambda df, size: blocks)
+    long = [f"r{i}" for i in range(200)]
+    rows = [*texts(), (900, " ".join(long)), (901, " ".join(["x", *long[:103]])), (902, " ".join([*long[97:], "y"])), (903, " ".join(long[:26]))]
+    found = substring.remove_repeats(docs(spark, rows)).collect()
+    expected = expected_longest(rows, 13)
+    assert Counter((r["id"], r["n_words"], r["longest_repeat"]) for r in found) == expected
+    assert {n for _, _, n in expected} >= {0, 26, 52}
+
+
 def test_substring_dedup_of_nothing(spark):
     assert substring.remove_repeats(docs(spark, [])).count() == 0
 

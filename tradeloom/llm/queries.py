@@ -91,8 +91,8 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: how many words repeat an earlier document, and a digest of the others."""
-    found = substring.remove_repeats(table(spark, sf_dir, "documents"))
-    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", sha256_utf8(F.col("kept_text")).alias("kept_sha256"))
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"), kept=sha256_utf8)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.col("kept_text").alias("kept_sha256"), "longest_repeat")
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +185,7 @@ FROM grouped
 """
 
 OP7_SQL = r"""
-WITH doc AS (
+WITH RECURSIVE doc AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
 ), win AS (
   SELECT doc_id, i, md5(array_to_string(words[i : i + 12], ' ')) AS win
@@ -198,10 +198,20 @@ WITH doc AS (
   SELECT doc_id, string_agg(word, ' ' ORDER BY w) AS kept, count(*) AS n
   FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS w FROM doc)
   ANTI JOIN gone USING (doc_id, w) GROUP BY doc_id
-)
+), level AS (
+  SELECT doc_id, i, win, 13 AS width FROM win
+  WHERE win IN (SELECT win FROM win GROUP BY win HAVING min(doc_id) < max(doc_id))
+  UNION ALL
+  SELECT doc_id, i, win, width FROM (
+    SELECT *, min(doc_id) OVER (PARTITION BY win) < max(doc_id) OVER (PARTITION BY win) AS repeated FROM (
+      SELECT a.doc_id, a.i, md5(a.win || b.win) AS win, 2 * a.width AS width
+      FROM level a JOIN level b ON a.doc_id = b.doc_id AND b.i = a.i + a.width
+    )
+  ) WHERE repeated
+), longest AS (SELECT doc_id, max(width) AS longest FROM level GROUP BY doc_id)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
-  sha256(coalesce(kept, '')) AS kept_sha256
-FROM doc LEFT JOIN kept USING (doc_id)
+  sha256(coalesce(kept, '')) AS kept_sha256, CAST(coalesce(longest, 0) AS BIGINT) AS longest_repeat
+FROM doc LEFT JOIN kept USING (doc_id) LEFT JOIN longest USING (doc_id)
 """
 
 ESCAPES = r"\\|</?s>|\[/?ROLE\]|\[/?INST\]|<image>|<audio>|<document>"

@@ -8,19 +8,22 @@ tell how long the repeats are.
 Every level is one exchange of fingerprints (see ``prints``): blocks of
 documents in id order -> buckets of fingerprints -> blocks.  A bucket answers a
 block only with the positions, in the block's own sorted list, of fingerprints
-that a block with smaller ids has as well.
+that other blocks have as well, and whether a block with smaller ids is among
+them.  A fingerprint of twice the length is made from those of its halves, so
+the levels above 0 do not read the texts again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tradeloom.llm.common import BLOCK_BYTES, in_blocks
-from tradeloom.llm.prints import bucket_starts, concat, pack64, runs, unpack64, window_prints, word_prints
+from tradeloom.llm.common import BLOCK_BYTES, in_blocks, written
+from tradeloom.llm.prints import MIX_A, MIX_B, bucket_starts, concat, mix, pack64, runs, unpack64, window_prints, word_prints
 
 MIN_WORDS = 13
 
@@ -52,25 +55,32 @@ class Block:
         self.doc = doc[self.at]
 
 
+def _sent(block: int, prints: np.ndarray, buckets: int) -> pa.Table:
+    """A block's distinct prints, sorted, one row per bucket."""
+    prints = np.unique(prints)
+    starts = bucket_starts(prints, buckets)
+    used = np.flatnonzero(np.diff(starts))
+    return pa.table(
+        {
+            "bucket": pa.array(used, pa.int32()),
+            "block": pa.array([block] * len(used), pa.int32()),
+            "prints": pa.array([pack64(prints[starts[b] : starts[b + 1]]) for b in used], pa.binary()),
+        }
+    )
+
+
+SENT = "bucket int, block int, prints binary"
+
+
 def _send(buckets: int, width: int):
     def send(rows: pa.Table) -> pa.Table:
-        block = Block(rows, width)
-        prints = np.unique(block.prints)
-        starts = bucket_starts(prints, buckets)
-        used = np.flatnonzero(np.diff(starts))
-        return pa.table(
-            {
-                "bucket": pa.array(used, pa.int32()),
-                "block": pa.array([rows.column("block")[0].as_py()] * len(used), pa.int32()),
-                "prints": pa.array([pack64(prints[starts[b] : starts[b + 1]]) for b in used], pa.binary()),
-            }
-        )
+        return _sent(rows.column("block")[0].as_py(), Block(rows, width).prints, buckets)
 
     return send
 
 
-def _later_copies(rows: pa.Table) -> pa.Table:
-    """Of one bucket: for each block, which of its prints a smaller block has, too."""
+def _copies(rows: pa.Table) -> pa.Table:
+    """Of one bucket: for each block, which of its prints a smaller block has, too, and which only larger ones have."""
     block = np.asarray(rows.column("block"))
     bucket = rows.column("bucket")[0].as_py()
     blobs = rows.column("prints")
@@ -81,46 +91,80 @@ def _later_copies(rows: pa.Table) -> pa.Table:
     owner = np.repeat(np.arange(len(lists)), sizes)
     offset = np.arange(len(all_prints)) - np.repeat(np.cumsum([0, *sizes[:-1]]) if sizes else [], sizes)
     by_print = np.argsort(all_prints, kind="stable")
+    heads = runs(all_prints[by_print])
     first = np.zeros(len(all_prints), bool)
-    first[runs(all_prints[by_print])] = True
-    later = by_print[~first]
-    out: dict[int, np.ndarray] = {}
-    later = later[np.argsort(owner[later] * np.int64(1 << 32) + offset[later])]
-    cuts = np.searchsorted(owner[later], np.arange(len(lists) + 1))
-    for i in range(len(lists)):
-        if cuts[i] < cuts[i + 1]:
-            out[i] = offset[later[cuts[i] : cuts[i + 1]]].astype(np.uint32)
+    first[by_print[heads]] = True
+    lengths = np.diff(np.concatenate((heads, [len(by_print)])))
+
+    def by_owner(chosen: np.ndarray) -> list[bytes]:
+        chosen = chosen[np.argsort(owner[chosen] * np.int64(1 << 32) + offset[chosen])]
+        cuts = np.searchsorted(owner[chosen], np.arange(len(lists) + 1))
+        return [np.diff(offset[chosen[a:b]], prepend=0).astype(np.uint32).tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    later, earliest = by_owner(by_print[~first[by_print]]), by_owner(by_print[heads[lengths > 1]])
+    used = [i for i in range(len(lists)) if later[i] or earliest[i]]
     return pa.table(
         {
-            "block": pa.array([int(block[order[i]]) for i in out], pa.int32()),
-            "bucket": pa.array([bucket] * len(out), pa.int32()),
-            "later": pa.array([x.tobytes() for x in out.values()], pa.binary()),
+            "block": pa.array([int(block[order[i]]) for i in used], pa.int32()),
+            "bucket": pa.array([bucket] * len(used), pa.int32()),
+            "later": pa.array([later[i] for i in used], pa.binary()),
+            "earliest": pa.array([earliest[i] for i in used], pa.binary()),
         }
     )
 
 
+COPIES = "block int, bucket int, later binary, earliest binary"
+
+
+def _judged(prints: np.ndarray, rank: np.ndarray, answers: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of windows in document order: which a smaller document has, too, and which any other document has."""
+    if not len(prints):
+        return np.empty(0, bool), np.empty(0, bool)
+    order = np.argsort(prints, kind="stable")
+    sorted_prints, rank = prints[order], rank[order]
+    heads = runs(sorted_prints)
+    lengths = np.diff(np.concatenate((heads, [len(order)])))
+    group = np.repeat(np.arange(len(heads)), lengths)
+    starts = bucket_starts(sorted_prints[heads], buckets)
+    smaller, others = np.zeros(len(heads), bool), rank[heads + lengths - 1] > rank[heads]
+    columns = (answers.column(c).to_pylist() for c in ("bucket", "later", "earliest"))
+    for bucket, later, earliest in zip(*columns, strict=True):
+        for blob, flags in ((later, (smaller, others)), (earliest, (others,))):
+            at = starts[bucket] + np.cumsum(np.frombuffer(blob, np.uint32).astype(np.int64))
+            for flag in flags:
+                flag[at] = True
+    is_later, is_repeated = np.empty(len(order), bool), np.empty(len(order), bool)
+    is_later[order] = smaller[group] | (rank > rank[heads][group])
+    is_repeated[order] = others[group]
+    return is_later, is_repeated
+
+
+def _extended(place: np.ndarray, prints: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of twice the width whose halves are both given; a place is document << 32 | first word, ascending."""
+    if not len(place):
+        return place, prints
+    half = np.minimum(np.searchsorted(place, place + width), len(place) - 1)
+    whole = place[half] == place + width
+    return place[whole], mix(prints[whole] * MIX_A + prints[half[whole]] * MIX_B)
+
+
+def _packed(place: np.ndarray, prints: np.ndarray, docs: int) -> tuple[list[bytes], list[bytes]]:
+    """Per document: its windows' first words, as differences, and their prints."""
+    cuts = np.searchsorted(place >> 32, np.arange(docs + 1))
+    word = place & 0xFFFFFFFF
+    spots = [np.diff(word[a:b], prepend=0).astype(np.uint32).tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+    return spots, [prints[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 def _apply(buckets: int, width: int):
     def apply(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return EMPTY
         block = Block(rows, width)
-        order = np.argsort(block.prints, kind="stable")
-        sorted_prints = block.prints[order]
-        heads = runs(sorted_prints)
-        group = np.zeros(len(order), np.int64)
-        group[heads] = 1
-        group = np.cumsum(group) - 1
-        starts = bucket_starts(sorted_prints[heads], buckets)
-        elsewhere = np.zeros(len(heads), bool)
-        for bucket, later in zip(answers.column("bucket").to_pylist(), answers.column("later").to_pylist(), strict=True):
-            elsewhere[starts[bucket] + np.frombuffer(later, np.uint32)] = True
-        rank = block.rank[block.doc[order]]
-        first_rank = rank[heads] if len(heads) else rank
-        hit = elsewhere[group] | (rank > first_rank[group]) if len(order) else np.empty(0, bool)
-        change = np.zeros(int(block.ends[-1]) + 1 if len(block.ends) else 1, np.int64)
-        at = block.at[order[hit]]
-        np.add.at(change, at, 1)
-        np.add.at(change, at + width, -1)
+        later, repeated = _judged(block.prints, block.rank[block.doc], answers, buckets)
+        change = np.zeros(int(block.ends[-1]) + 1, np.int64)
+        np.add.at(change, block.at[later], 1)
+        np.add.at(change, block.at[later] + width, -1)
         covered = np.cumsum(change)[:-1] > 0
         texts, removed, spans = [], [], []
         for words, size, end in zip(block.words, block.sizes, block.ends, strict=True):
@@ -134,6 +178,9 @@ def _apply(buckets: int, width: int):
             else:
                 spans.append([])
                 texts.append(b" ".join(words))
+        n = len(block.words)
+        place = (block.doc.astype(np.int64) << 32) + block.at - (block.ends - block.sizes)[block.doc]
+        spots, prints = _packed(*_extended(place[repeated], block.prints[repeated], width), n)
         return pa.table(
             {
                 "id": block.rows.column("id").combine_chunks().cast(pa.int64()),
@@ -141,22 +188,90 @@ def _apply(buckets: int, width: int):
                 "n_removed": pa.array(removed, pa.int64()),
                 "kept_text": pa.array(texts, pa.binary()).cast(pa.string()),
                 "removed_spans": pa.array(spans, pa.list_(pa.int64())),
+                "block": pa.array([block.rows.column("block")[0].as_py()] * n, pa.int32()),
+                "row": pa.array(np.arange(n), pa.int32()),
+                "rank": pa.array(block.rank, pa.int32()),
+                "repeated": pa.array(np.bincount(block.doc[repeated], minlength=n) > 0),
+                "spots": pa.array(spots, pa.binary()),
+                "prints": pa.array(prints, pa.binary()),
             }
         )
 
     return apply
 
 
-EMPTY = pa.table(
-    {
-        "id": pa.array([], pa.int64()),
-        "n_words": pa.array([], pa.int64()),
-        "n_removed": pa.array([], pa.int64()),
-        "kept_text": pa.array([], pa.string()),
-        "removed_spans": pa.array([], pa.list_(pa.int64())),
-    }
+STATE_ARROW = pa.schema(
+    [("block", pa.int32()), ("row", pa.int32()), ("rank", pa.int32()), ("repeated", pa.bool_()), ("spots", pa.binary()), ("prints", pa.binary())]
 )
-RESULT = "id long, n_words long, n_removed long, kept_text string, removed_spans array<long>"
+STATE = "block int, row int, rank int, repeated boolean, spots binary, prints binary"
+EMPTY = pa.schema(
+    [
+        ("id", pa.int64()),
+        ("n_words", pa.int64()),
+        ("n_removed", pa.int64()),
+        ("kept_text", pa.string()),
+        ("removed_spans", pa.list_(pa.int64())),
+        *STATE_ARROW,
+    ]
+).empty_table()
+RESULT = f"id long, n_words long, n_removed long, kept_text string, removed_spans array<long>, {STATE}"
+
+
+class Candidates:
+    """The windows of one block that both their halves make possible repeats."""
+
+    def __init__(self, rows: pa.Table):
+        self.rows = rows.take(pa.array(np.argsort(np.asarray(rows.column("row")), kind="stable")))
+        spots = [np.cumsum(np.frombuffer(x, np.uint32).astype(np.int64)) for x in self.rows.column("spots").to_pylist()]
+        self.doc = np.repeat(np.arange(len(spots)), [len(x) for x in spots])
+        self.place = (self.doc.astype(np.int64) << 32) + concat(spots, np.int64)
+        self.prints = concat([np.frombuffer(x, np.uint64) for x in self.rows.column("prints").to_pylist()], np.uint64)
+
+
+def _send_candidates(buckets: int):
+    def send(rows: pa.Table) -> pa.Table:
+        return _sent(rows.column("block")[0].as_py(), Candidates(rows).prints, buckets)
+
+    return send
+
+
+def _next_level(buckets: int, width: int):
+    def level(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return STATE_ARROW.empty_table()
+        own = Candidates(rows)
+        n = len(own.rows)
+        _, repeated = _judged(own.prints, np.asarray(own.rows.column("rank"))[own.doc], answers, buckets)
+        spots, prints = _packed(*_extended(own.place[repeated], own.prints[repeated], width), n)
+        columns = {c: own.rows.column(c) for c in ("block", "row", "rank")}
+        flags = pa.array(np.bincount(own.doc[repeated], minlength=n) > 0)
+        return pa.table(columns | {"repeated": flags, "spots": pa.array(spots, pa.binary()), "prints": pa.array(prints, pa.binary())}, STATE_ARROW)
+
+    return level
+
+
+def longest_repeats(level_zero: DataFrame, buckets: int, width: int) -> DataFrame:
+    """Per document (block, row) with a repeat: the longest doubling of ``width`` at which a window of it is repeated.
+
+    Each level reads the candidates that the one before left, asks the buckets
+    which of them repeat, and writes those that can be doubled once more.  Its
+    exchange is only of use to itself, so the driver then has its files collected.
+    """
+    spark = level_zero.sparkSession
+    reached, state = [], level_zero
+    while True:
+        reached.append(state.where("repeated").select("block", "row", F.lit(width).cast("long").alias("longest")))
+        left = state.where("octet_length(prints) > 0").select("block", "row", "rank", "spots", "prints")
+        if left.isEmpty():
+            break
+        width *= 2
+        sent = left.groupBy("block").applyInArrow(_send_candidates(buckets), SENT)
+        answers = sent.groupBy("bucket").applyInArrow(_copies, COPIES)
+        state = left.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_next_level(buckets, width), STATE)
+        state = written(state, f"repeats{width}")
+        del left, sent, answers
+        spark._jvm.System.gc()  # lets the context cleaner drop the shuffle files of finished levels
+    return reduce(DataFrame.union, reached).groupBy("block", "row").agg(F.max("longest").alias("longest"))
 
 
 def remove_repeats(
@@ -165,17 +280,30 @@ def remove_repeats(
     text_col: str = "text",
     min_words: int = MIN_WORDS,
     block_bytes: int = BLOCK_BYTES,
+    kept: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Texts without the words of windows that start in a document with a smaller id.
 
     Words are runs of anything but ASCII white space.  One row per input row:
-    id, n_words, n_removed, kept_text (kept words joined by one space) and
-    removed_spans (word starts and ends, alternating).  Null texts have no
+    id, n_words, n_removed, kept_text (kept words joined by one space),
+    removed_spans (word starts and ends, alternating), and longest_repeat: the
+    longest of min_words, 2 * min_words, 4 * min_words, ... of which the
+    document has a window that another one has, too, or 0.  ``kept`` is applied
+    to kept_text before it is stored, for instance a digest.  Null texts have no
     words.  Rows of equal id are one document and do not remove from each
     other; rows without id neither lose nor claim a window.  Other columns of
     ``docs`` are not read, so their names cannot clash.
     """
     rows, n = in_blocks(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id", block_bytes)
-    sent = rows.groupBy("block").applyInArrow(_send(n, min_words), "bucket int, block int, prints binary")
-    answers = sent.groupBy("bucket").applyInArrow(_later_copies, "block int, bucket int, later binary")
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_apply(n, min_words), RESULT)
+    sent = rows.groupBy("block").applyInArrow(_send(n, min_words), SENT)
+    answers = sent.groupBy("bucket").applyInArrow(_copies, COPIES)
+    level_zero = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_apply(n, min_words), RESULT)
+    if kept is not None:
+        level_zero = level_zero.withColumn("kept_text", kept(F.col("kept_text")))
+    level_zero = written(level_zero, "level_zero")
+    del rows, sent, answers
+    longest = longest_repeats(level_zero, n, min_words)
+    out = level_zero.select("block", "row", "id", "n_words", "n_removed", "kept_text", "removed_spans")
+    return out.join(longest, ["block", "row"], "left").select(
+        "id", "n_words", "n_removed", "kept_text", "removed_spans", F.coalesce("longest", F.lit(0)).alias("longest_repeat")
+    )
