@@ -898,9 +898,7 @@ UNION ALL SELECT 'dim_store', store_key, store_id FROM key_store""",
 )
 
 # --- facts and merges
-_oracle(
-    "fact_sales",
-    f"""SELECT f.date_key, customer_key, product_key, store_key, channel_key, currency_key,
+_FACT_SALES = f"""SELECT f.date_key, customer_key, product_key, store_key, channel_key, currency_key,
   payment_method_key, f.order_id AS source_order_id, order_item_id AS source_order_item_id, quantity,
   unit_price, {_AMOUNTS}, {", ".join(f"{c}_inr" for c in _MONEY_COLUMNS[1:])}, order_status
 FROM sales f JOIN key_customer c ON c.customer_id = f.customer_id
@@ -908,15 +906,13 @@ JOIN key_product p ON p.product_id = f.product_id JOIN key_store s ON s.store_id
 JOIN seed_channel ON channel_code = sales_channel
 JOIN seed_currency cu ON cu.currency_code = f.currency
 LEFT JOIN best_payment b ON b.order_id = f.order_id
-LEFT JOIN seed_method ON payment_method_code = b.payment_method""",
-)
-_oracle(
-    "fact_delivery",
-    """SELECT date_key, customer_key, store_key, channel_key, source_order_id, delivery_id,
+LEFT JOIN seed_method ON payment_method_code = b.payment_method"""
+_FACT_DELIVERY = """SELECT date_key, customer_key, store_key, channel_key, source_order_id, delivery_id,
   delivery_type, delivery_status, delivery_distance_km, delivery_time_minutes, delivery_fee
 FROM delivered d JOIN key_customer c ON c.customer_id = d.customer_id
-JOIN key_store s ON s.store_id = d.store_id JOIN seed_channel ON channel_code = sales_channel""",
-)
+JOIN key_store s ON s.store_id = d.store_id JOIN seed_channel ON channel_code = sales_channel"""
+_oracle("fact_sales", _FACT_SALES)
+_oracle("fact_delivery", _FACT_DELIVERY)
 _CUSTOMER = "customer_id, first_name, last_name, email, phone, city, state, country, customer_segment, signup_date"
 _oracle(
     "merge_dim_customer",
@@ -942,25 +938,20 @@ def _two_loads(rows: str, key: str, surrogate: str, status: str, shown: str) ->
 FROM (SELECT *, date_key < 20000101 AS early FROM ({rows}))"""
 
 
+def _all_but(schema: dict[str, str], column: str) -> str:
+    return ", ".join(c for c in schema if c != column)
+
+
 _oracle(
     "merge_fact_sales",
     _two_loads(
-        "SELECT date_key, order_id AS source_order_id, order_item_id AS source_order_item_id, "
-        "net_amount_inr, order_status FROM sales",
-        "source_order_item_id",
-        "sales_key",
-        "order_status",
-        "date_key, source_order_id, source_order_item_id, net_amount_inr",
+        _FACT_SALES, "source_order_item_id", "sales_key", "order_status", _all_but(C.FACT_SALES_SCHEMA, "order_status")
     ),
 )
 _oracle(
     "merge_fact_delivery",
     _two_loads(
-        "SELECT date_key, source_order_id, delivery_id, delivery_fee, delivery_status FROM delivered",
-        "delivery_id",
-        "delivery_key",
-        "delivery_status",
-        "date_key, source_order_id, delivery_id, delivery_fee",
+        _FACT_DELIVERY, "delivery_id", "delivery_key", "delivery_status", _all_but(C.FACT_DELIVERY_SCHEMA, "delivery_status")
     ),
 )
 

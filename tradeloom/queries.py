@@ -489,18 +489,14 @@ def _merge_fact(fact: DataFrame, key: str, surrogate: str, changed: str) -> Data
 
 @query
 def merge_fact_sales(s: Sample) -> DataFrame:
-    fact = facts.sales_lines(s.clean, s.star, with_payment=False).select(
-        "date_key", "source_order_id", "source_order_item_id", "net_amount_inr", "order_status"
-    )
-    return _merge_fact(fact, "source_order_item_id", "sales_key", "order_status")
+    """All load columns of the sales fact, merged by order line."""
+    return _merge_fact(facts.fact_sales(s.clean, s.keyed), "source_order_item_id", "sales_key", "order_status")
 
 
 @query
 def merge_fact_delivery(s: Sample) -> DataFrame:
-    fact = facts.delivery_events(s.clean, s.star).select(
-        "date_key", "source_order_id", "delivery_id", "delivery_fee", "delivery_status"
-    )
-    return _merge_fact(fact, "delivery_id", "delivery_key", "delivery_status")
+    """All load columns of the delivery fact, merged by delivery."""
+    return _merge_fact(facts.fact_delivery(s.clean, s.keyed), "delivery_id", "delivery_key", "delivery_status")
 
 
 # --- marts -----------------------------------------------------------------
