@@ -231,3 +231,20 @@ def test_probabilities_sum_to_one_and_adapt(spark, monkeypatch):
     found = ppm.scored(docs(spark, [(1, text.decode())]), F.lit(True), mode="adaptive").first()
     assert found["score"] == pytest.approx(ppm.ByteTrie().log10(text, adaptive=True))
     assert ppm.scored(docs(spark, []), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("blocks", [1, 5])
+def test_trie_is_deep_and_spread_over_blocks(spark, monkeypatch, blocks):
+    monkeypatch.setattr("tradeloom.llm.common.part_count", lambda df, size: blocks)
+    assert ppm.ORDER > 2
+    rows = [(i, " ".join(np.random.default_rng(i).choice(["haus", "maus", "laus", "ausbau", "Ünïcode"], 20))) for i in range(40)]
+    rows += [(40, bytes(range(1, 128)).decode() * 3), (41, "zzz qqq"), (42, None)]
+    training = F.col("doc_id") % 4 != 1
+    for order in (0, 3, ppm.ORDER):
+        trie = ppm.ByteTrie(order)
+        lowered = {i: (t or "").encode().translate(ppm.LOWER) for i, t in rows}
+        for i, text in lowered.items():
+            for at in range(len(text) if i % 4 != 1 else 0):
+                trie.learn(text, at)
+        found = {r["id"]: r["score"] for r in ppm.scored(docs(spark, rows), training, order=order).collect()}
+        assert found == pytest.approx({i: trie.log10(t, adaptive=False) for i, t in lowered.items()}, rel=1e-6)

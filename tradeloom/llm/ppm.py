@@ -6,20 +6,34 @@ method C, a context with t observations of d different bytes gives a seen byte
 c / (t + d) and leaves d / (t + d) to the next shorter context, in which the
 bytes already refused are excluded; below order 0 the rest is uniform.
 
-``pretrained`` learns one trie from all training texts.  Its depth is fixed, so
-it has at most 256 ** (ORDER + 1) counts whatever the corpus, and prediction
-from it is a table of log-probabilities by (context, byte); that table is
-what is sent to executors.  ``adaptive`` starts every document with an empty
-trie that learns as it predicts.
+``pretrained`` learns one trie from all training texts.  It is never whole in
+one place: a gram is a context and the byte after it, and each block of
+documents asks buckets about the grams it has.
+
+1. Context lengths above ``SPLIT``: a bucket holds all grams of the nearest
+   ``SPLIT`` bytes that hash to it, and answers each with its probability, or
+   with what is left to the shorter contexts.
+2. The shorter ones, whose grams are few but each in many blocks, go through
+   the block exchange of ``prints`` twice.  First come the count of every gram
+   and which block owns it: the first that learns it.  Then per context its
+   observations t, its different bytes d, and x, what these bytes count in the
+   next shorter context; d and x are sums over grams, to which each gram's owner
+   adds once.
+
+What a shorter context has left after exclusion is t - x of d - d' bytes, x and
+d' being those of the longer one, so bytes are predicted from sums alone.
+``adaptive`` starts every document with an empty trie that learns as it
+predicts.
 
 The base needs the corpus count of every token of every document.  They come
-by the block exchange of ``prints``.
+by the same exchange.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradeloom.llm.common import BLOCK_BYTES, in_blocks
@@ -28,6 +42,8 @@ from tradeloom.llm.prints import (
     SENT,
     bucket_starts,
     concat,
+    mix,
+    owned_counts,
     pack64,
     runs,
     send_counts,
@@ -37,9 +53,15 @@ from tradeloom.llm.prints import (
     word_prints,
 )
 
-ORDER = 2
+ORDER = 6
 SYMBOLS = 256
-SHARDS = 64
+# Bits of a context byte in a gram: 0 is none, before the text; others are the byte + 1.
+CODE = 9
+CODES = (1 << CODE) - 1
+# A gram of the longest context is one 64-bit integer, so prints of grams are exact.
+LONGEST = (62 - 8) // CODE
+# Longer contexts are answered where their nearest bytes are at home.
+SPLIT = 4
 # Bytes that are looked at together; longer texts are taken piece by piece.
 PIECE = 1 << 22
 #: Lower-cases A-Z.
@@ -109,122 +131,267 @@ def _piece(parts: list[tuple[bytes, int, int, int]]):
     return data, at, own >= np.repeat([p[2] for p in parts], sizes), np.repeat([p[3] for p in parts], sizes)
 
 
-def count_contexts(texts: list[bytes], order: int = ORDER, out: list[np.ndarray] | None = None) -> list[np.ndarray]:
-    """Counts by (context, byte) for context lengths 0 to ``order``, as flat arrays; contexts stay inside a text.
+def _keys(data: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
+    """The gram of each byte: its context, the nearest byte highest, and the byte itself lowest."""
+    key = data.copy()
+    for n in range(1, min(order, len(data) - 1) + 1):
+        key[n:] |= np.where(at[n:] >= n, data[:-n] + 1, 0) << (8 + CODE * (order - n))
+    return key
 
-    Added to ``out`` where it is given.  32 bits are enough for the bytes of one task.
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    keys = keys[order]
+    heads = runs(keys)
+    return keys[heads], np.add.reduceat(counts[order], heads) if len(heads) else counts[:0]
+
+
+def count_contexts(texts: list[bytes], order: int = ORDER, training: np.ndarray | None = None) -> list[np.ndarray]:
+    """The distinct grams of all bytes, sorted, and how often training texts have each; contexts stay inside a text."""
+    training = np.ones(len(texts), np.int64) if training is None else training.astype(np.int64)
+    keys, counts = [], []
+    for data, at, own, doc in _pieces(texts, order):
+        marked = (_keys(data, at, order) << 1 | training[doc])[own]
+        marked.sort()
+        heads = runs(marked >> 1)
+        keys.append(marked[heads] >> 1)
+        counts.append(np.add.reduceat(marked & 1, heads))
+    if len(keys) == 1:
+        return [keys[0], counts[0]]
+    return list(_summed(concat(keys, np.int64), concat(counts, np.int64)))
+
+
+#: Per key: its probability if found, else the share left to shorter contexts; whether found; x << 16 | d of the last context.
+State = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+class Grams:
+    """Grams of some context lengths that the distinct ``keys``, those of ``order``, imply.
+
+    A context of n bytes has n codes above 0, so longer ones are larger
+    numbers, and the sorted grams are in order of length and context.
     """
-    if out is None:
-        out = [np.zeros(SYMBOLS ** (n + 1), np.uint32) for n in range(order + 1)]
-    for data, at, counts, _ in _pieces(texts, order):
-        key = np.zeros(len(data), np.int64)
-        for n in range(order + 1):
-            if n:
-                key[n:] += data[:-n] << (8 * n) if len(data) > n else 0
-            found, times = np.unique((key + data)[counts & (at >= n)], return_counts=True)
-            out[n][found] += times.astype(np.uint32)
-    return out
-
-
-def log_tables(counts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per context length: the row of each context (-1: never seen), and log10 P(byte | context) by row."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int, lengths: range):
+        self.keys, self.order, self.lengths = keys, order, lengths
+        grams, sums = [], []
+        for n in range(order, lengths.start - 1, -1):
+            if n < order:
+                keys, counts = _summed((keys >> (8 + CODE)) << 8 | keys & 255, counts)
+            if n in lengths:
+                valid = (keys >> 8) & CODES > 0 if n else slice(None)
+                grams.insert(0, keys[valid])
+                sums.insert(0, counts[valid])
+        self.grams, self.counts = np.concatenate(grams), np.concatenate(sums)
+        self.heads = runs(self.grams >> 8)
+        self.contexts = self.grams[self.heads] >> 8
+
+    def of_length(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Per key: the gram of n context bytes, and whether the text has that many before it."""
+        context = self.keys >> (8 + CODE * (self.order - n))
+        return context << 8 | self.keys & 255, context & CODES > 0 if n else np.ones(len(self.keys), bool)
+
+    def local_stats(self, totals: np.ndarray, owned: np.ndarray) -> np.ndarray:
+        """Per context: the observations here; and x << 16 | d over the grams owned here."""
+        if not len(self.heads):
+            return np.empty((2, 0), np.int64)
+        shorter = np.searchsorted(self.grams, (self.grams >> (8 + CODE)) << 8 | self.grams & 255)
+        x = np.where(self.grams >> 8 > 0, totals[shorter], 0)
+        return np.add.reduceat(np.stack([self.counts, owned * (x << 16 | 1)]), self.heads, axis=1)
+
+    def predict(self, totals: np.ndarray, stats: np.ndarray, lengths: range, state: State | None = None) -> State:
+        """Escape down the lengths, from the totals by gram and by context."""
+        n_keys = len(self.keys)
+        sizes = np.diff(np.concatenate((self.heads, [len(self.grams)])))
+        context_of = np.repeat(np.arange(len(self.heads)), sizes)
+        p, found, left = state or (np.ones(n_keys), np.zeros(n_keys, bool), np.zeros(n_keys, np.int64))
+        for n in reversed(lengths):
+            gram, valid = self.of_length(n)
+            at = np.minimum(np.searchsorted(self.grams, gram), max(len(self.grams) - 1, 0))
+            if not len(self.grams):
+                continue
+            valid &= self.grams[at] == gram
+            context = context_of[at]
+            refused, own = np.where(valid, stats[1, context], 0), left
+            total = np.where(valid, stats[0, context], 0) - (own >> 16)
+            seen = refused & 0xFFFF
+            kinds = np.where(seen < SYMBOLS, seen - (own & 0xFFFF), 0)  # or nothing is left to escape to
+            count = np.where(valid, totals[at], 0)
+            is_open = ~found & (total > 0)
+            hit = is_open & (count > 0)
+            p = np.where(is_open, p * np.where(hit, count, kinds) / np.maximum(total + kinds, 1), p)
+            found, left = found | hit, refused
+        return p, found, left
+
+
+def _log10(state: State) -> np.ndarray:
+    p, found, left = state
+    return np.log10(np.where(found, p, p / np.maximum(SYMBOLS - (left & 0xFFFF), 1)))
+
+
+def log_tables(counts: list[np.ndarray], order: int = ORDER) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of a small corpus in one place, per context length: the contexts seen, and log10 P(byte | context) by row."""
+    keys, times = counts
+    learnt = Grams(keys, times, order, range(order + 1))
+    seen = learnt.contexts[np.add.reduceat(learnt.counts, learnt.heads) > 0]
     tables = []
-    for n, flat in enumerate(counts):
-        by_context = flat.reshape(-1, SYMBOLS)
-        seen_rows = np.flatnonzero(by_context.any(axis=1))
-        rows = np.full(len(by_context), -1, np.int32)
-        rows[seen_rows] = np.arange(len(seen_rows), dtype=np.int32)
-        table = np.empty((len(seen_rows), SYMBOLS), np.float32)
-        for start in range(0, len(seen_rows), 4096):
-            contexts = seen_rows[start : start + 4096]
-            table[start : start + len(contexts)] = np.log10(_probabilities(counts, n, contexts))
-        tables.append((rows, table))
+    for n in range(order + 1):
+        own = seen[(seen >= 1 << CODE * (n - 1)) & (seen < 1 << CODE * n)] if n else seen[seen == 0]
+        asked = ((own << (8 + CODE * (order - n)))[:, None] | np.arange(SYMBOLS)).ravel()
+        every, group = np.unique(np.concatenate((keys, asked)), return_inverse=True)
+        times_of = np.bincount(group[: len(keys)], times, len(every)).astype(np.int64)
+        grams = Grams(every, times_of, order, range(order + 1))
+        logs = _log10(grams.predict(grams.counts, grams.local_stats(grams.counts, grams.counts > 0), grams.lengths))
+        tables.append((own, logs[group[len(keys) :]].reshape(-1, SYMBOLS)))
     return tables
 
 
-def _probabilities(counts: list[np.ndarray], n: int, contexts: np.ndarray) -> np.ndarray:
-    """P(byte | context) for contexts of length n, by escaping down with exclusion."""
-    share = np.ones(len(contexts))
-    excluded = np.zeros((len(contexts), SYMBOLS), bool)
-    found = np.zeros((len(contexts), SYMBOLS))
-    for length in range(n, -1, -1):
-        shorter = contexts & ((1 << (8 * length)) - 1)
-        node = counts[length].reshape(-1, SYMBOLS)[shorter] * ~excluded
-        total, seen = node.sum(axis=1), node > 0
-        kinds = seen.sum(axis=1)
-        left = excluded.sum(axis=1) + kinds < SYMBOLS
-        whole = np.maximum(total + kinds * left, 1)
-        found += np.where(seen, share[:, None] * node / whole[:, None], 0)
-        share = np.where(total > 0, share * kinds * left / whole, share)
-        excluded |= seen
-    rest = SYMBOLS - excluded.sum(axis=1)
-    found += np.where(excluded, 0, (share / np.maximum(rest, 1))[:, None])
-    return found
-
-
-def score(texts: list[bytes], tables: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """log10 probability of each text from the tables of a trained trie."""
+def score(texts: list[bytes], keys: np.ndarray, logs: np.ndarray, order: int) -> np.ndarray:
+    """log10 probability of each text from those of its distinct grams."""
     total = np.zeros(len(texts))
-    for data, at, counts, doc in _pieces(texts, len(tables) - 1):
-        logs = np.full(len(data), -np.log10(SYMBOLS))
-        key = np.zeros(len(data), np.int64)
-        for n, (rows, table) in enumerate(tables):
-            if n:
-                key[n:] += data[:-n] << (8 * (n - 1)) if len(data) > n else 0
-            row = rows[np.where(at >= n, key, 0)]
-            use = (at >= n) & (row >= 0)
-            logs[use] = table[row[use], data[use]]
-        total += np.bincount(doc, logs * counts, len(texts))
+    for data, at, own, doc in _pieces(texts, order):
+        found = pa.array(_keys(data, at, order)[own]).dictionary_encode()
+        by_key = logs[np.searchsorted(keys, found.dictionary.to_numpy())]
+        total += np.bincount(doc[own], by_key[found.indices.to_numpy()], len(texts))
     return total
 
 
-def _partial_counts(order: int):
-    def partial(batches):
-        sums = None
-        for batch in batches:
-            texts = [t for t in batch.column("text").cast(pa.binary()).to_pylist() if t]
-            sums = count_contexts(texts, order, sums)
-        for n, flat in enumerate(sums or []):
-            at = np.flatnonzero(flat)
-            for shard in range(SHARDS):
-                own = at[at % SHARDS == shard]
-                if len(own):
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "level": pa.array([n], pa.int32()),
-                            "shard": pa.array([shard], pa.int32()),
-                            "at": pa.array([own.astype(np.uint32).tobytes()], pa.binary()),
-                            "n": pa.array([pack64(flat[own].astype(np.uint64))], pa.binary()),
-                        }
-                    )
-
-    return partial
-
-
-def _sum_counts(rows: pa.Table) -> pa.Table:
-    at = concat([np.frombuffer(x, np.uint32) for x in rows.column("at").to_pylist()], np.uint32)
-    n = concat([unpack64(x) for x in rows.column("n").to_pylist()], np.uint64)
-    order = np.argsort(at, kind="stable")
-    heads = runs(at[order])
-    return pa.table(
-        {
-            "level": pa.array([rows.column("level")[0].as_py()], pa.int32()),
-            "at": pa.array([at[order][heads].tobytes()], pa.binary()),
-            "n": pa.array([np.add.reduceat(n[order], heads).astype(np.int64).tobytes()], pa.binary()),
-        }
-    )
+def _texts(rows: pa.Table) -> tuple[list[bytes], np.ndarray]:
+    return [(t or b"").translate(LOWER) for t in rows.column("text").cast(pa.binary()).to_pylist()], np.asarray(rows.column("training"))
+
+
+def _homes(keys: np.ndarray, order: int, buckets: int) -> list[np.ndarray]:
+    """Per bucket: the keys whose nearest ``SPLIT`` bytes are at home there, in order."""
+    nearest = (keys >> (8 + CODE * (order - SPLIT))).astype(np.uint64)
+    home = (mix(nearest) % np.uint64(buckets)).astype(np.uint32)
+    return np.split(np.argsort(home, kind="stable"), np.cumsum(np.bincount(home, minlength=buckets))[:-1])
+
+
+def _squeezed(a: np.ndarray) -> bytes:
+    """Integers as compressed byte planes, after their number."""
+    return len(a).to_bytes(8) + (pa.compress(pack64(a), "zstd", asbytes=True) if len(a) else b"")
+
+
+def _unsqueezed(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:8])
+    return unpack64(pa.decompress(blob[8:], 8 * n, "zstd", asbytes=True)).astype(np.int64) if n else np.empty(0, np.int64)
+
+
+def _send_keys(buckets: int, order: int):
+    def send(rows: pa.Table) -> pa.Table:
+        texts, training = _texts(rows)
+        keys, counts = count_contexts(texts, order, training)
+        homes = [(b, own) for b, own in enumerate(_homes(keys, order, buckets)) if len(own)]
+        return pa.table(
+            {
+                "bucket": pa.array([b for b, _ in homes], pa.int32()),
+                "block": pa.array([rows.column("block")[0].as_py()] * len(homes), pa.int32()),
+                "prints": pa.array([_squeezed(np.diff(keys[own], prepend=0)) for _, own in homes], pa.binary()),
+                "counts": pa.array([_squeezed(counts[own]) for _, own in homes], pa.binary()),
+            }
+        )
+
+    return send
 
 
-def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> list[np.ndarray]:
-    """The trie's counts over all texts, summed by shards of contexts; at most 256 ** (order + 1) of them."""
-    if order > 2:
-        raise ValueError("the size of a trie that deep is not bounded well enough to broadcast")
-    partial = docs.select(F.col(text_col).alias("text")).mapInArrow(_partial_counts(order), "level int, shard int, at binary, n binary")
-    summed = partial.groupBy("level", "shard").applyInArrow(_sum_counts, "level int, at binary, n binary")
-    counts = [np.zeros(SYMBOLS ** (n + 1), np.int64) for n in range(order + 1)]
-    for row in summed.toLocalIterator():
-        counts[row["level"]][np.frombuffer(row["at"], np.uint32)] = np.frombuffer(row["n"], np.int64)
-    return counts
+def _predict_keys(order: int):
+    def predict(rows: pa.Table) -> pa.Table:
+        """For each block its keys' states: which distinct probability each has; these, then x and d of keys not found.
+
+        Probabilities are 32-bit floats, negative where they are shares of keys not found.
+        """
+        lists = [np.cumsum(_unsqueezed(x)) for x in rows.column("prints").to_pylist()]
+        counts = np.concatenate([_unsqueezed(x) for x in rows.column("counts").to_pylist()])
+        keys, totals = _summed(np.concatenate(lists), counts)
+        grams = Grams(keys, totals, order, range(SPLIT, order + 1))
+        stats = grams.local_stats(grams.counts, grams.counts > 0)
+        p, found, left = grams.predict(grams.counts, stats, range(SPLIT + 1, order + 1))
+        values, code = np.unique(np.where(found, p, -p).astype(np.float32).view(np.uint32), return_inverse=True)
+        own_codes, own_values = [], []
+        for own in lists:
+            at = np.searchsorted(keys, own)
+            used, own_code, times = np.unique(code[at], return_inverse=True, return_counts=True)
+            by_times = np.argsort(-times, kind="stable")  # small codes for frequent ones
+            own_codes.append(_squeezed(np.argsort(by_times)[own_code]))
+            own_values.append(_squeezed(np.concatenate((values[used[by_times]], left[at[~found[at]]]))))
+        return pa.table(
+            {
+                "block": rows.column("block"),
+                "bucket": rows.column("bucket"),
+                "at": pa.array(own_codes, pa.binary()),
+                "total": pa.array(own_values, pa.binary()),
+            }
+        )
+
+    return predict
+
+
+def _states(answers: pa.Table, keys: np.ndarray, order: int, buckets: int) -> State:
+    p, left = np.ones(len(keys)), np.zeros(len(keys), np.int64)
+    homes = _homes(keys, order, buckets)
+    columns = (answers.column(c).to_pylist() for c in ("bucket", "at", "total"))
+    for bucket, codes, values in zip(*columns, strict=True):
+        own, code, parts = homes[bucket], _unsqueezed(codes), _unsqueezed(values)
+        n = int(code.max()) + 1
+        p[own] = parts[:n].astype(np.uint32).view(np.float32)[code]
+        left[own[p[own] < 0]] = parts[n:]
+    return np.abs(p), p > 0, left
+
+
+class BlockGrams:
+    """The grams of a block's documents, and their exchange."""
+
+    def __init__(self, rows: pa.Table, buckets: int, order: int):
+        self.texts, training = _texts(rows)
+        self.found = Grams(*count_contexts(self.texts, order, training), order, range(min(order, SPLIT) + 1))
+        self.buckets = buckets
+
+    def _sorted(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        prints = mix(values.astype(np.uint64))
+        by_print = np.argsort(prints)
+        return prints[by_print], by_print
+
+    def send(self, block: int, values: np.ndarray, counts: np.ndarray) -> pa.Table:
+        prints, by_print = self._sorted(values)
+        return send_counts(block, prints, counts[..., by_print], self.buckets)
+
+    def answered(self, answers: pa.Table, values: np.ndarray, local: np.ndarray) -> np.ndarray:
+        prints, by_print = self._sorted(values)
+        out = np.empty(local.shape, np.int64)
+        out[..., by_print] = totals_of(answers, bucket_starts(prints, self.buckets), local[..., by_print]).astype(np.int64)
+        return out
+
+    def totals(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Per gram: its total, and whether this block owns it."""
+        counts = self.found.counts
+        doubled = self.answered(answers, self.found.grams, counts * 2 + (counts > 0))
+        return doubled >> 1, doubled & 1
+
+
+def _send_grams(buckets: int, order: int):
+    def send(rows: pa.Table) -> pa.Table:
+        own = BlockGrams(rows, buckets, order)
+        return own.send(rows.column("block")[0].as_py(), own.found.grams, own.found.counts)
+
+    return send
+
+
+def _send_contexts(buckets: int, order: int):
+    def send(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        own = BlockGrams(rows, buckets, order)
+        stats = own.found.local_stats(*own.totals(answers))
+        return own.send(rows.column("block")[0].as_py(), own.found.contexts, stats)
+
+    return send
+
+
+def _model_scores(rows: pa.Table, keys: pa.Table, grams: pa.Table, contexts: pa.Table, buckets: int, order: int) -> np.ndarray:
+    own = BlockGrams(rows, buckets, order)
+    found = own.found
+    totals, owned = own.totals(grams)
+    stats = own.answered(contexts, found.contexts, found.local_stats(totals, owned))
+    state = _states(keys, found.keys, order, buckets) if order > SPLIT else None
+    return score(own.texts, found.keys, _log10(found.predict(totals, stats, found.lengths, state)), order)
 
 
 def _tokens(texts: list) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -263,19 +430,20 @@ def _corpus(rows: pa.Table) -> pa.Table:
     )
 
 
-def _apply(buckets: int, tables, adaptive_order: int | None):
+def _apply(buckets: int, order: int, adaptive: bool):
     def apply(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        of_kind = [answers.filter(pc.equal(answers.column("kind"), kind)) for kind in (TOKENS, KEYS, GRAMS, CONTEXTS)]
         texts = rows.column("text").cast(pa.binary()).to_pylist()
         lowered, prints, doc = _tokens(texts)
         distinct, group = np.unique(prints, return_inverse=True)
         training = np.asarray(rows.column("training"))[doc]
         local = np.bincount(group, training, len(distinct)).astype(np.uint64)
-        totals = totals_of(answers, bucket_starts(distinct, buckets), local)[group].astype(np.float64)
+        totals = totals_of(of_kind[TOKENS], bucket_starts(distinct, buckets), local)[group].astype(np.float64)
         n = len(texts)
-        if adaptive_order is None:
-            model = score(lowered, tables.value)
+        if adaptive:
+            model = [ByteTrie(order).log10(t, adaptive=True) for t in lowered]
         else:
-            model = [ByteTrie(adaptive_order).log10(t, adaptive=True) for t in lowered]
+            model = _model_scores(rows, *of_kind[KEYS:], buckets, order)
         return pa.table(
             {
                 "id": rows.column("id"),
@@ -290,6 +458,10 @@ def _apply(buckets: int, tables, adaptive_order: int | None):
     return apply
 
 
+#: What an answer is about.
+TOKENS, KEYS, GRAMS, CONTEXTS = range(4)
+
+
 def scored(
     docs: DataFrame,
     training: Column,
@@ -307,20 +479,27 @@ def scored(
     without id are scored like others.  An empty corpus leaves N and V at 0.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.coalesce(training, F.lit(False)).alias("training"))
-    spark = docs.sparkSession
-    tables = None
-    if mode == "pretrained":
-        lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-        tables = spark.sparkContext.broadcast(log_tables(train(rows.where("training").select(lowered.alias("text")), order=order)))
-    elif mode != "adaptive":
+    if mode not in ("pretrained", "adaptive"):
         raise ValueError(mode)
+    if mode == "pretrained" and order > LONGEST:
+        raise ValueError(f"a gram of more than {LONGEST} context bytes does not fit a 64-bit print")
     blocks, n = in_blocks(rows, "id", block_bytes)
     sent = blocks.groupBy("block").applyInArrow(_send(n), SENT)
     totals = sent.groupBy("bucket").applyInArrow(_corpus, "types long, tokens long")
     size = totals.agg(F.coalesce(F.sum("types"), F.lit(0)).alias("v"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"))
-    answers = sent.groupBy("bucket").applyInArrow(shared_counts, COUNTS)
+    answers = sent.groupBy("bucket").applyInArrow(shared_counts, COUNTS).withColumn("kind", F.lit(TOKENS))
+    if mode == "pretrained":
+        grams = blocks.groupBy("block").applyInArrow(_send_grams(n, min(order, SPLIT)), SENT)
+        grams = grams.groupBy("bucket").applyInArrow(owned_counts, COUNTS)
+        contexts = blocks.groupBy("block").cogroup(grams.groupBy("block")).applyInArrow(_send_contexts(n, min(order, SPLIT)), SENT)
+        contexts = contexts.groupBy("bucket").applyInArrow(shared_counts, COUNTS)
+        answers = answers.union(grams.withColumn("kind", F.lit(GRAMS))).union(contexts.withColumn("kind", F.lit(CONTEXTS)))
+    if mode == "pretrained" and order > SPLIT:
+        keys = blocks.groupBy("block").applyInArrow(_send_keys(n, order), SENT)
+        keys = keys.groupBy("bucket").applyInArrow(_predict_keys(order), COUNTS)
+        answers = answers.union(keys.withColumn("kind", F.lit(KEYS)))
     scores = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _apply(n, tables, order if mode == "adaptive" else None),
+        _apply(n, order, mode == "adaptive"),
         "id long, training boolean, n_tokens long, n_known long, log_counts double, score double",
     )
     n_train = size.select("n").scalar()

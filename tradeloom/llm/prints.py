@@ -76,7 +76,7 @@ SENT = "bucket int, block int, prints binary, counts binary"
 
 
 def send_counts(block: int, distinct: np.ndarray, counts: np.ndarray, buckets: int) -> pa.Table:
-    """A block's distinct fingerprints, sorted, and their counts: one row per bucket."""
+    """A block's distinct fingerprints, sorted, and their counts (or several rows of counts): one row per bucket."""
     starts = bucket_starts(distinct, buckets)
     used = np.flatnonzero(np.diff(starts))
     counts = counts.astype(np.uint64)
@@ -85,25 +85,42 @@ def send_counts(block: int, distinct: np.ndarray, counts: np.ndarray, buckets: i
             "bucket": pa.array(used, pa.int32()),
             "block": pa.array([block] * len(used), pa.int32()),
             "prints": pa.array([pack64(distinct[starts[b] : starts[b + 1]]) for b in used], pa.binary()),
-            "counts": pa.array([pack64(counts[starts[b] : starts[b + 1]]) for b in used], pa.binary()),
+            "counts": pa.array([pack64(counts[..., starts[b] : starts[b + 1]].ravel()) for b in used], pa.binary()),
         }
     )
 
 
 def shared_counts(rows: pa.Table) -> pa.Table:
     """Of one bucket: for each block, the total count of those of its prints that other blocks have, too."""
-    block = np.asarray(rows.column("block"))
+    return _totals(rows, False)
+
+
+def owned_counts(rows: pa.Table) -> pa.Table:
+    """As ``shared_counts``, each total doubled; 1 more for the first block that counts the print, its owner."""
+    return _totals(rows, True)
+
+
+def _totals(rows: pa.Table, owners: bool) -> pa.Table:
     bucket = rows.column("bucket")[0].as_py()
+    rows = rows.take(pa.array(np.argsort(np.asarray(rows.column("block")), kind="stable")))
+    block = np.asarray(rows.column("block"))
     lists = [unpack64(x) for x in rows.column("prints").to_pylist()]
-    counts = concat([unpack64(x) for x in rows.column("counts").to_pylist()], np.uint64)
+    counts = [unpack64(x).reshape(-1, len(own)) for x, own in zip(rows.column("counts").to_pylist(), lists, strict=True)]
+    counts = np.concatenate(counts, axis=1)
     sizes = np.array([len(x) for x in lists], np.int64)
     prints = concat(lists, np.uint64)
     ends = np.cumsum(sizes)
     order = np.argsort(prints, kind="stable")
     heads = runs(prints[order])
     lengths = np.diff(np.concatenate((heads, [len(prints)])))
-    totals = np.empty(len(prints), np.uint64)
-    totals[order] = np.repeat(np.add.reduceat(counts[order], heads), lengths) if len(heads) else 0
+    totals = np.empty_like(counts)
+    totals[:, order] = np.repeat(np.add.reduceat(counts[:, order], heads, axis=1), lengths, axis=1)
+    if owners:
+        positive = (counts[0, order] > 0).astype(np.int64)
+        rank = np.cumsum(positive)
+        first = (positive > 0) & (rank - np.repeat(rank[heads] - positive[heads], lengths) == 1)
+        totals *= np.uint64(2)
+        totals[0, order] += first.astype(np.uint64)
     shared = np.zeros(len(prints), bool)
     shared[order] = np.repeat(lengths > 1, lengths)
     out = {"block": [], "bucket": [], "at": [], "total": []}
@@ -113,7 +130,7 @@ def shared_counts(rows: pa.Table) -> pa.Table:
             out["block"].append(int(block[i]))
             out["bucket"].append(bucket)
             out["at"].append(np.diff(at, prepend=0).astype(np.uint32).tobytes())
-            out["total"].append(pack64(totals[end - size : end][at]))
+            out["total"].append(pack64(totals[:, end - size + at].ravel()))
     kinds = {"block": pa.int32(), "bucket": pa.int32(), "at": pa.binary(), "total": pa.binary()}
     return pa.table(out, schema=pa.schema(kinds))
 
@@ -122,9 +139,10 @@ COUNTS = "block int, bucket int, at binary, total binary"
 
 
 def totals_of(answers: pa.Table, starts: np.ndarray, local: np.ndarray) -> np.ndarray:
-    """The block's own counts, replaced by the totals that the buckets answered."""
+    """The block's own counts (one row or several), replaced by the totals that the buckets answered."""
     totals = local.astype(np.uint64)
     columns = (answers.column(c).to_pylist() for c in ("bucket", "at", "total"))
     for bucket, at, total in zip(*columns, strict=True):
-        totals[starts[bucket] + np.cumsum(np.frombuffer(at, np.uint32).astype(np.int64))] = unpack64(total)
+        places = starts[bucket] + np.cumsum(np.frombuffer(at, np.uint32).astype(np.int64))
+        totals[..., places] = unpack64(total).reshape(*totals.shape[:-1], -1)
     return totals
