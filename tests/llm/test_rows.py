@@ -76,6 +76,17 @@ def test_quality_counts_and_verdicts(spark):
     assert rest.columns == docs(spark, []).columns and rest.count() == sum(r["kept"] for r in found)
 
 
+def test_the_labeller_learns_from_every_line(spark):
+    # After 64 lines that tell nothing, only what follows tells good from bad.
+    same = "\n".join(f"plain line number {i} of all" for i in range(70))
+    rows = [(k, same + "\n" + "\n".join(f"BUY{j}!! NOW $$$ ### |" if k % 2 else f"Some further words {j} follow here." for j in range(40))) for k in range(20)]
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k, _ in rows], "doc_id long, quality int")
+    found = quality.judged(docs(spark, rows), quality.train(docs(spark, rows), labels)).collect()
+    assert all(("B" in r["line_labels"][70:]) == bool(r["id"] % 2) for r in found)
+    lengths = np.array([3, 500, 64, 1, 2000, 70])
+    assert sorted(np.concatenate(quality._by_length(lengths))) == list(range(6)) and len(quality._by_length(lengths)) == 4
+
+
 def test_viterbi_finds_the_best_labelling():
     rng = np.random.default_rng(3)
     crf = quality.Crf(rng.normal(size=(quality.N_FEATURES + 1, 2)), rng.normal(size=(2, 2)))

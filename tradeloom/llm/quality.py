@@ -2,9 +2,9 @@
 
 A conditional random field with two states, content and boilerplate, reads each
 line as a set of yes-no features.  It is fitted by maximum conditional
-likelihood on a bounded sample of labelled documents (at most ``TRAIN_DOCS``, the
-ones with the smallest hashed id, and ``TRAIN_LINES`` lines of each): the lines of a good document count as content, those of a bad one as
-boilerplate.  Viterbi decoding then labels every line of every whole text, and
+likelihood on all lines of a bounded sample of labelled documents (at most
+``TRAIN_DOCS``, the ones with the smallest hashed id): the lines of a good
+document count as content, those of a bad one as boilerplate.  Viterbi decoding then labels every line of every whole text, and
 the share of a document's words in content lines decides.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tradeloom.llm.prints import concat, mix, runs, window_prints, word_prints
 
-TRAIN_DOCS, TRAIN_LINES = 2000, 64
+TRAIN_DOCS = 2000
 MIN_SHARE = 0.5
 MIN_WORDS, REPEAT_WIDTH, MAX_REPEAT_PERCENT = 10, 5, 20
 SYMBOLS = b"#*$%&|<>"
@@ -27,6 +27,8 @@ SIGNS = b"#*$%&|<>{}[]\\^~_=+@!;"
 DIGITS = b"0123456789"
 NOTICE = re.compile(rb"cookie|copyright|licen[cs]e|https?://|www\.|subscribe|click|all rights", re.I)
 N_FEATURES = 12
+# Padded lines that are fitted together.
+CELLS = 1 << 17
 # Rows that are counted together.
 ROWS = 256
 
@@ -109,20 +111,49 @@ def fit(sequences: list[list[int]], labels: list[int], rounds: int = 60, penalty
         emission[-1, 1] = 1.0
         return Crf(emission, np.zeros((2, 2)))
     lengths = np.array([len(s) for s in sequences])
-    steps = int(lengths.max())
-    masks = np.zeros((len(sequences), steps), np.int64)
-    for row, own in zip(masks, sequences, strict=True):
-        row[: len(own)] = own
-    inside = np.arange(steps) < lengths[:, None]
-    x = np.concatenate([(masks[..., None] >> np.arange(N_FEATURES)) & 1, np.ones((*masks.shape, 1), np.int64)], axis=2)
-    x = (x * inside[..., None]).astype(np.float32)
-    y = np.array(labels)
     # Documents weigh the same, whatever their length; labels are as frequent as in the sample.
-    weight = 1 / (len(y) * lengths)
+    weight = 1 / (len(labels) * lengths)
+    batches = [_Batch([sequences[i] for i in own], np.array(labels)[own], weight[own]) for own in _by_length(lengths)]
     theta = np.zeros((N_FEATURES + 3, 2))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    pairs = inside[:, 1:]
     for turn in range(1, rounds + 1):
+        gradient = sum(batch.gradient(theta) for batch in batches) - penalty * theta
+        m = 0.9 * m + 0.1 * gradient
+        v = 0.99 * v + 0.01 * gradient**2
+        theta += 0.1 * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.99**turn)) + 1e-8)
+    # Scores enter decoding as content over boilerplate.
+    return Crf(theta[:-2], theta[-2:])
+
+
+def _by_length(lengths: np.ndarray) -> list[np.ndarray]:
+    """Sequences of like length together, about ``CELLS`` padded lines a batch, so that one long text does not pad all."""
+    out = []
+    order = np.argsort(lengths, kind="stable")
+    classes = np.maximum(np.ceil(np.log2(lengths[order])), 6)  # up to 64 lines are one class
+    for c in np.unique(classes):
+        own = order[classes == c]
+        step = max(1, CELLS // int(lengths[own].max()))
+        out += [own[start : start + step] for start in range(0, len(own), step)]
+    return out
+
+
+class _Batch:
+    """Labelled sequences as padded matrices."""
+
+    def __init__(self, sequences: list[list[int]], y: np.ndarray, weight: np.ndarray):
+        lengths = np.array([len(s) for s in sequences])
+        steps = int(lengths.max())
+        masks = np.zeros((len(sequences), steps), np.int64)
+        for row, own in zip(masks, sequences, strict=True):
+            row[: len(own)] = own
+        self.inside = np.arange(steps) < lengths[:, None]
+        x = np.concatenate([(masks[..., None] >> np.arange(N_FEATURES)) & 1, np.ones((*masks.shape, 1), np.int64)], axis=2)
+        self.x = (x * self.inside[..., None]).astype(np.float32)
+        self.y, self.weight, self.steps = y, weight, steps
+
+    def gradient(self, theta: np.ndarray) -> np.ndarray:
+        x, y, inside, weight, steps = self.x, self.y, self.inside, self.weight, self.steps
+        pairs = inside[:, 1:]
         emission, transition = theta[:-2], theta[-2:]
         e = x @ emission
         forward, backward = np.empty(e.shape), np.zeros(e.shape)
@@ -148,18 +179,13 @@ def fit(sequences: list[list[int]], labels: list[int], rounds: int = 60, penalty
         gradient[-2:] = -np.einsum("dtij,d->ij", joint, weight)
         same = (pairs.sum(axis=1) * weight * np.array([y == 0, y == 1])).sum(axis=1)
         gradient[-2:] += np.diag(same)
-        gradient -= penalty * theta
-        m = 0.9 * m + 0.1 * gradient
-        v = 0.99 * v + 0.01 * gradient**2
-        theta += 0.1 * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.99**turn)) + 1e-8)
-    # Scores enter decoding as content over boilerplate.
-    return Crf(theta[:-2], theta[-2:])
+        return gradient
 
 
 def _sample_lines(batches):
     for batch in batches:
         texts = batch.column("text").cast(pa.binary()).to_pylist()
-        masks = [np.array(lines_of(t or b"")[1][:TRAIN_LINES], np.uint16).tobytes() for t in texts]
+        masks = [np.array(lines_of(t or b"")[1], np.uint16).tobytes() for t in texts]
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("quality"), pa.array(masks, pa.binary())], names=["id", "quality", "masks"])
 
 
