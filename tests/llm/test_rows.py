@@ -121,6 +121,26 @@ def test_forward_sums_all_segmentations():
     assert logs[4] == pytest.approx(sum(math.log10(total(x)) for x in parts[1:]) + language.Lattice(["a" * 31], pieces).log10_words(p)[0, 0])
 
 
+def test_long_words_are_whole():
+    pieces = language.Pieces(["a", "aa", "ab", "b", "▁", "▁a"])
+    p = np.stack([np.linspace(0.02, 0.3, len(pieces) + 1), np.linspace(0.4, 0.01, len(pieces) + 1)], axis=1)
+    index = {t: i for i, t in enumerate(pieces.texts, 1)}
+    for word in ("a" * 33, "ab" * 30 + "x" * 3 + "aab" * 20, "a" * 5000):
+        sums = [[0.0, 0.0]]
+        spelled = "▁" + word
+        for end in range(1, len(spelled) + 1):
+            ways = [(n, index.get(spelled[end - n : end], 0)) for n in (1, 2) if n <= end and (n == 1 or spelled[end - n : end] in index)]
+            sums.append([np.logaddexp.reduce([sums[end - n][k] + math.log(p[i, k]) for n, i in ways]) for k in (0, 1)])
+        got = language.Lattice([word], pieces).log10_words(p)[0]
+        assert got == pytest.approx([x / math.log(10) for x in sums[-1]])
+    # Expected uses: those of the linear sums for short words, and as many letters as there are.
+    short = language.Lattice(["aab", "ab"], pieces).expected(p[:, 0], np.array([2.0, 3.0]))
+    mixed = language.Lattice(["aab", "ab", "a" * 40], pieces).expected(p[:, 0], np.array([2.0, 3.0, 0.0]))
+    assert mixed == pytest.approx(short)
+    sizes = np.array([1, *map(len, pieces.texts)])
+    assert language.Lattice(["a" * 3000], pieces).expected(p[:, 0], np.array([2.0])) @ sizes == pytest.approx(2 * 3001)
+
+
 def test_language_of_held_out_documents(spark):
     path = queries.tokenizer_path(queries.PIECES)
     words = {"en": "the and that with this from have house", "de": "der und nicht ist das ein schön haus"}

@@ -24,8 +24,10 @@ SAMPLE_DOCS = 400
 UNDETERMINED = "und"
 WORD_START = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
-# Characters of a lattice; longer words are scored part by part.
+# Sums over longer words than this are taken in logarithms.
 PART = 32
+# Places of the lattices of longer words that are looked at together.
+PLACES = 1 << 18
 EM_ROUNDS = 4
 # Added to the expected count of every piece, and of the unknown character.
 SMOOTHING = 0.05
@@ -74,17 +76,8 @@ class Lattice:
     """All pieces at all places of many words; piece 0 is an unknown character."""
 
     def __init__(self, words: list[str], pieces: Pieces):
-        parts, owner = [], []
-        for i, word in enumerate(words):
-            word = WORD_START + word
-            if len(word) <= PART:
-                parts.append(word)
-                owner.append(i)
-            else:
-                for start in range(0, len(word), PART):
-                    parts.append(word[start : start + PART])
-                    owner.append(i)
-        self.owner, self.n_words = np.array(owner, np.int64), len(words)
+        parts = [WORD_START + word for word in words]
+        self.longest = pieces.longest
         self.lengths = np.array([len(p) for p in parts], np.int64)
         self.steps = int(self.lengths.max(initial=0))
         points = code_points(parts, self.steps)
@@ -118,31 +111,84 @@ class Lattice:
             alpha[at[heads], end] = np.add.reduceat(terms, heads, axis=0)
         return alpha
 
+    def log_forward(self, p: np.ndarray, columns: int) -> tuple[np.ndarray, np.ndarray]:
+        """Logarithms of the sums up to the last ``columns`` places, by place modulo ``columns``, and up to the end."""
+        log_p = np.log(p)
+        alpha = np.full((len(self.lengths), columns, p.shape[1]), -np.inf)
+        alpha[:, 0] = 0
+        whole = np.zeros((len(self.lengths), p.shape[1]))
+        cuts = np.searchsorted(self.ends, np.arange(1, self.steps + 2))
+        for end in range(1, self.steps + 1):
+            own = slice(cuts[end - 1], cuts[end])
+            at = self.at[own]
+            terms = alpha[at, self.starts[own] % columns] + log_p[self.ids[own]]
+            heads, sums = log_sums(at, terms)
+            alpha[:, end % columns] = -np.inf
+            alpha[heads, end % columns] = sums
+            last = self.lengths == end
+            whole[last] = alpha[last, end % columns]
+        return alpha, whole
+
     def log10_words(self, p: np.ndarray) -> np.ndarray:
         """log10 probability of each word by language."""
+        if self.steps > PART:
+            return self.log_forward(p, self.longest + 1)[1] / np.log(10)
         alpha = self.forward(p)
-        whole = np.log10(alpha[np.arange(len(self.lengths)), self.lengths])
-        out = np.zeros((self.n_words, p.shape[1]))
-        np.add.at(out, self.owner, whole)
-        return out
+        return np.log10(alpha[np.arange(len(self.lengths)), self.lengths])
 
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of each piece in words that occur ``counts`` times."""
-        alpha = self.forward(p[:, None])[:, :, 0]
         rows = np.arange(len(self.lengths))
-        beta = np.zeros_like(alpha)
-        beta[rows, self.lengths] = 1
         by_start = np.lexsort((self.at, -self.starts))
         at, starts, ends, ids = self.at[by_start], self.starts[by_start], self.ends[by_start], self.ids[by_start]
         cuts = np.searchsorted(-starts, -np.arange(self.steps, -2, -1), side="left")
+        in_logs = self.steps > PART
+        if in_logs:
+            alpha, z = (x[..., 0] for x in self.log_forward(p[:, None], self.steps + 1))
+            beta, log_p = np.full_like(alpha, -np.inf), np.log(p)
+            beta[rows, self.lengths] = 0
+        else:
+            alpha = self.forward(p[:, None])[:, :, 0]
+            beta = np.zeros_like(alpha)
+            beta[rows, self.lengths] = 1
+            z = alpha[rows, self.lengths]
         for i, start in enumerate(range(self.steps, -1, -1)):
             own = slice(cuts[i], cuts[i + 1])
             if own.start < own.stop:
-                terms = beta[at[own], ends[own]] * p[ids[own]]
-                beta[:, start] += np.bincount(at[own], terms, len(beta))
-        z = alpha[rows, self.lengths]
-        use = alpha[self.at, self.starts] * p[self.ids] * beta[self.at, self.ends] / z[self.at]
-        return np.bincount(self.ids, use * counts[self.owner][self.at], len(p))
+                if in_logs:
+                    heads, sums = log_sums(at[own], (beta[at[own], ends[own]] + log_p[ids[own]])[:, None])
+                    beta[heads, start] = sums[:, 0]
+                else:
+                    terms = beta[at[own], ends[own]] * p[ids[own]]
+                    beta[:, start] += np.bincount(at[own], terms, len(beta))
+        if in_logs:
+            use = np.exp(alpha[self.at, self.starts] + log_p[self.ids] + beta[self.at, self.ends] - z[self.at])
+        else:
+            use = alpha[self.at, self.starts] * p[self.ids] * beta[self.at, self.ends] / z[self.at]
+        return np.bincount(self.ids, use * counts[self.at], len(p))
+
+
+def log_sums(at: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of the sorted ``at``, and for each the logarithm of the sum of its exponentiated terms."""
+    heads = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    most = np.maximum.reduceat(terms, heads, axis=0)
+    sizes = np.diff(np.concatenate((heads, [len(at)])))
+    return at[heads], most + np.log(np.add.reduceat(np.exp(terms - np.repeat(most, sizes, axis=0)), heads, axis=0))
+
+
+def batches_of(words: list[str]) -> list[np.ndarray]:
+    """Which words to look at together: all short ones, and longer ones of like length."""
+    lengths = np.array([len(w) + len(WORD_START) for w in words], np.int64)
+    order = np.argsort(lengths, kind="stable")
+    n_short = int((lengths <= PART).sum())
+    out, start = [order[:n_short]] if n_short else [], n_short
+    while start < len(order):
+        end = start + 1
+        while end < len(order) and lengths[order[end]] * (end + 1 - start) <= PLACES and lengths[order[end]] <= 2 * lengths[order[start]]:
+            end += 1
+        out.append(order[start:end])
+        start = end
+    return out
 
 
 class Model:
@@ -198,11 +244,11 @@ def train(docs: DataFrame, training: Column, path: str, id_col: str = "doc_id",
     p = np.empty((len(pieces) + 1, len(languages)))
     for k, language in enumerate(languages):
         found = by_lang[language]
-        lattice = Lattice(list(found), pieces)
-        counts = np.array(list(found.values()), np.float64)
+        words, counts = list(found), np.array(list(found.values()), np.float64)
+        lattices = [(Lattice([words[i] for i in batch], pieces), counts[batch]) for batch in batches_of(words)]
         own = np.full(len(p), 1 / len(p))
         for _ in range(EM_ROUNDS if found else 0):
-            uses = lattice.expected(own, counts) + SMOOTHING
+            uses = sum(lattice.expected(own, times) for lattice, times in lattices) + SMOOTHING
             own = uses / uses.sum()
         p[:, k] = own
     return Model(pieces, languages, p)
@@ -224,7 +270,10 @@ class Scorer:
             parts = []
             for start in range(0, len(spelled), 20_000):
                 part = spelled[start : start + 20_000]
-                parts.append(Lattice(part, self.model.pieces).log10_words(self.model.p))
+                logs = np.empty((len(part), len(self.model.languages)))
+                for batch in batches_of(part):
+                    logs[batch] = Lattice([part[i] for i in batch], self.model.pieces).log10_words(self.model.p)
+                parts.append(logs)
             at = len(self.logs)
             self.logs = np.concatenate([self.logs, *parts])
             self.rows.update(zip(spelled, range(at, at + len(spelled)), strict=True))
