@@ -22,19 +22,25 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each class of near-duplicates; of rows of one id the smallest by text.
+    """The document of the smallest id of each class of near-duplicates; of one id the smallest text.
 
-    Rows without id are in no class and stay.
+    Each distinct text of an id is judged by itself, and equal rows by id and
+    text are one.  Rows without id, too, leave one in each class, besides the
+    one that has an id.
     """
-    classes = near_dup.near_duplicates(docs)
-    gone = written(classes.where("id <> class_id").select(F.col("id").alias("doc_id")), "gone")
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    repeated = written(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return kept
-    first = F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("row")
-    once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(first).select("doc_id", "row.*")
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if ids.where("doc_id IS NULL OR n > 1").isEmpty():
+        gone = near_dup.near_duplicates(docs).where("id <> class_id").select(F.col("id").alias("doc_id"))
+        return docs.join(written(gone, "gone"), "doc_id", "left_anti").select(docs.columns)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    keyed = docs.withColumn("near_key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
+    first = F.min(F.struct("doc_id", "text", *rest)).alias("row")
+    once = written(keyed.groupBy("near_key").agg(first).select("near_key", "row.*"), "once")
+    classes = near_dup.near_duplicates(once, id_col="near_key").withColumnRenamed("id", "near_key")
+    least = F.min(F.struct("doc_id", "text", "near_key"))["near_key"].alias("near_key")
+    members = once.select("near_key", "doc_id", "text").join(classes, "near_key")
+    kept = members.groupBy("class_id", F.col("doc_id").isNull()).agg(least).select("near_key")
+    return once.join(written(kept, "kept"), "near_key", "left_semi").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

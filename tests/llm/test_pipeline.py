@@ -37,6 +37,15 @@ def test_repeated_rows_of_an_id_become_one(spark, tmp_path):
     assert sorted(str(r["doc_id"]) for r in found.collect()) == ["1", "None"]
 
 
+def test_each_text_of_an_id_is_judged_by_itself(spark, tmp_path):
+    text = lambda k: " ".join(f"{k}word{i}" for i in range(30))
+    rows = [(5, text("b")), (5, text("c")), (5, text("c")), (6, text("c")), (7, text("d")), (None, text("e")), (None, text("e")), (None, text("f"))]
+    found = corpus_pipeline.keep_one_of_each(spark, docs(spark, rows), str(tmp_path))
+    assert found.columns == docs(spark, []).columns
+    expected = [(5, "b"), (5, "c"), (7, "d"), (None, "e"), (None, "f")]
+    assert sorted((str(r["doc_id"]), r["text"]) for r in found.collect()) == sorted((str(i), text(k)) for i, k in expected)
+
+
 def test_queries_are_registered():
     assert {q.split("_")[0] for q in queries.QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 11))}
     assert queries.ORACLES.keys() <= queries.QUERIES.keys()
