@@ -5,9 +5,10 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import docs, texts
-from tradeloom.llm import decontaminate, near_dup, prints, substring
+from tradeloom.llm import common, decontaminate, near_dup, prints, substring
 from tradeloom.llm.components import components
 
 ITEMS = [
@@ -91,6 +92,18 @@ def test_substring_dedup_equals_brute_force(spark, monkeypatch, blocks):
         assert sum(b - a for a, b in zip(edges[::2], edges[1::2], strict=True)) == r["n_removed"]
 
 
+@pytest.mark.parametrize("repeated", [None, 7])
+def test_no_block_gathers_rows_of_one_id(spark, monkeypatch, repeated):
+    monkeypatch.setattr("tradeloom.llm.common.part_count", lambda df, size: 8)
+    rows = docs(spark, [(i, f"text {i}") for i in range(100, 200)] + [(repeated, f"own {i}") for i in range(100)]).select("doc_id", "text")
+    blocks = [common.in_any_blocks(rows)[0], *([common.in_blocks(rows, "doc_id")[0]] if repeated is None else [])]
+    for found in blocks:
+        sizes = [r["count"] for r in found.where(F.col("doc_id").eqNullSafe(repeated)).groupBy("block").count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 40
+    found = substring.remove_repeats(docs(spark, texts() + [(None, f"{texts()[0][1]} {i}") for i in range(20)])).where("id IS NULL")
+    assert found.count() == 22 and found.where("n_removed > 0 OR longest_repeat > 0").count() == 0
+
+
 def expected_longest(rows, width):
     words = [(i, tuple((t or "").encode().split())) for i, t in rows]
     out = {}

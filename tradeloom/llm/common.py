@@ -57,13 +57,26 @@ def sha256_utf8(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def row_bucket(docs: DataFrame, buckets: int) -> Column:
+    """A hash of the whole row, modulo ``buckets``."""
+    return F.pmod(F.xxhash64(*docs.columns), F.lit(buckets))
+
+
+def in_any_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+    """Add ``block``, a hash of the row, where the order of ids does not matter; exchange by it."""
+    n = part_count(docs, block_bytes)
+    return docs.withColumn("block", row_bucket(docs, n).cast("int")).repartition(n, "block"), n
+
+
 def in_blocks(docs: DataFrame, id_col: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
     """Add ``block``: ranges of ids with about equally many rows, in id order; exchange by it.
 
     Range limits come from one pass over the id column.  Rows without an id are
-    in block 0.  The number of blocks follows the size of the input.
+    spread over all blocks by a hash of the row.  The number of blocks follows
+    the size of the input.
     """
     n = part_count(docs, block_bytes)
+    spread = row_bucket(docs, n)
     if n > 1:
         fractions = [i / n for i in range(1, n)]
         found = docs.agg(F.percentile_approx(id_col, fractions, max(10_000, 20 * n)).alias("at")).first()["at"]
@@ -80,7 +93,7 @@ def in_blocks(docs: DataFrame, id_col: str, block_bytes: int = BLOCK_BYTES) -> t
             F.lit(0),
             lambda at, step: F.when(F.element_at(padded, at + step) <= F.col(id_col), at + step).otherwise(at),
         )
-        block = F.coalesce(F.when(F.col(id_col).isNotNull(), block), F.lit(0))
+        block = F.when(F.col(id_col).isNotNull(), block).otherwise(spread)
     else:
-        block = F.lit(0)
+        block = F.when(F.col(id_col).isNotNull(), 0).otherwise(spread)
     return docs.withColumn("block", block.cast("int")).repartition(n, "block"), n

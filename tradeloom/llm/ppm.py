@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tradeloom.llm.common import BLOCK_BYTES, in_blocks
+from tradeloom.llm.common import BLOCK_BYTES, in_any_blocks
 from tradeloom.llm.prints import (
     COUNTS,
     SENT,
@@ -483,7 +483,7 @@ def scored(
         raise ValueError(mode)
     if mode == "pretrained" and order > LONGEST:
         raise ValueError(f"a gram of more than {LONGEST} context bytes does not fit a 64-bit print")
-    blocks, n = in_blocks(rows, "id", block_bytes)
+    blocks, n = in_any_blocks(rows, block_bytes)
     sent = blocks.groupBy("block").applyInArrow(_send(n), SENT)
     totals = sent.groupBy("bucket").applyInArrow(_corpus, "types long, tokens long")
     size = totals.agg(F.coalesce(F.sum("types"), F.lit(0)).alias("v"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"))
