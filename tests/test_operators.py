@@ -207,3 +207,14 @@ def test_hot_key_is_split_and_nothing_is_lost(spark, tmp_path, monkeypatch):
     finally:
         for k in settings:
             spark.conf.set(k, before[k]) if k in before else spark.conf.unset(k)
+
+
+def test_product_shares_are_of_all_products_without_one_task(spark):
+    rows = [(f"p{i % 40}", Decimal(i), Decimal(1)) for i in range(200)]
+    products = spark.createDataFrame(rows, "product_name string, sales decimal(18,2), profit decimal(18,2)")
+    top = reports.top_products(products, 3)
+    assert "Window" not in top._jdf.queryExecution().executedPlan().toString()
+    found = [(r["product_name"], float(r["sales"]), float(r["revenue_share"])) for r in top.collect()]
+    expected = sorted(((f"p{k}", sum(float(i) for i in range(k, 200, 40))) for k in range(40)), key=lambda x: -x[1])[:3]
+    assert [(name, sales) for name, sales, _ in found] == expected
+    assert [share for _, _, share in found] == pytest.approx([sales / 19900 for _, sales in expected], abs=1e-3)

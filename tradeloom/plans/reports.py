@@ -10,6 +10,7 @@ from tradeloom.functions.dates import hierarchy_columns
 from tradeloom.functions.money import safe_divide
 from tradeloom.plans import measures as M
 from tradeloom.plans.marts import TOTAL, with_year_month
+from tradeloom.session import cut_lineage
 
 
 def top_n(rows: DataFrame, value: str, n: int, tie_break: list[str]) -> DataFrame:
@@ -39,15 +40,23 @@ def revenue_by_year(monthly: DataFrame, where: Column | None = None) -> DataFram
     return M.summarise(monthly, {"total_revenue": M.money_total("sales")}, ["year"], where).orderBy("year")
 
 
-def sales_with_share(mart: DataFrame, by: str) -> DataFrame:
-    """Sales and profit by one attribute with revenue share and margin, best first."""
+def sales_with_share(mart: DataFrame, by: str, many: bool = False) -> DataFrame:
+    """Sales and profit by one attribute with revenue share and margin, best first.
+
+    The groups add up to the whole, so the mart is evaluated once.  Where they
+    are ``many``, they are written and their total is read from there, so that
+    they never gather in one task.
+    """
     groups = M.summarise(
         mart,
         {"sales": M.money_total("sales"), "profit": M.money_total("profit"), "profit_margin": M.margin()},
         [by],
     )
-    # The groups are few and add up to the whole, so the mart is evaluated once.
-    whole = F.sum("sales").over(W.partitionBy()).cast(TOTAL)
+    if many:
+        groups = cut_lineage(groups, "groups")
+        whole = groups.agg(F.sum("sales").cast(TOTAL).alias("whole")).scalar()
+    else:
+        whole = F.sum("sales").over(W.partitionBy()).cast(TOTAL)
     return ranked(
         groups.withColumn("revenue_share", safe_divide(F.col("sales"), whole)), "sales", by
     )
@@ -60,7 +69,7 @@ def sales_and_profit(mart: DataFrame, by: str) -> DataFrame:
 
 def top_products(products: DataFrame, n: int = 10) -> DataFrame:
     """Best product names (names, not ids) with share of all sales and margin."""
-    return top_n(sales_with_share(products, "product_name"), "sales", n, ["product_name"])
+    return top_n(sales_with_share(products, "product_name", many=True), "sales", n, ["product_name"])
 
 
 def segments(customers: DataFrame) -> DataFrame:
