@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradeloom.llm import bpe, chat, decontaminate, language, near_dup, ppm, quality, secret_scan, substring, warc
+from tradeloom.llm import bpe, chat, decontaminate, language, near_dup, permutation, ppm, prefix_trie, quality, secret_scan, substring, warc
 from tradeloom.llm.common import crc_bucket, sha256_utf8, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -118,6 +118,18 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector whose id is divisible by 20: its 20 nearest by inner product."""
+    found = permutation.neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per prefix of rebuilt conversations: who begins so, and what sharing its turns saves."""
+    conv = F.col("conv_id")
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), hosted=crc_bucket(conv, 6), host=conv - conv % 100)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
     import corpus_pipeline
@@ -137,6 +149,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_secrets": op9_secrets,
     "op10_lm_score": op10_lm_score,
+    "op11_neighbours": op11_neighbours,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -231,9 +245,53 @@ SELECT conv_id, count(*) AS n_turns,
 FROM message GROUP BY conv_id
 """
 
+#: The bits of an id's decimal digits, shifted through the reversed polynomial of crc32.
+CRC32 = """xor(list_reduce(
+  list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda c: list_transform(range(8), lambda i: CAST((ascii(c) >> CAST(i AS INTEGER)) & 1 AS BIGINT))))),
+  lambda s, b: xor(s >> 1, 3988292384 * (xor(s, b) & 1))), 4294967295)"""
+
+#: A prefix is named by the digests of its turns; a node's ancestors are the prefixes of its smallest member.
+OP13_SQL = f"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS d,
+    md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS t, length(coalesce(text, '')) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS host, {CRC32} % 6 AS h FROM (SELECT DISTINCT conv_id FROM own)
+), mixed AS (
+  SELECT c.conv_id, o.d, t, chars FROM conv c JOIN own o ON o.conv_id = c.host AND o.d <= c.h
+  UNION ALL SELECT c.conv_id, o.d, t, chars FROM conv c JOIN own o ON o.conv_id = c.conv_id AND o.d > c.h
+), placed AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY d) AS depth, t, chars FROM mixed
+), member AS (
+  SELECT conv_id, depth, string_agg(t, '') OVER (PARTITION BY conv_id ORDER BY depth) AS prefix, chars FROM placed
+  UNION ALL SELECT conv_id, 0, '', 0 FROM conv
+), sized AS (
+  SELECT *, max(depth) OVER (PARTITION BY conv_id) = depth AS ends FROM member
+), node AS (
+  SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars,
+    sha256(coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM sized GROUP BY depth, prefix
+), linked AS (
+  SELECT n.*, p.prefix AS parent, p.conv_id AS parent_conv_id
+  FROM node n LEFT JOIN node p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1 : 32 * (n.depth - 1)]
+), children AS (
+  SELECT depth - 1 AS depth, parent AS prefix, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY ALL
+), leafy AS (
+  SELECT l.*, coalesce(n_children, 0) AS n_children FROM linked l LEFT JOIN children USING (depth, prefix)
+), below AS (
+  SELECT m.depth, m.prefix, CAST(sum((l.n_convs - 1) * l.chars) AS BIGINT) AS saved_tokens, count(*) FILTER (WHERE l.n_children = 0) AS n_leaves
+  FROM leafy l JOIN member m ON m.conv_id = l.conv_id AND m.depth <= l.depth GROUP BY m.depth, m.prefix
+)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM leafy JOIN below USING (depth, prefix)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
     "op2_warc": OP2_SQL,
     "op7_substring_dedup": OP7_SQL,
     "op8_chat": OP8_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
