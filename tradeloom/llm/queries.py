@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradeloom.llm import bpe, chat, decontaminate, language, near_dup, permutation, ppm, prefix_trie, quality, secret_scan, substring, warc
+from tradeloom.llm import bpe, chat, decontaminate, language, near_dup, permutation, phrases, ppm, prefix_trie, quality, secret_scan, substring, warc
 from tradeloom.llm.common import crc_bucket, sha256_utf8, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -124,6 +124,11 @@ def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language its phrases of 2 to 5 words, best first."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per prefix of rebuilt conversations: who begins so, and what sharing its turns saves."""
     conv = F.col("conv_id")
@@ -150,6 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secrets": op9_secrets,
     "op10_lm_score": op10_lm_score,
     "op11_neighbours": op11_neighbours,
+    "op12_collocations": op12_collocations,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
@@ -245,6 +251,39 @@ SELECT conv_id, count(*) AS n_turns,
 FROM message GROUP BY conv_id
 """
 
+#: All windows of up to five words; a phrase's parts are looked up among them.
+OP12_SQL = rf"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWERED.format("text")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece
+), size AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+place AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+phrase AS (
+  SELECT lang, size, array_to_string(w[i : i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM place, range(1, 6) t(size) WHERE i + size - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100
+), cut AS (
+  SELECT lang, phrase, f, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM phrase WHERE size > 1
+), scored AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.k, l.f AS l, r.f AS r, n,
+    (1000::HUGEINT * c.f::HUGEINT * n::HUGEINT) // (l.f::HUGEINT * r.f::HUGEINT) AS score
+  FROM cut c JOIN size USING (lang)
+  JOIN phrase l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : k], ' ')
+  JOIN phrase r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1 :], ' ')
+), weakest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored
+), longer AS (
+  SELECT lang, array_to_string(w[i : i + size - 1], ' ') AS phrase, max(f) AS f
+  FROM (SELECT DISTINCT lang, w, f FROM cut), range(1, 5) s(i), range(2, 5) t(size)
+  WHERE i + size - 1 <= len(w) AND size < len(w) GROUP BY ALL
+), kept AS (
+  SELECT s.* FROM weakest s LEFT JOIN longer g USING (lang, phrase) WHERE nth = 1 AND (g.f IS NULL OR 100 * g.f < 100 * s.a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
 #: The bits of an id's decimal digits, shifted through the reversed polynomial of crc32.
 CRC32 = """xor(list_reduce(
   list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
@@ -293,5 +332,6 @@ ORACLES: dict[str, str] = {
     "op2_warc": OP2_SQL,
     "op7_substring_dedup": OP7_SQL,
     "op8_chat": OP8_SQL,
+    "op12_collocations": OP12_SQL,
     "op13_prefix_trie": OP13_SQL,
 }
