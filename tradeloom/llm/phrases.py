@@ -40,8 +40,10 @@ BITS = 27
 # Spark's bitmap functions make pieces of so many bits.
 BITMAP = 32768
 # Text that is tokenized at once, and distinct rows that a task puts together.
-CHUNK = 1 << 22
-HELD = 1 << 20
+CHUNK = 1 << 20
+HELD = 1 << 19
+# Rows of a batch that are taken out of Arrow at once.
+SLICE = 512
 
 BREAK = b"\xff"  # never in UTF-8
 #: Lower-cases A-Z, and ends pieces at [.,;:!?\x0A-\x0D].
@@ -71,12 +73,14 @@ def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
 
 
 def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
-    langs = np.asarray(batch.column("lang").fill_null(UNKNOWN), dtype=object)
-    texts = batch.column("text").cast(pa.binary()).to_pylist()
-    for lang in sorted(set(langs)):
-        for words in _chunks([texts[i] for i in np.flatnonzero(langs == lang) if texts[i]]):
-            if words:
-                yield lang, words
+    for start in range(0, len(batch), SLICE):
+        rows = batch.slice(start, SLICE)
+        langs = np.asarray(rows.column("lang").to_pylist(), dtype=object)
+        texts = rows.column("text").cast(pa.binary()).to_pylist()
+        for lang in sorted(set(langs)):
+            for words in _chunks([texts[i] for i in np.flatnonzero(langs == lang) if texts[i]]):
+                if words:
+                    yield lang, words
 
 
 class Counter:
