@@ -10,7 +10,7 @@ from tradeloom import contracts as C
 from tradeloom.functions.dates import calendar_columns
 from tradeloom.operators.fx import daily_rates, latest_rates
 from tradeloom.operators.keys import dense_keys
-from tradeloom.operators.merge import insert_if_absent, upsert
+from tradeloom.operators.merge import insert_if_absent, update_only, upsert
 
 DIM_KEYS = {
     "dim_customer": ("customers", "customer_id", "customer_key"),
@@ -87,12 +87,8 @@ def code_key(code: Column, rows: tuple) -> Column:
 
 def refresh_currency_rates(currencies: DataFrame, rates: DataFrame) -> DataFrame:
     """Seeded currencies with the latest rate; codes without one keep theirs."""
-    latest = latest_rates(daily_rates(rates)).select("currency_code", "latest_rate")
-    return (
-        currencies.join(latest, "currency_code", "left")
-        .withColumn("rate_to_inr", F.coalesce("latest_rate", "rate_to_inr").cast(C.RATE))
-        .select(currencies.columns)
-    )
+    latest = latest_rates(daily_rates(rates)).withColumn("rate_to_inr", F.col("latest_rate").cast(C.RATE))
+    return update_only(currencies, latest, "currency_code", "rate_to_inr")
 
 
 def calendar_seed(spark: SparkSession) -> DataFrame:

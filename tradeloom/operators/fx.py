@@ -25,16 +25,33 @@ def latest_rates(daily: DataFrame) -> DataFrame:
     )
 
 
-def rate_per_day(daily: DataFrame) -> DataFrame:
-    """Every calendar day from a currency's first to its last quote, gaps carried forward.
+def asof_rates(asked: DataFrame, daily: DataFrame, currency: str, day: str) -> DataFrame:
+    """For each distinct currency and day of ``asked`` the last quote on or before it, if there is one.
 
-    The window sees one currency's quotes, which a calendar bounds.
+    Asked days and quotes are united and put in order per currency and year; a
+    day takes the last quote before it in its year, or else the last one of the
+    years before.  So a gap between two quotes costs nothing, however long, and
+    a window sees one year of one currency.
     """
-    following = F.lead("rate_date").over(W.partitionBy("currency_code").orderBy("rate_date"))
-    until = F.coalesce(F.date_sub(following, 1), F.col("rate_date"))
-    spans = daily.withColumn("_until", until)
-    days = F.explode(F.sequence("rate_date", "_until"))
-    return spans.withColumn("rate_date", days).drop("_until")
+    days = asked.select(F.col(currency).alias("_code"), F.col(day).alias("_day")).dropna().distinct()
+    quotes = daily.select(F.col("currency_code").alias("_code"), F.col("rate_date").alias("_day"), F.col("rate_to_inr").alias("_quote"))
+    both = quotes.withColumn("_asked", F.lit(False)).unionByName(
+        days.withColumns({"_quote": F.lit(None).cast(RATE), "_asked": F.lit(True)})
+    )
+    both = both.withColumn("_year", F.year("_day"))
+    in_year = W.partitionBy("_code", "_year").orderBy("_day", "_asked").rowsBetween(W.unboundedPreceding, 0)
+    placed = both.withColumn("_within", F.last("_quote", ignorenulls=True).over(in_year)).where("_asked")
+    # The last quote of each year with one, carried over the years up to the next such one.
+    ends = quotes.groupBy("_code", F.year("_day").alias("_year")).agg(F.max_by("_quote", "_day").alias("_end"))
+    years = placed.where(F.col("_within").isNull()).select("_code", "_year").distinct()
+    years = years.withColumn("_end", F.lit(None).cast(RATE)).unionByName(ends)
+    earlier = W.partitionBy("_code").orderBy("_year").rangeBetween(W.unboundedPreceding, -1)
+    carried = years.withColumn("_before", F.last("_end", ignorenulls=True).over(earlier))
+    carried = carried.groupBy("_code", "_year").agg(F.max("_before").alias("_before"))
+    found = placed.join(carried, ["_code", "_year"], "left")
+    return found.select(
+        F.col("_code").alias(currency), F.col("_day").alias(day), F.coalesce("_within", "_before").alias("rate_to_inr")
+    )
 
 
 def attach_rates(
@@ -52,8 +69,13 @@ def attach_rates(
     currency defaults to 1.
     """
     daily = daily_rates(rates)
-    exact = rate_per_day(daily) if fallback == "asof" else daily
-    exact = exact.select(
+    base = F.when(F.col(currency) == BASE_CURRENCY, F.lit(1).cast(RATE))
+    if fallback == "asof":
+        found = asof_rates(frame, daily, currency, day).withColumnRenamed("rate_to_inr", "_exact")
+        # A row per currency and day that occur: whether that is small Spark sees when it has them.
+        joined = frame.join(found, [currency, day], "left")
+        return joined.withColumn("fx_rate", F.coalesce("_exact", base)).drop("_exact")
+    exact = daily.select(
         F.col("currency_code").alias(currency),
         F.col("rate_date").alias(day),
         F.col("rate_to_inr").alias("_exact"),
@@ -62,10 +84,6 @@ def attach_rates(
     allowed = daily.filter(F.col("currency_code").isin(*CURRENCY_CODES))
     latest = F.broadcast(latest_rates(allowed).withColumnRenamed("currency_code", currency))
     joined = lookup_join(frame, exact, [currency, day], "left").join(latest, currency, "left")
-    spare = F.col("latest_rate")
-    if fallback == "asof":
-        spare = F.when(F.col(day) >= F.col("latest_date"), spare)
-    base = F.when(F.col(currency) == BASE_CURRENCY, F.lit(1).cast(RATE))
-    return joined.withColumn("fx_rate", F.coalesce("_exact", spare, base)).drop(
+    return joined.withColumn("fx_rate", F.coalesce("_exact", "latest_rate", base)).drop(
         "_exact", "latest_rate", "latest_date"
     )

@@ -4,34 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-BUCKET_DIGITS = 3  # 16**3 = 4096 buckets
+from tradeloom.session import cut_lineage
 
+#: Hex digits of an MD5 that choose a part, and how many values they have.
+PART_DIGITS, PART_VALUES = 8, 1 << 32
 
-def key_bucket(business_key: Column) -> Column:
-    """Leading hex digits of the key's MD5: even buckets however ids are spelled."""
-    return F.substring(F.md5(business_key), 1, BUCKET_DIGITS)
+
+def digest_part(digest: Column, parts: int) -> Column:
+    """Which of equal ranges of MD5 digests one lies in; rises with the digest."""
+    place = F.conv(F.substring(digest, 1, PART_DIGITS), 16, 10).cast("bigint")
+    return F.shiftright(place * F.lit(parts), 32).cast("int")
 
 
 def dense_keys(
-    df: DataFrame, business_key: str, surrogate: str, start: Column | None = None
+    df: DataFrame, business_key: str, surrogate: str, start: Column | int | None = None, parts: int | None = None
 ) -> DataFrame:
-    """Number rows ``start+1 .. start+n`` by (bucket, business key).
-
-    Bucket sizes become offsets (at most 4096 rows pass through one task);
-    the numbering inside a bucket is parallel over buckets.  The result depends
-    only on the data, so a recomputed task hands out the same keys.
+    """Number rows ``start+1 .. start+n`` by the key's MD5, equal digests by the key.
+
+    Digests spread evenly however ids are spelled, so ranges of them need no
+    sampling: each is numbered by itself, in one exchange over which ``df`` is
+    evaluated once.  The numbered rows are written, and the sizes of the parts,
+    read from there, become their offsets.  ``parts`` is the session's number of
+    shuffle partitions unless given; it does not change the result, which depends
+    on the data only, so a recomputed task hands out the same keys.
     """
-    bucketed = df.withColumn("_bucket", key_bucket(F.col(business_key)))
-    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size"))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
-    )
-    position = F.row_number().over(W.partitionBy("_bucket").orderBy(business_key))
-    first = F.lit(0).cast("bigint") if start is None else start
-    numbered = (
-        bucketed.withColumn("_position", position)
-        .join(F.broadcast(offsets), "_bucket")
-        .withColumn(surrogate, (first + F.col("_offset") + F.col("_position")).cast("bigint"))
-    )
-    return numbered.select(surrogate, *df.columns)
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    digest = F.md5(F.col(business_key).cast("string"))
+    placed = df.withColumns({"_digest": digest, "_part": digest_part(digest, parts)})
+    position = F.row_number().over(W.partitionBy("_part").orderBy("_digest", business_key))
+    numbered = cut_lineage(placed.withColumn("_position", position).drop("_digest"), "numbered")
+    # A row per part; their number is a setting, not the data's.
+    sizes = numbered.groupBy("_part").agg(F.max("_position").alias("_size"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    first = start if isinstance(start, Column) else F.lit(start or 0).cast("bigint")
+    key = (first + F.col("_offset") + F.col("_position")).cast("bigint")
+    return numbered.join(F.broadcast(offsets), "_part").select(key.alias(surrogate), *df.columns)

@@ -19,6 +19,7 @@ from tradeloom.operators.joins import lookup_join
 from tradeloom.operators.rules import DUPLICATE, SPECS, TableSpec, known
 
 HITS = "_hits"
+MALFORMED_RULE = "malformed_record"
 WORKING_DECIMAL = "decimal(18,6)"
 
 
@@ -189,6 +190,11 @@ def _tag_with_parents(
 
 def rule_counts(spec: TableSpec, tagged: DataFrame) -> DataFrame:
     """One row per rule, zero hits included: all hits, and hits as the first rule."""
+    return _counted(spec, tagged, []).drop("malformed")
+
+
+def _counted(spec: TableSpec, tagged: DataFrame, more: list[Column], malformed: Column | None = None) -> DataFrame:
+    """The rows of ``rule_counts`` and ``more``, structs like theirs over the table's totals, from one pass."""
     rules = spec.rules()
     first = F.col(HITS).bitwiseAND(-F.col(HITS))
     totals = tagged.agg(
@@ -206,31 +212,45 @@ def rule_counts(spec: TableSpec, tagged: DataFrame) -> DataFrame:
         )
         for i, rule in enumerate(rules)
     ]
-    return totals.select(
+    totals = totals.withColumn("malformed", F.lit(0).cast("bigint") if malformed is None else malformed)
+    rejected = reduce(lambda a, b: a + b, [F.col(f"first_{i}") for i in range(len(rules))])
+    return totals.withColumn("records_rejected_first", rejected).select(
         F.lit(spec.name).alias("table_name"),
         "records_checked",
-        F.inline(F.array(*entries)),
+        "malformed",
+        F.inline(F.array(*entries, *more)),
     )
 
 
-def dq_rows(tagged: dict[str, DataFrame]) -> DataFrame:
+def _entry(name: str, failed: Column) -> Column:
+    """A row like those of the rules, for something that is counted beside them."""
+    return F.struct(
+        F.lit(0).alias("rule_no"),
+        F.lit(name).alias("rule_name"),
+        F.lit("").alias("reason"),
+        failed.alias("records_failed"),
+        failed.alias("records_rejected"),
+    )
+
+
+def dq_rows(tagged: dict[str, DataFrame], malformed: dict[str, DataFrame] | None = None) -> DataFrame:
     """Result rows of a run: every rule that was hit, then the table's overall row.
 
-    One pass per table; the overall row counts rejected records, which is the
-    sum over first-failing rules.
+    One pass per table yields both; the overall row counts rejected records,
+    which is the sum over first-failing rules.  ``malformed`` has the lines that
+    could not be read as records: checked and failed, by a rule of their own.
     """
     per_table = []
     for name, df in tagged.items():
-        counts = rule_counts(SPECS[name], df)
-        hit = counts.filter(F.col("records_failed") > 0).select(
-            "table_name", "rule_name", "records_checked", "records_failed"
-        )
-        overall = counts.groupBy("table_name").agg(
-            F.lit(OVERALL_RULE).alias("rule_name"),
-            F.max("records_checked").alias("records_checked"),
-            F.sum("records_rejected").alias("records_failed"),
-        )
-        per_table.append(hit.unionByName(overall))
+        lines = malformed[name].agg(F.count("*")).scalar() if malformed else None
+        more = [
+            _entry(MALFORMED_RULE, F.col("malformed")),
+            _entry(OVERALL_RULE, F.col("records_rejected_first") + F.col("malformed")),
+        ]
+        counts = _counted(SPECS[name], df, more, lines)
+        shown = (F.col("records_failed") > 0) | (F.col("rule_name") == OVERALL_RULE)
+        checked = (F.col("records_checked") + F.col("malformed")).alias("records_checked")
+        per_table.append(counts.filter(shown).select("table_name", "rule_name", checked, "records_failed"))
     rows = reduce(DataFrame.unionByName, per_table)
     rate = F.col("records_failed").cast("double") / F.col("records_checked").cast("double")
     return rows.withColumn(

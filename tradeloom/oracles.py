@@ -540,9 +540,9 @@ CTES["sales"] = (
 
 
 def _numbered(rows: str, business: str, surrogate: str) -> str:
-    """Keys 1..n in the order of (leading MD5 digits, id)."""
+    """Keys 1..n in the order of the id's MD5."""
     return (
-        f"SELECT CAST(row_number() OVER (ORDER BY substr(md5({business}), 1, 3), {business}) "
+        f"SELECT CAST(row_number() OVER (ORDER BY md5({business}), {business}) "
         f"AS BIGINT) AS {surrogate}, * FROM {rows}"
     )
 
@@ -917,9 +917,9 @@ _CUSTOMER = "customer_id, first_name, last_name, email, phone, city, state, coun
 _oracle(
     "merge_dim_customer",
     f"""SELECT CAST(CASE WHEN early
-    THEN row_number() OVER (PARTITION BY early ORDER BY substr(md5(customer_id), 1, 3), customer_id)
+    THEN row_number() OVER (PARTITION BY early ORDER BY md5(customer_id), customer_id)
     ELSE (SELECT count(*) FROM stg_customers WHERE signup_date < DATE '1994-10-01')
-       + row_number() OVER (PARTITION BY early ORDER BY substr(md5(customer_id), 1, 3), customer_id)
+       + row_number() OVER (PARTITION BY early ORDER BY md5(customer_id), customer_id)
     END AS BIGINT) AS customer_key,
   customer_id, first_name, last_name, email, phone,
   CASE WHEN late THEN upper(city) ELSE city END AS city, state, country,
@@ -930,7 +930,7 @@ FROM (SELECT {_CUSTOMER}, signup_date < DATE '1994-10-01' AS early,
 
 
 def _two_loads(rows: str, key: str, surrogate: str, status: str, shown: str) -> str:
-    numbering = f"row_number() OVER (PARTITION BY early ORDER BY substr(md5({key}), 1, 3), {key})"
+    numbering = f"row_number() OVER (PARTITION BY early ORDER BY md5({key}), {key})"
     return f"""SELECT CAST(CASE WHEN early THEN 0
     ELSE (SELECT count(*) FROM ({rows}) WHERE date_key < 20000101) END + {numbering} AS BIGINT)
     AS {surrogate},

@@ -16,9 +16,11 @@ from tradeloom.session import cut_lineage
 def top_n(rows: DataFrame, value: str, n: int, tie_break: list[str]) -> DataFrame:
     """The n highest rows, with every row tied to the n-th.
 
-    The n-th value is found from each task's own top n and becomes a threshold,
-    so however many rows tie with it, they never gather in one task.
+    The rows are written once.  The n-th value is found from each task's own top
+    n and becomes a threshold, so however many rows tie with it, they never
+    gather in one task.
     """
+    rows = cut_lineage(rows, "ranked")
     threshold = rows.select(value).orderBy(F.desc(value)).limit(n).agg(F.min(value)).scalar()
     return rows.filter(F.col(value) >= threshold).orderBy(F.desc(value), *tie_break)
 
