@@ -7,6 +7,8 @@ other: a filter only reaches the mart it names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tradeloom.functions.dates import seconds_between
@@ -16,40 +18,53 @@ from tradeloom.plans.marts import TOTAL
 Measures = dict[str, Column]
 
 
-def money_total(name: str) -> Column:
-    return F.sum(name).cast(TOTAL)
+#: What a measure calls a mart's column: the column itself, or its values in the rows of one mart among several.
+Of = Callable[[str], Column]
+
+
+def within(name: str) -> Of:
+    """Columns of one mart in ``marts.all_sales_marts``; null in the rows of the others."""
+    own = F.col("mart") == name
+    figures = ("sales", "orders", "units", "profit")
+    return lambda c: F.when(own, F.col(c)) if c in figures else F.col(f"{name}.{c}")
 
 
-def count_total(name: str) -> Column:
-    return F.sum(name).cast("bigint")
+def money_total(name: str, of: Of = F.col) -> Column:
+    return F.sum(of(name)).cast(TOTAL)
 
 
-def executive() -> Measures:
+def count_total(name: str, of: Of = F.col) -> Column:
+    return F.sum(of(name)).cast("bigint")
+
+
+def executive(of: Of = F.col) -> Measures:
+    sales, profit, orders = money_total("sales", of), money_total("profit", of), count_total("orders", of)
     return {
-        "total_revenue": money_total("sales"),
-        "total_profit": money_total("profit"),
-        "total_orders": count_total("orders"),
-        "units_sold": count_total("units"),
-        "profit_margin": safe_divide(money_total("profit"), money_total("sales")),
-        "average_order_value": safe_divide(money_total("sales"), count_total("orders")),
+        "total_revenue": sales,
+        "total_profit": profit,
+        "total_orders": orders,
+        "units_sold": count_total("units", of),
+        "profit_margin": safe_divide(profit, sales),
+        "average_order_value": safe_divide(sales, orders),
     }
 
 
-def customer() -> Measures:
+def customer(of: Of = F.col) -> Measures:
+    customers = F.count_distinct(of("customer_id"))
     return {
-        "purchasing_customers": F.count_distinct("customer_id"),
-        "customer_revenue": money_total("sales"),
-        "customer_profit": money_total("profit"),
-        "customer_orders": count_total("orders"),
-        "revenue_per_customer": safe_divide(money_total("sales"), F.count_distinct("customer_id")),
+        "purchasing_customers": customers,
+        "customer_revenue": money_total("sales", of),
+        "customer_profit": money_total("profit", of),
+        "customer_orders": count_total("orders", of),
+        "revenue_per_customer": safe_divide(money_total("sales", of), customers),
     }
 
 
-def store() -> Measures:
+def store(of: Of = F.col) -> Measures:
     return {
-        "store_revenue": money_total("sales"),
-        "store_profit": money_total("profit"),
-        "store_orders": count_total("orders"),
+        "store_revenue": money_total("sales", of),
+        "store_profit": money_total("profit", of),
+        "store_orders": count_total("orders", of),
     }
 
 
@@ -163,22 +178,27 @@ def latest_quality(runs: DataFrame) -> DataFrame:
     return runs.filter(done).agg(F.max_by("quality_score", order).alias("latest_quality_score"))
 
 
-def bundle(
-    monthly: DataFrame, customers: DataFrame, stores: DataFrame, deliveries: DataFrame
-) -> DataFrame:
-    """The saved one-row summary of fourteen measures from four unrelated marts."""
-    row = summarise(monthly, executive())
-    wanted = (
-        (customers, customer(), ("purchasing_customers", "customer_revenue", "customer_profit")),
-        (stores, store(), ("store_revenue", "store_profit")),
-        (
-            deliveries,
-            delivery(),
-            ("total_deliveries", "average_delivery_minutes", "average_delivery_km"),
-        ),
-    )
-    for i, (mart, measures, names) in enumerate(wanted):
-        packed = summarise(mart, {n: measures[n] for n in names}).select(F.struct(*names))
-        row = row.withColumn(f"_m{i}", packed.scalar())
-        row = row.withColumns({n: F.col(f"_m{i}.{n}") for n in names}).drop(f"_m{i}")
-    return row
+#: The marts that the summary reads.
+BUNDLED = ("monthly_sales", "customer_performance", "store_performance")
+
+
+def bundle(sales_marts: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """The saved one-row summary of fourteen measures from four unrelated marts.
+
+    ``sales_marts`` holds the three of ``BUNDLED`` as ``marts.all_sales_marts``
+    does; their measures are taken in one aggregate.
+    """
+    customers, stores = customer(within("customer_performance")), store(within("store_performance"))
+    chosen = executive(within("monthly_sales"))
+    chosen |= {n: customers[n] for n in ("purchasing_customers", "customer_revenue", "customer_profit")}
+    chosen |= {n: stores[n] for n in ("store_revenue", "store_profit")}
+    names = ("total_deliveries", "average_delivery_minutes", "average_delivery_km")
+    packed = summarise(deliveries, {n: delivery()[n] for n in names}).select(F.struct(*names))
+    row = summarise(sales_marts, chosen).withColumn("_d", packed.scalar())
+    return row.withColumns({n: F.col(f"_d.{n}") for n in names}).drop("_d")
+
+
+def margins(sales_marts: DataFrame, members: dict[str, str]) -> DataFrame:
+    """Profit margin per (mart, member) of marts held by one frame; ``members`` names each mart's column."""
+    member = F.coalesce(*[F.col(f"{mart}.{c}").cast("string") for mart, c in members.items()])
+    return summarise(sales_marts.withColumn("member", member), {"profit_margin": margin()}, ["mart", "member"])

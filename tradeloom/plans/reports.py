@@ -188,10 +188,18 @@ def by_date_hierarchy(rows: DataFrame, ts: str, name: str) -> DataFrame:
     )
 
 
-def slicer_values(columns: list[tuple[str, DataFrame, str]]) -> DataFrame:
-    """Distinct values of report filters as (slicer, value) rows."""
-    parts = [
-        mart.select(F.lit(name).alias("slicer"), F.col(c).cast("string").alias("value")).distinct()
-        for name, mart, c in columns
-    ]
+def slicer_values(sources: list[tuple[DataFrame, dict[str, tuple[str, Column | None]]]]) -> DataFrame:
+    """Distinct values of report filters as (slicer, value) rows.
+
+    Each source names its slicers' columns, and for a frame of several marts the
+    rows that have them; it is read once for all of them.
+    """
+    parts = []
+    for frame, slicers in sources:
+        entries = []
+        for name, (c, rows) in slicers.items():
+            entry = F.struct(F.lit(name).alias("slicer"), F.col(c).cast("string").alias("value"))
+            entries.append(entry if rows is None else F.when(rows, entry))
+        found = frame.select(F.explode(F.array_compact(F.array(*entries))).alias("_entry"))
+        parts.append(found.select("_entry.*").distinct())
     return reduce(DataFrame.unionByName, parts)

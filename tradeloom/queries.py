@@ -1,8 +1,9 @@
 """Every operator as a named query over a directory of sample tables.
 
-Each query reads the given tables through ``SampleSources`` and returns a lazy
-DataFrame.  Sources are whole tables; validation queries use the dirty
-variants, warehouse and reporting queries the clean ones.
+Each query reads the given tables through ``SampleSources`` and returns a
+DataFrame; those that read an intermediate several times write it first.
+Sources are whole tables; validation queries use the dirty variants, warehouse
+and reporting queries the clean ones.
 """
 
 from __future__ import annotations
@@ -92,6 +93,11 @@ class Sample:
         )
         return marts.summarise_lines(name, lines)
 
+    def marts(self, *names: str) -> DataFrame:
+        """Several sales marts from one pass over the lines."""
+        star, carry = marts.with_carried(self.star, names)
+        return marts.all_sales_marts(facts.sales_lines(self.clean, star, with_payment=False, carry=carry), names)
+
     @cached_property
     def runs(self) -> DataFrame:
         return ledger_state(self.tables.run_events())
@@ -545,12 +551,7 @@ def measures_ops(s: Sample) -> DataFrame:
 
 @query
 def measures_bundle(s: Sample) -> DataFrame:
-    return measures.bundle(
-        s.mart("monthly_sales"),
-        s.mart("customer_performance"),
-        s.mart("store_performance"),
-        s.mart("delivery_performance"),
-    )
+    return measures.bundle(s.marts(*measures.BUNDLED), s.mart("delivery_performance"))
 
 
 @query
@@ -590,17 +591,8 @@ _register("product_share", _share("product_performance", "product_id"))
 @query
 def margins(s: Sample) -> DataFrame:
     """Profit margin by category, channel and product."""
-    out = None
-    for mart, by in (
-        ("category_performance", "category"),
-        ("channel_performance", "channel_name"),
-        ("product_performance", "product_id"),
-    ):
-        part = measures.summarise(s.mart(mart), {"profit_margin": measures.margin()}, [by]).select(
-            F.lit(mart).alias("mart"), F.col(by).alias("member"), "profit_margin"
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    members = {"category_performance": "category", "channel_performance": "channel_name", "product_performance": "product_id"}
+    return measures.margins(s.marts(*members), members)
 
 
 @query
@@ -759,20 +751,24 @@ def rpt_run_log(s: Sample) -> DataFrame:
 
 @query
 def slicer_values(s: Sample) -> DataFrame:
+    names = ("monthly_sales", "category_performance", "channel_performance", "customer_performance", "store_performance")
+    sales = {
+        "year": ("monthly_sales", "year"),
+        "category": ("category_performance", "category"),
+        "channel": ("channel_performance", "channel_name"),
+        "customer_segment": ("customer_performance", "customer_segment"),
+        "customer_country": ("customer_performance", "country"),
+        "store_type": ("store_performance", "store_type"),
+        "store_country": ("store_performance", "country"),
+    }
+    plain = lambda *columns: {slicer: (c, None) for slicer, c in columns}
+    deliveries = plain(("delivery_status", "delivery_status"), ("delivery_type", "delivery_type"), ("channel_group", "channel_group"))
     return reports.slicer_values(
         [
-            ("year", s.mart("monthly_sales"), "year"),
-            ("category", s.mart("product_performance"), "category"),
-            ("channel", s.mart("channel_performance"), "channel_name"),
-            ("customer_segment", s.mart("customer_performance"), "customer_segment"),
-            ("customer_country", s.mart("customer_performance"), "country"),
-            ("store_type", s.mart("store_performance"), "store_type"),
-            ("store_country", s.mart("store_performance"), "country"),
-            ("delivery_status", s.mart("delivery_performance"), "delivery_status"),
-            ("delivery_type", s.mart("delivery_performance"), "delivery_type"),
-            ("channel_group", s.mart("delivery_performance"), "channel_group"),
-            ("run_status", s.runs, "status"),
-            ("dq_table", s.dq_history, "table_name"),
+            (s.marts(*names), {slicer: (f"{m}.{c}", F.col("mart") == m) for slicer, (m, c) in sales.items()}),
+            (s.mart("delivery_performance"), deliveries),
+            (s.runs, plain(("run_status", "status"))),
+            (s.dq_history, plain(("dq_table", "table_name"))),
         ]
     )
 
