@@ -117,3 +117,21 @@ def test_csv_scan_keeps_text(spark, tmp_path):
         writer.writerow([" NA ", "two\nlines", "nan"])
     rows = [tuple(r)[1:] for r in read_csv(spark, path).orderBy("_raw_id").collect()]
     assert rows == [("007", "", 'say "hi", ok'), (" NA ", "two\nlines", "nan")]
+
+
+def test_a_line_with_a_surplus_cell_is_one_reject(spark, tmp_path):
+    inputs = write_csvs(str(tmp_path / "in"), customers=[row("customers", customer_id=f"CUST-{i}") for i in range(7, 40)])
+    with open(os.path.join(inputs, "customers.csv"), "a", newline="") as f:
+        f.write("CUST-X,one,two\n")
+    report = run_batch(spark, inputs, str(tmp_path / "wh"), str(tmp_path / "rejects"), fx_fallback="asof")
+    assert (report.status, report.error_message) == ("SUCCESS", None)
+    assert (report.extracted, report.rejected) == (41, 1)
+    files = glob.glob(str(tmp_path / "rejects" / "customers_rejected" / "*.csv"))
+    rejected = [r for f in files for r in csv.DictReader(open(f))]
+    assert [(r["failed_rule"], r["original_record"]) for r in rejected] == [("malformed_record", "CUST-X,one,two")]
+    dq = {(r["table_name"], r["rule_name"]): (r["records_checked"], r["records_failed"])
+          for r in Warehouse(spark, str(tmp_path / "wh")).dq.rows().collect()}
+    assert dq["customers", "malformed_record"] == dq["customers", "overall_table_quality"] == (34, 1)
+    # The order's day has a rate of its own, so both fallbacks give the same.
+    sale = Warehouse(spark, str(tmp_path / "wh")).dimension("fact_sales").collect()[0]
+    assert sale["net_amount_inr"] == Decimal("21363.75")

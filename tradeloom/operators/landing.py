@@ -8,14 +8,14 @@ from tradeloom.contracts import SOURCE_SCHEMAS
 from tradeloom.operators.dims import contract_columns
 
 
-def raw_rows(table: str, extracted: DataFrame) -> DataFrame:
-    """Contract columns as text, blank instead of NULL, with arrival order and time."""
+def raw_rows(table: str, extracted: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """Contract columns as text, blank instead of NULL, with arrival order and time; ``more`` columns as they come."""
     present = set(extracted.columns)
     text = [
         (F.coalesce(F.col(n).cast("string"), F.lit("")) if n in present else F.lit("")).alias(n)
         for n in SOURCE_SCHEMAS[table]
     ]
-    return extracted.select("_raw_id", *text, F.current_timestamp().alias("_ingested_at"))
+    return extracted.select("_raw_id", *text, *more, F.current_timestamp().alias("_ingested_at"))
 
 
 def staging_rows(table: str, valid: DataFrame) -> DataFrame:

@@ -21,8 +21,14 @@ from tradeloom.operators.monitoring import FINISH, START, ledger_event, ledger_s
 from tradeloom.operators.rules import SPECS
 from tradeloom.plans import marts
 from tradeloom.session import configure, shared_dir
-from tradeloom.sources.csv_scan import extract
-from tradeloom.sources.tables import Table, delete
+from tradeloom.sources.csv_scan import MALFORMED, extract
+from tradeloom.sources.tables import MonthlyTable, Snapshot, Table, delete
+
+#: Facts: how they are built, and their business and surrogate keys.
+FACTS = {
+    "fact_sales": ("source_order_item_id", "sales_key", C.FACT_SALES_SCHEMA),
+    "fact_delivery": ("delivery_id", "delivery_key", C.FACT_DELIVERY_SCHEMA),
+}
 
 PIPELINE = "retail_batch"
 SUCCESS, FAILED, RUNNING = "SUCCESS", "FAILED", "RUNNING"
@@ -69,16 +75,28 @@ class Warehouse:
         events = checks.add_missing_columns(self.ledger.rows(), C.RUN_LEDGER_SCHEMA)
         return ledger_state(events)
 
+    @property
+    def raw(self) -> Snapshot:
+        """The eight raw tables, which change together."""
+        return Snapshot(self.spark, f"{self.path}/raw")
+
+    def fact(self, name: str) -> MonthlyTable:
+        key, surrogate, _ = FACTS[name]
+        return MonthlyTable(self.spark, f"{self.path}/warehouse/{name}", key, surrogate)
+
     def dimension(self, name: str) -> DataFrame:
+        """A table of the star; a fact without the month it is stored by."""
+        if name in FACTS:
+            return self.fact(name).read().drop("month")
         return self.table("warehouse", name).read()
 
     def mart(self, name: str) -> DataFrame:
         """A reporting mart over the loaded star."""
         if name == "delivery_performance":
-            fact = self.table("warehouse", "fact_delivery").read()
+            fact = self.dimension("fact_delivery")
             return marts.delivery_mart(fact, {"dim_channel": self.dimension("dim_channel")})
         dim_name = marts.SALES_MARTS[name][0]
-        fact = self.table("warehouse", "fact_sales").read()
+        fact = self.dimension("fact_sales")
         return marts.sales_mart(name, fact, {dim_name: self.dimension(dim_name)})
 
 
@@ -88,22 +106,31 @@ def run_batch(
     warehouse_path: str,
     rejects_path: str,
     threshold: float = C.QUALITY_THRESHOLD,
-    multi_line: bool = False,
+    multi_line: bool = True,
+    fx_fallback: str = "latest",
 ) -> RunReport:
-    """Run the whole batch once.  Failures are recorded in the ledger, not raised."""
+    """Run the whole batch once.  Failures are recorded in the ledger, not raised.
+
+    ``multi_line=False`` reads extracts split, where no cell has a line break.
+    ``fx_fallback`` says which rate stands in for a missing one: the currency's
+    ``latest``, or the last on or before the day (``asof``).
+    """
     configure(spark)
     warehouse = Warehouse(spark, warehouse_path)
     report = RunReport(_open_run(warehouse))
     work = f"{shared_dir(spark, warehouse_path)}/tradeloom-work/run-{report.run_id}"
     try:
-        raw = _land(warehouse, extract(spark, inputs, multi_line))
+        landed = _land(warehouse, extract(spark, inputs, multi_line, keep_malformed=True))
+        malformed = {name: df.where(F.col(MALFORMED).isNotNull()) for name, df in landed.items()}
+        raw = {name: df.where(F.col(MALFORMED).isNull()).drop(MALFORMED) for name, df in landed.items()}
         tagged = validate.validate_all(raw, keep=lambda n, df: _written(df, f"{work}/tagged/{n}"))
         for name, df in tagged.items():
             rows = rejects.reject_rows(SPECS[name], df, report.run_id)
-            rejects.write_rejects(rows, rejects_path, name)
-        if _gate(warehouse, tagged, threshold, report):
+            lines = rejects.malformed_rows(SPECS[name], malformed[name], MALFORMED, report.run_id)
+            rejects.write_rejects(rows.unionByName(lines), rejects_path, name)
+        if _gate(warehouse, tagged, malformed, threshold, report):
             valid = _stage(warehouse, tagged)
-            _load(warehouse, valid, work, report)
+            _load(warehouse, valid, work, report, fx_fallback)
             report.status = SUCCESS
     except Exception as error:  # the ledger must learn about any failure
         report.status = FAILED
@@ -148,17 +175,19 @@ def _close_run(warehouse: Warehouse, report: RunReport) -> None:
 
 
 def _land(warehouse: Warehouse, extracted: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        name: warehouse.table("raw", name).replace(landing.raw_rows(name, df))
-        for name, df in extracted.items()
-    }
+    """All extracts as raw tables, in force together or not at all."""
+    return warehouse.raw.replace({name: landing.raw_rows(name, df, (MALFORMED,)) for name, df in extracted.items()})
 
 
 def _gate(
-    warehouse: Warehouse, tagged: dict[str, DataFrame], threshold: float, report: RunReport
+    warehouse: Warehouse,
+    tagged: dict[str, DataFrame],
+    malformed: dict[str, DataFrame],
+    threshold: float,
+    report: RunReport,
 ) -> bool:
     """Record the quality results, then decide; about seventy rows reach the driver."""
-    rows = validate.dq_rows(tagged).select(
+    rows = validate.dq_rows(tagged, malformed).select(
         F.lit(report.run_id).cast("bigint").alias("run_id"),
         "*",
         F.current_timestamp().alias("created_at"),
@@ -205,7 +234,7 @@ def _seed(table: Table, seed: DataFrame, key: str) -> DataFrame:
 
 
 def _load(
-    warehouse: Warehouse, valid: dict[str, DataFrame], work: str, report: RunReport
+    warehouse: Warehouse, valid: dict[str, DataFrame], work: str, report: RunReport, fx_fallback: str
 ) -> None:
     spark = warehouse.spark
     calendar = warehouse.table("warehouse", "dim_date")
@@ -223,11 +252,6 @@ def _load(
     currencies.replace(dims.refresh_currency_rates(currencies.read(), valid["exchange_rates"]))
 
     report.loaded = sum(df.count() for df in loaded.values())
-    for name, build, key, surrogate, schema in (
-        ("fact_sales", facts.fact_sales, "source_order_item_id", "sales_key", C.FACT_SALES_SCHEMA),
-        ("fact_delivery", facts.fact_delivery, "delivery_id", "delivery_key", C.FACT_DELIVERY_SCHEMA),
-    ):
-        incoming = checks.require_types(build(valid, loaded), schema)
-        incoming = _written(incoming, f"{work}/incoming/{name}")
-        _merge(warehouse.table("warehouse", name), incoming, key, surrogate)
-        report.loaded += incoming.count()
+    built = {"fact_sales": facts.fact_sales(valid, loaded, fx_fallback), "fact_delivery": facts.fact_delivery(valid, loaded)}
+    for name, incoming in built.items():
+        report.loaded += warehouse.fact(name).merge(checks.require_types(incoming, FACTS[name][2]))

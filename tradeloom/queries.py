@@ -25,8 +25,9 @@ from tradeloom.operators.monitoring import ledger_state
 from tradeloom.operators.payments import payment_by_order
 from tradeloom.operators.rules import SPECS
 from tradeloom.plans import marts, measures, reports
-from tradeloom.session import configure, cut_lineage
+from tradeloom.session import configure, cut_lineage, work_dir
 from tradeloom.sources.sample import LazyFrames, SampleSources
+from tradeloom.sources.tables import MonthlyTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -482,15 +483,13 @@ def merge_dim_customer(s: Sample) -> DataFrame:
 
 
 def _merge_fact(fact: DataFrame, key: str, surrogate: str, changed: str) -> DataFrame:
-    """Two loads overlapping in 1998-1999; the first one held another status.
-
-    A merge reads its target and its source several times, so both are stored.
-    """
+    """Two loads of a monthly table, overlapping in 1998-1999; the first one held another status."""
+    spark = fact.sparkSession
     fact = cut_lineage(fact)
-    first = fact.filter(F.col("date_key") < 20000101).withColumn(changed, F.lit("EARLIER"))
-    second = fact.filter(F.col("date_key") >= 19980101)
-    target = cut_lineage(dense_keys(first, key, surrogate))
-    return upsert(target, second, key, surrogate)
+    table = MonthlyTable(spark, f"{work_dir(spark)}/fact", key, surrogate)
+    table.merge(fact.filter(F.col("date_key") < 20000101).withColumn(changed, F.lit("EARLIER")))
+    table.merge(fact.filter(F.col("date_key") >= 19980101))
+    return table.read().drop("month")
 
 
 @query

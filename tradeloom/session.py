@@ -55,15 +55,20 @@ def shared_dir(spark: SparkSession, local_default: str | None = None) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def work_dir(spark: SparkSession) -> str:
+    """A new folder's path in the shared folder; what is put there goes when the driver's JVM ends."""
+    folder = f"{shared_dir(spark, 'spark-warehouse/shared').rstrip('/')}/tradeloom-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
 def cut_lineage(df: DataFrame, name: str = "rows") -> DataFrame:
     """Write a frame that several branches read to the shared folder, once, as Parquet.
 
     Lost executors cost a re-read, not a recomputation, and each branch reads
     only its columns.  The files go when the driver's JVM ends.
     """
-    spark = df.sparkSession
-    folder = f"{shared_dir(spark, 'spark-warehouse/shared').rstrip('/')}/tradeloom-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    folder = work_dir(df.sparkSession)
     df.write.parquet(f"{folder}/{name}")
-    return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")

@@ -7,7 +7,13 @@ previous state in force, and no path is overwritten while it is being read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tradeloom.operators.keys import dense_keys
+from tradeloom.session import cut_lineage
 
 PREFIX = "version-"
 KEPT_VERSIONS = 2
@@ -75,3 +81,158 @@ class Table:
         if not exists(self.spark, path):
             return None
         return self.spark.read.option("mergeSchema", True).parquet(path)
+
+
+class Manifest:
+    """Numbered JSON files in one folder; the highest counts.
+
+    A manifest is written under another name and renamed, so it is there whole
+    or not at all.  What it names is written before it.
+    """
+
+    PREFIX, SUFFIX = "manifest-", ".json"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def _numbers(self) -> list[int]:
+        fs, p = _path(self.spark, self.path)
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(n[len(self.PREFIX) : -len(self.SUFFIX)]) for n in names if n.startswith(self.PREFIX) and n.endswith(self.SUFFIX))
+
+    def _file(self, number: int) -> str:
+        return f"{self.path}/{self.PREFIX}{number:08d}{self.SUFFIX}"
+
+    def last(self) -> dict | None:
+        numbers = self._numbers()
+        if not numbers:
+            return None
+        rows = self.spark.read.text(self._file(numbers[-1]), wholetext=True).collect()
+        return json.loads(rows[0][0])
+
+    def put(self, content: dict, kept: int = KEPT_VERSIONS) -> None:
+        """Make ``content`` count, unless another writer has put its own under the same number."""
+        numbers = self._numbers()
+        target = self._file((numbers or [0])[-1] + 1)
+        fs, temporary = _path(self.spark, f"{self.path}/.{uuid.uuid4().hex}")
+        stream = fs.create(temporary)
+        stream.write(bytearray(json.dumps(content, sort_keys=True).encode()))
+        stream.close()
+        if fs.exists(_path(self.spark, target)[1]) or not fs.rename(temporary, _path(self.spark, target)[1]):
+            fs.delete(temporary, False)
+            raise RuntimeError(f"another load has changed {self.path} meanwhile")
+        for old in numbers[: max(0, len(numbers) + 1 - kept)]:
+            delete(self.spark, self._file(old))
+
+
+class Snapshot:
+    """Tables that change together: one manifest names the folder of each, and is written last."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.manifest = spark, path, Manifest(spark, path)
+
+    def read(self) -> dict[str, DataFrame]:
+        """The tables of the last load that wrote them all."""
+        return {name: self.spark.read.parquet(f"{self.path}/{folder}") for name, folder in (self.manifest.last() or {}).items()}
+
+    def replace(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        before = self.manifest.last() or {}
+        load = uuid.uuid4().hex
+        folders = {name: f"{name}/load-{load}" for name in tables}
+        for name, df in tables.items():
+            df.write.parquet(f"{self.path}/{folders[name]}")
+        self.manifest.put(folders)
+        self._tidy({*folders.values(), *before.values()})
+        return self.read()
+
+    def _tidy(self, wanted: set[str]) -> None:
+        """Remove folders that neither this load nor the one before names."""
+        for name in {w.split("/")[0] for w in wanted}:
+            fs, p = _path(self.spark, f"{self.path}/{name}")
+            for status in fs.listStatus(p):
+                if f"{name}/{status.getPath().getName()}" not in wanted:
+                    fs.delete(status.getPath(), True)
+
+
+class MonthlyTable:
+    """A keyed fact in folders by month, merged month by month.
+
+    ``rows/load=<id>/month=<yyyymm>`` holds a month as one load has written it;
+    the manifest says which load each month is of, and the highest surrogate
+    key.  A merge rewrites the months that its rows are or were in; the others
+    keep their files.  Readers prune by ``month``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, surrogate: str, date_key: str = "date_key"):
+        self.spark, self.path, self.manifest = spark, path, Manifest(spark, path)
+        self.key, self.surrogate, self.date_key = key, surrogate, date_key
+
+    def is_empty(self) -> bool:
+        return self.manifest.last() is None
+
+    def months(self) -> dict[int, str]:
+        """Which load each month is of."""
+        return {int(m): load for m, load in (self.manifest.last() or {"months": {}})["months"].items()}
+
+    def _folder(self, month: int, load: str) -> str:
+        return f"{self.path}/rows/load={load}/month={month}"
+
+    def read(self, months: set[int] | None = None) -> DataFrame | None:
+        """The fact with its ``month`` (yyyymm, whole years prune); None where there is none of it yet."""
+        chosen = {m: load for m, load in self.months().items() if months is None or m in months}
+        if not chosen:
+            return None
+        reader = self.spark.read.option("basePath", f"{self.path}/rows")
+        return reader.parquet(*[self._folder(m, load) for m, load in sorted(chosen.items())]).drop("load")
+
+    def merge(self, incoming: DataFrame) -> int:
+        """Upsert rows unique on the key; new ones are numbered on from the highest key.  Returns the rows merged.
+
+        The incoming rows are written and met with the keys, surrogate keys and
+        months of the table, three of its columns.  Then only the months concerned are
+        read whole, without the rows that are replaced.  The months are a
+        calendar's, so their list is short.
+        """
+        state = self.manifest.last() or {"months": {}, "highest": 0}
+        month = F.floor(F.col(self.date_key) / 100).cast("int").alias("month")
+        rows = cut_lineage(incoming.select("*", month), "incoming")
+        known = self.read()
+        if known is None:
+            located = rows.withColumns({self.surrogate: F.lit(None).cast("bigint"), "_was": F.lit(None).cast("int")})
+        else:
+            index = known.select(self.key, self.surrogate, F.col("month").alias("_was"))
+            located = cut_lineage(rows.join(index, self.key, "left"), "located")
+        fresh = located.where(F.col(self.surrogate).isNull()).drop(self.surrogate, "_was")
+        numbered = dense_keys(fresh, self.key, self.surrogate, start=state["highest"])
+        columns = [self.surrogate, *incoming.columns, "month"]
+        changed = located.where(F.col(self.surrogate).isNotNull()).select(columns).unionByName(numbered.select(columns))
+        touched = located.select("month").union(located.select("_was")).distinct().dropna().collect()
+        touched = {r[0] for r in touched}
+        kept = self.read(touched)
+        if kept is not None:
+            stay = kept.join(located.select(self.key), self.key, "left_anti")
+            changed = changed.unionByName(stay.select(columns))
+        if not touched:
+            return 0
+        load = uuid.uuid4().hex
+        # Rows of a month go together, a large month to several tasks.
+        changed.hint("rebalance", "month").write.partitionBy("month").parquet(f"{self.path}/rows/load={load}")
+        written = {int(s.getPath().getName().removeprefix("month=")) for s in self._list(load) if s.isDirectory()}
+        months = {m: own for m, own in state["months"].items() if int(m) not in touched}
+        months |= {str(m): load for m in written}
+        merged = rows.count()
+        added = numbered.agg(F.max(self.surrogate)).first()[0]
+        self.manifest.put({"months": months, "highest": added or state["highest"]})
+        self._tidy({*months.values(), *state["months"].values()})
+        return merged
+
+    def _list(self, load: str):
+        fs, p = _path(self.spark, f"{self.path}/rows/load={load}")
+        return list(fs.listStatus(p))
+
+    def _tidy(self, wanted: set[str]) -> None:
+        """Remove loads that neither this state nor the one before names."""
+        fs, p = _path(self.spark, f"{self.path}/rows")
+        for status in fs.listStatus(p):
+            if status.getPath().getName().removeprefix("load=") not in wanted:
+                fs.delete(status.getPath(), True)
