@@ -1338,3 +1338,121 @@ _oracle(
         },
     ),
 )
+
+
+# --- checks over damaged rows
+CTES["damaged"] = """
+SELECT * REPLACE (CASE WHEN n = 3 THEN -quantity ELSE quantity END AS quantity,
+  CASE WHEN n = 5 THEN -net_amount_inr ELSE net_amount_inr END AS net_amount_inr,
+  CASE WHEN n = 7 THEN customer_id || '-gone' ELSE customer_id END AS customer_id,
+  CASE WHEN n = 9 THEN DATE '1900-01-01' ELSE order_date END AS order_date)
+FROM (SELECT *, CAST(substr(order_id, 5) AS BIGINT) % 17 AS n FROM sales) JOIN (VALUES (1), (2)) c(copy) ON copy = 1 OR n = 11"""
+_oracle(
+    "chk_damaged_facts",
+    " UNION ALL ".join(
+        [
+            _repeats("fact_sales", "damaged", "order_item_id"),
+            _dangling("fact_sales_customer", "damaged", "customer_id", "stg_customers", "customer_id"),
+            _dangling("fact_sales_date", "damaged", "order_date", "stg_orders", "order_date"),
+            _violations(
+                "damaged",
+                {
+                    "quantity_positive": "quantity > 0",
+                    **{
+                        f"{c}_not_negative": f"{c} >= 0"
+                        for c in (
+                            "unit_price", "gross_amount", "discount_amount", "net_amount", "cost_amount",
+                            "gross_amount_inr", "discount_amount_inr", "net_amount_inr", "cost_amount_inr",
+                        )
+                    },
+                },
+            ),
+        ]
+    ),
+)
+CTES["damaged_runs"] = """
+SELECT * REPLACE (CASE WHEN run_id % 7 = 1 THEN 'DONE' ELSE status END AS status,
+  CASE WHEN run_id % 7 = 2 THEN -1 ELSE records_loaded END AS records_loaded,
+  CASE WHEN run_id % 7 = 3 THEN 100.5 ELSE quality_score END AS quality_score) FROM runs"""
+_oracle(
+    "chk_damaged_monitoring",
+    _violations(
+        "damaged_runs",
+        {
+            "status_allowed": f"status IN {_codes(C.RUN_STATUSES)}",
+            **{
+                f"records_{k}_not_negative": f"records_{k} >= 0"
+                for k in ("extracted", "validated", "rejected", "loaded")
+            },
+            "quality_score_in_range": "quality_score BETWEEN 0 AND 100",
+        },
+    ),
+)
+
+# --- pages with a slicer set
+_SHOWN = (
+    ("category_performance", "m_category", "category", "sales"),
+    ("channel_performance", "m_channel", "channel_name", "sales"),
+    ("customer_performance", "m_customer", "customer_segment", "sales"),
+    ("customer_performance", "m_customer", "country", "sales"),
+    ("store_performance", "m_store", "store_type", "sales"),
+    ("delivery_performance", "m_delivery", "delivery_status", "total_delivery_fee"),
+)
+_SLICED = {
+    "category": ("m_category", "category IN ('ECONOMY', 'STANDARD')"),
+    "channel": ("m_channel", "channel_name = 'Website'"),
+    "segment": ("m_customer", "customer_segment IN ('VIP', 'NEW')"),
+    "store_type": ("m_store", "store_type = 'DARK_STORE'"),
+    "delivery_status": ("m_delivery", "delivery_status = 'DELIVERED'"),
+}
+for _slicer, (_sliced, _condition) in _SLICED.items():
+    _oracle(
+        f"rpt_sliced_{_slicer}",
+        " UNION ALL ".join(
+            f"SELECT '{mart}' AS mart, '{by}' AS shown_by, CAST({by} AS VARCHAR) AS member, {_sum(figure)} AS total "
+            f"FROM {rows} WHERE {_condition if rows == _sliced else 'TRUE'} GROUP BY {by}"
+            for mart, rows, by, figure in _SHOWN
+        ),
+    )
+_oracle(
+    "share_sliced_segment",
+    f"""SELECT customer_segment, {_sum("sales")} AS sales,
+  {_divide("sum(sales)", "(SELECT sum(sales) FROM m_customer WHERE country IN ('NATION_5', 'NATION_9', 'NATION_15'))")} AS segment_share
+FROM m_customer WHERE country IN ('NATION_5', 'NATION_9', 'NATION_15') AND customer_segment IN ('VIP', 'NEW') GROUP BY customer_segment""",
+)
+
+# --- the whole flow: valid rows of the dirty sources in place of the staged ones
+_VALID = {
+    "customers": "SELECT * FROM ok_customers",
+    "products": "SELECT * REPLACE (CAST(unit_cost AS DECIMAL(12,2)) AS unit_cost) FROM ok_products",
+    "stores": "SELECT * FROM ok_stores",
+    "orders": "SELECT *, _raw_id AS k FROM ok_orders",
+    "items": """SELECT * REPLACE (CAST(quantity AS INTEGER) AS quantity, CAST(unit_price AS DECIMAL(12,2)) AS unit_price,
+  CAST(discount_percent AS DECIMAL(5,2)) AS discount_percent) FROM ok_items""",
+    "payments": "SELECT *, _raw_id AS raw_id FROM ok_payments",
+    "deliveries": """SELECT * REPLACE (CAST(delivery_distance_km AS DECIMAL(10,2)) AS delivery_distance_km,
+  CAST(delivery_time_minutes AS INTEGER) AS delivery_time_minutes, CAST(delivery_fee AS DECIMAL(12,2)) AS delivery_fee)
+FROM ok_deliveries""",
+    "rates": "SELECT * REPLACE (CAST(rate_to_inr AS DECIMAL(18,6)) AS rate_to_inr) FROM ok_rates",
+}
+_FLOW = (
+    "newest_rates", "priced_orders", "line_money", "sales", "key_customer", "key_product", "key_store", "best_payment",
+    "delivered", "m_monthly", "m_category", "m_product", "m_store", "m_channel", "m_customer", "m_delivery",
+)
+
+
+def _from_sources(sql: str) -> str:
+    """The same statement over what is loaded from the dirty sources."""
+    for name in _VALID:
+        sql = re.sub(rf"\bstg_{name}\b", f"valid_{name}", sql)
+    return re.sub(rf"\b(FROM|JOIN)\s+({'|'.join(_FLOW)})\b", r"\1 e2e_\2", sql)
+
+
+for _name, _sql in _VALID.items():
+    CTES[f"valid_{_name}"] = _sql
+for _name in _FLOW:
+    CTES[f"e2e_{_name}"] = _from_sources(CTES[_name])
+_oracle("e2e_fact_sales", _from_sources(_FACT_SALES))
+_oracle("e2e_fact_delivery", _from_sources(_FACT_DELIVERY))
+for _name in ("monthly", "category", "product", "store", "channel", "customer", "delivery"):
+    _oracle(f"e2e_mart_{'monthly_sales' if _name == 'monthly' else _name}", f"SELECT * FROM e2e_m_{_name}")

@@ -24,7 +24,7 @@ from tradeloom.operators.merge import upsert
 from tradeloom.operators.monitoring import ledger_state
 from tradeloom.operators.payments import payment_by_order
 from tradeloom.operators.rules import SPECS
-from tradeloom.plans import marts, measures, reports
+from tradeloom.plans import filters, marts, measures, reports
 from tradeloom.session import configure, cut_lineage, work_dir
 from tradeloom.sources.sample import LazyFrames, SampleSources
 from tradeloom.sources.tables import MonthlyTable
@@ -99,6 +99,10 @@ class Sample:
         star, carry = marts.with_carried(self.star, names)
         return marts.all_sales_marts(facts.sales_lines(self.clean, star, with_payment=False, carry=carry), names)
 
+    @cached_property
+    def loaded(self) -> Loaded:
+        return Loaded(self)
+
     @cached_property
     def runs(self) -> DataFrame:
         return ledger_state(self.tables.run_events())
@@ -108,6 +112,34 @@ class Sample:
         return self.tables.dq_results()
 
 
+class Loaded:
+    """The star that the batch loads from the dirty sources; every table is written when it is first read."""
+
+    def __init__(self, sample: Sample):
+        self.spark, self.sources = sample.spark, sample.dirty
+
+    @cached_property
+    def valid(self) -> dict[str, DataFrame]:
+        tagged = validate.validate_all(self.sources, keep=lambda name, df: cut_lineage(df, name))
+        return {name: validate.valid_rows(df) for name, df in tagged.items()}
+
+    @cached_property
+    def dimensions(self) -> LazyFrames:
+        seeds = {"dim_channel": dims.dim_channel, "dim_date": lambda spark: dims.dim_date(spark, self.valid)}
+        build = lambda n: seeds[n](self.spark) if n in seeds else dims.keyed_dimension(n, self.valid)
+        return LazyFrames((*dims.DIM_KEYS, *seeds), build)
+
+    def fact(self, name: str) -> DataFrame:
+        build = {"fact_sales": facts.fact_sales, "fact_delivery": facts.fact_delivery}[name]
+        return build(self.valid, self.dimensions)
+
+    def mart(self, name: str) -> DataFrame:
+        """A mart as a reader of the loaded star gets it, by surrogate keys."""
+        if name == "delivery_performance":
+            return marts.delivery_mart(cut_lineage(self.fact("fact_delivery"), "fact"), self.dimensions)
+        return marts.sales_mart(name, cut_lineage(self.fact("fact_sales"), "fact"), self.dimensions)
+
+
 def _register(name: str, build: Callable[[Sample], DataFrame]) -> None:
     QUERIES[name] = lambda spark, directory: build(Sample(spark, directory))
 
@@ -516,6 +548,17 @@ for _name in (*marts.SALES_MARTS, "delivery_performance"):
     _register(f"mart_{_short}", _mart(_name))
 
 
+# --- the whole flow: dirty sources, validation, keyed star, marts --------------
+
+
+for _name in ("fact_sales", "fact_delivery"):
+    _register(f"e2e_{_name}", lambda s, fact=_name: s.loaded.fact(fact))
+
+for _name in (*marts.SALES_MARTS, "delivery_performance"):
+    _short = _name if _name == "monthly_sales" else _name.removesuffix("_performance")
+    _register(f"e2e_mart_{_short}", lambda s, mart=_name: s.loaded.mart(mart))
+
+
 # --- measures --------------------------------------------------------------
 
 
@@ -653,6 +696,50 @@ def rpt_year_filtered(s: Sample) -> DataFrame:
     )
 
 
+def _page(mart: str, column: str, *values: str) -> Callable[[Sample], DataFrame]:
+    """What is shown on all marts when a slicer on one of them is set."""
+
+    def build(s: Sample) -> DataFrame:
+        names = ("category_performance", "channel_performance", "customer_performance", "store_performance")
+        sales = cut_lineage(s.marts(*names), "marts")
+        frames = {n: marts.one_of(sales, n) for n in names}
+        frames["delivery_performance"] = s.mart("delivery_performance")
+        shown = (
+            ("category_performance", "category", "sales"),
+            ("channel_performance", "channel_name", "sales"),
+            ("customer_performance", "customer_segment", "sales"),
+            ("customer_performance", "country", "sales"),
+            ("store_performance", "store_type", "sales"),
+            ("delivery_performance", "delivery_status", "total_delivery_fee"),
+        )
+        return filters.page(filters.Filters().select(mart, column, *values), [(m, frames[m], by, f) for m, by, f in shown])
+
+    return build
+
+
+#: Slicers that are set, one at a time.
+#: Countries that are chosen beside.
+SLICED_COUNTRIES = ("NATION_5", "NATION_9", "NATION_15")
+SLICED = {
+    "category": ("category_performance", "category", "ECONOMY", "STANDARD"),
+    "channel": ("channel_performance", "channel_name", "Website"),
+    "segment": ("customer_performance", "customer_segment", "VIP", "NEW"),
+    "store_type": ("store_performance", "store_type", "DARK_STORE"),
+    "delivery_status": ("delivery_performance", "delivery_status", "DELIVERED"),
+}
+for _name, _choice in SLICED.items():
+    _register(f"rpt_sliced_{_name}", _page(*_choice))
+
+
+@query
+def share_sliced_segment(s: Sample) -> DataFrame:
+    """Two countries and two segments chosen: each segment's share of the countries, whatever segments are chosen."""
+    chosen = filters.Filters().select("customer_performance", "customer_segment", "VIP", "NEW")
+    customers = s.mart("customer_performance")
+    chosen = chosen.select("customer_performance", "country", *SLICED_COUNTRIES)
+    return filters.share(chosen, "customer_performance", customers, "customer_segment", "sales", "segment_share", ["customer_segment"])
+
+
 @query
 def rpt_category(s: Sample) -> DataFrame:
     return reports.sales_with_share(s.mart("category_performance"), "category")
@@ -851,6 +938,53 @@ def chk_dims(s: Sample) -> DataFrame:
     return out
 
 
+def _damaged(s: Sample) -> DataFrame:
+    """Order lines with defects at positions fixed by the order's number, as a faulty load would leave them."""
+    number = F.substring("source_order_id", 5, 20).cast("bigint") % 17
+    lines = s.lines.withColumns(
+        {
+            "quantity": F.when(number == 3, -F.col("quantity")).otherwise(F.col("quantity")),
+            "net_amount_inr": F.when(number == 5, -F.col("net_amount_inr")).otherwise(F.col("net_amount_inr")),
+            "customer_key": F.when(number == 7, F.concat("customer_key", F.lit("-gone"))).otherwise(F.col("customer_key")),
+            "date_key": F.when(number == 9, F.lit(19000101)).otherwise(F.col("date_key")),
+        }
+    )
+    twice = F.when(number == 11, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return lines.withColumn("_copy", F.explode(twice)).drop("_copy")
+
+
+@query
+def chk_damaged_facts(s: Sample) -> DataFrame:
+    """All checks of the sales fact over damaged lines, which violate some of them."""
+    lines = cut_lineage(_damaged(s).select("source_order_item_id", "customer_key", "date_key", "quantity", *[c for c in _FACT_AMOUNTS]), "damaged")
+    unique = checks.unique_violations([("fact_sales", lines, "source_order_item_id")])
+    links = checks.foreign_key_violations(
+        [
+            ("fact_sales_customer", lines, s.star["dim_customer"], "customer_key"),
+            ("fact_sales_date", lines, s.star["dim_date"], "date_key"),
+        ]
+    )
+    values = checks.condition_violations(lines, checks.fact_sales_conditions())
+    return unique.unionByName(links).unionByName(values)
+
+
+_FACT_AMOUNTS = ("unit_price", *_AMOUNTS[:-1], *[f"{a}_inr" for a in _AMOUNTS[:-1]])
+
+
+@query
+def chk_damaged_monitoring(s: Sample) -> DataFrame:
+    """The ledger's checks over runs of which some have another status, negative counts or an impossible score."""
+    number = F.col("run_id") % 7
+    runs = s.runs.withColumns(
+        {
+            "status": F.when(number == 1, F.lit("DONE")).otherwise(F.col("status")),
+            "records_loaded": F.when(number == 2, F.lit(-1).cast("bigint")).otherwise(F.col("records_loaded")),
+            "quality_score": F.when(number == 3, F.lit(100.5)).otherwise(F.col("quality_score")).cast("decimal(5,2)"),
+        }
+    )
+    return checks.condition_violations(runs, checks.run_conditions())
+
+
 @query
 def chk_monitoring(s: Sample) -> DataFrame:
     runs = checks.condition_violations(s.runs, checks.run_conditions())
