@@ -6,11 +6,11 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tests.fixtures import row, sources
+from tests.fixtures import row, sources, text_frame
 from tradeloom import contracts as C
 from tradeloom.operators import amounts, checks, dims, facts, fx, joins, keys, merge, payments, validate
 from tradeloom.operators.rules import SPECS
-from tradeloom.plans import reports
+from tradeloom.plans import filters, measures, reports
 
 
 def typed(spark, **rows):
@@ -218,3 +218,51 @@ def test_product_shares_are_of_all_products_without_one_task(spark):
     expected = sorted(((f"p{k}", sum(float(i) for i in range(k, 200, 40))) for k in range(40)), key=lambda x: -x[1])[:3]
     assert [(name, sales) for name, sales, _ in found] == expected
     assert [share for _, _, share in found] == pytest.approx([sales / 19900 for _, sales in expected], abs=1e-3)
+
+
+def test_asof_rates_need_no_row_per_day(spark):
+    """Two quotes a thousand years apart, and a gap of years without any."""
+    rates = spark.createDataFrame(
+        [(0, "USD", date(1020, 1, 1), Decimal(80)), (1, "USD", date(2024, 6, 1), Decimal(84)), (2, "EUR", date(2024, 1, 5), Decimal(90))],
+        "_raw_id bigint, currency_code string, rate_date date, rate_to_inr decimal(18,6)",
+    )
+    days = [date(1019, 12, 31), date(1020, 1, 1), date(1500, 3, 4), date(2024, 5, 31), date(2024, 6, 1), date(2024, 6, 2), date(2300, 1, 1)]
+    orders = spark.createDataFrame([("USD", d) for d in days] + [("EUR", date(2023, 1, 1)), ("EUR", None), (None, days[0])],
+                                   "currency string, order_date date")
+    daily = fx.daily_rates(rates)
+    found = fx.asof_rates(orders, daily, "currency", "order_date")
+    assert found.count() == len(days) + 1  # no more rows than asked for
+    rows = {(r["currency"], r["order_date"]): r["fx_rate"] for r in fx.attach_rates(orders, rates, fallback="asof").collect()}
+    assert [rows["USD", d] and int(rows["USD", d]) for d in days] == [None, 80, 80, 80, 84, 84, 84]
+    assert rows["EUR", date(2023, 1, 1)] is None and rows[None, days[0]] is None and len(rows) == 10
+
+
+def test_filters(spark):
+    mart = spark.createDataFrame(
+        [("IN", "VIP", Decimal(10)), ("IN", "NEW", Decimal(30)), ("FR", "VIP", Decimal(5)), ("FR", None, Decimal(15))],
+        "country string, segment string, sales decimal(18,2)",
+    )
+    chosen = filters.Filters().select("m", "segment", "VIP", "NEW").select("m", "country", "IN")
+    kept = filters.filtered(chosen, "m", mart, {"sales": measures.money_total("sales")}, ["segment"])
+    assert {r["segment"]: int(r["sales"]) for r in kept.collect()} == {"VIP": 10, "NEW": 30}
+    assert chosen.rows("another", mart).count() == 4
+    one = chosen.select("m", "segment", "VIP")  # replaces the earlier choice
+    share = lambda f, *freed: {r["segment"]: r["s"] for r in filters.share(f, "m", mart, "segment", "sales", "s", freed).collect()}
+    assert share(one, "segment") == {"VIP": 0.25}
+    assert share(one) == {"VIP": pytest.approx(10 / 60)}  # of the whole mart
+    assert one.free("m", "country").rows("m", mart).count() == 2
+    assert filters.Filters().select("m", "segment", None).rows("m", mart).count() == 1
+    assert filters.Filters().select("m", "segment").rows("m", mart).count() == 0
+    top = reports.top_n(chosen.rows("m", mart), "sales", 1, ["segment"])
+    assert [r["segment"] for r in top.collect()] == ["NEW"]
+
+
+def test_prices_keep_their_digits(spark):
+    raw = text_frame(spark, "order_items", [row("order_items", quantity="3", unit_price="1.23456789", discount_percent="12.3456")])
+    lines = validate.typed(SPECS["order_items"], raw).withColumn("unit_cost", F.lit(None).cast("decimal(12,2)"))
+    assert lines.first()["unit_price"] == Decimal("1.23456789")
+    big = validate.typed(SPECS["order_items"], text_frame(spark, "order_items", [row("order_items", quantity="2147483647", unit_price="4999999999.12345678")]))
+    out = amounts.with_line_amounts(lines).first()
+    assert (out["gross_amount"], out["discount_amount"]) == (Decimal("3.70"), Decimal("0.46"))
+    exact = big.select((F.col("quantity").cast("decimal(10,0)") * F.col("unit_price")).alias("p")).first()["p"]
+    assert exact == Decimal(2147483647) * Decimal("4999999999.12345678")

@@ -46,9 +46,10 @@ def parse_numeric(c: Column) -> Column:
 
 
 def parse_decimal(c: Column) -> Column:
-    """Text to ``decimal(38,18)``; exact, strict, and NULL for anything non-finite.
+    """Text to ``decimal(38,18)``: exact to 18 places, NULL for anything that is no finite decimal number.
 
-    Validation rules compare these values, so no rule sees a NaN or an infinity.
+    The one parser of the rules and of the load, so no rule sees a NaN or an
+    infinity.  Blanks around a number, a sign and an exponent are accepted.
     """
     return c.try_cast("decimal(38,18)")
 

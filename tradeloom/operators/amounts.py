@@ -46,16 +46,16 @@ def with_inr_amounts(lines: DataFrame, rate: str = "fx_rate") -> DataFrame:
 
 
 def order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Per order: sum of quantity * price * (1 - discount %), 0 without lines."""
+    """Per order: sum of quantity * price * (1 - discount %), 0 without lines.
+
+    Lines are summed at twelve places, exact for prices of eight digits behind
+    the point and discounts of two, and rounded once.
+    """
     share = F.lit(100).cast("decimal(3,0)") - F.col("discount_percent").cast("decimal(7,4)")
-    line = percent_of(
-        (F.col("quantity").cast("decimal(10,0)") * F.col("unit_price").cast("decimal(14,4)")).cast(
-            "decimal(20,4)"
-        ),
-        share,
-    )
+    price = F.col("unit_price").cast("decimal(20,10)")
+    line = percent_of((F.col("quantity").cast("decimal(10,0)") * price).cast("decimal(24,10)"), share)
     totals = items.groupBy("order_id").agg(
-        F.bround(F.sum(line.cast("decimal(26,8)")), 2).cast(AMOUNT).alias("order_total")
+        F.bround(F.sum(line.cast("decimal(28,12)")), 2).cast(AMOUNT).alias("order_total")
     )
     return orders.drop("order_total").join(totals, "order_id", "left").withColumn(
         "order_total", F.coalesce("order_total", F.lit(0).cast(AMOUNT))

@@ -7,6 +7,7 @@ set, so each rule condition is evaluated once per record.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -20,7 +21,9 @@ from tradeloom.operators.rules import DUPLICATE, SPECS, TableSpec, known
 
 HITS = "_hits"
 MALFORMED_RULE = "malformed_record"
-WORKING_DECIMAL = "decimal(18,6)"
+#: Decimal places that numbers keep until amounts are rounded: with them a price times a quantity, and a discount on an
+#: amount, fit 38 digits exactly.
+WORKING_PLACES = 16
 
 
 def normalise(spec: TableSpec, raw: DataFrame) -> DataFrame:
@@ -39,9 +42,15 @@ def normalise(spec: TableSpec, raw: DataFrame) -> DataFrame:
     return raw.select("_raw_id", *[c.alias(n) for n, c in cleaned.items()])
 
 
+def working_type(load_type: str) -> str:
+    """A load type's decimal with the places that amounts are computed from."""
+    precision, scale = map(int, re.findall(r"[0-9]+", load_type))
+    return f"decimal({precision - scale + WORKING_PLACES},{WORKING_PLACES})"
+
+
 def _working_types(spec: TableSpec) -> dict[str, Column]:
-    """Narrow the parsed numbers to the types later steps compute with."""
-    narrowed = {n: F.col(n).try_cast(WORKING_DECIMAL) for n in spec.numbers}
+    """The parsed numbers in the types later steps compute with: the whole digits of the load type, ``WORKING_PLACES`` behind."""
+    narrowed = {n: F.col(n).try_cast(working_type(SOURCE_SCHEMAS[spec.name][n])) for n in spec.numbers if n not in spec.integers}
     narrowed.update({n: F.bround(F.col(n), 0).try_cast("int") for n in spec.integers})
     return narrowed
 

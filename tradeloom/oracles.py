@@ -1456,3 +1456,42 @@ _oracle("e2e_fact_sales", _from_sources(_FACT_SALES))
 _oracle("e2e_fact_delivery", _from_sources(_FACT_DELIVERY))
 for _name in ("monthly", "category", "product", "store", "channel", "customer", "delivery"):
     _oracle(f"e2e_mart_{'monthly_sales' if _name == 'monthly' else _name}", f"SELECT * FROM e2e_m_{_name}")
+
+
+
+# --- exact numbers
+def _cents_of(amount: str, unit: int) -> str:
+    """Whole cents of an amount in ``unit`` parts of a cent, halves to the even one."""
+    whole, rest = f"(({amount}) // {unit})", f"(({amount}) % {unit})"
+    return f"{whole} + CASE WHEN 2 * {rest} > {unit} OR (2 * {rest} = {unit} AND {whole} % 2 = 1) THEN 1 ELSE 0 END"
+
+
+CTES["eight_digits"] = """
+SELECT *, CAST(units // 100000000 AS VARCHAR) || '.' || lpad(CAST(units % 100000000 AS VARCHAR), 8, '0') AS price
+FROM (SELECT *, (CAST(round(l_extendedprice * 100) AS BIGINT) * 1000000) // CAST(l_quantity AS BIGINT) AS units FROM lineitem)"""
+_oracle(
+    "parse_decimal",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  CASE (l_orderkey + l_linenumber) % 11 WHEN 3 THEN -exact WHEN 4 THEN exact * 100
+    WHEN 0 THEN exact WHEN 1 THEN exact WHEN 2 THEN exact END AS parsed
+FROM (SELECT *, CAST(price AS DECIMAL(38,18)) AS exact FROM eight_digits)""",
+)
+# Whole numbers throughout: ten-thousandths of a percent, hundred-millionths of money; halves go to the even cent.
+_oracle(
+    "line_amounts_exact",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, gross_amount, discount_amount,
+  CAST(gross_amount - discount_amount AS DECIMAL(14,2)) AS net_amount, gross_amount AS cost_amount,
+  CAST(-discount_amount AS DECIMAL(14,2)) AS profit_amount
+FROM (SELECT *, CAST(CAST(({_cents_of("CAST(gross_amount * 100 AS HUGEINT) * percent", 1000000)}) AS DECIMAL(20,0)) * 0.01 AS DECIMAL(14,2)) AS discount_amount
+  FROM (SELECT *, l_orderkey % 100 * 10000 + l_partkey % 10000 AS percent,
+    CAST(CAST(({_cents_of("CAST(l_quantity AS HUGEINT) * units", 1000000)}) AS DECIMAL(20,0)) * 0.01 AS DECIMAL(14,2)) AS gross_amount
+    FROM eight_digits))""",
+)
+
+# --- date spellings, by their place in the list: months stand for their first day, day.month.year is month first if it can be
+_oracle(
+    "parse_date_spellings",
+    """SELECT o_orderkey, CAST(CASE WHEN n IN (14, 15) THEN NULL WHEN n BETWEEN 1 AND 4 THEN date_trunc('month', d)
+  WHEN n = 9 AND day(d) <= 12 THEN make_date(year(d), day(d), month(d)) ELSE d END AS DATE) AS parsed
+FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, o_orderkey % 16 AS n FROM orders)""",
+)

@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradeloom import contracts as C
 from tradeloom.functions.dates import calendar_columns, date_key, hierarchy_columns
-from tradeloom.functions.parse import parse_date, parse_numeric
+from tradeloom.functions.parse import parse_date, parse_decimal, parse_numeric
 from tradeloom.functions.text import norm_code, norm_text
 from tradeloom.operators import checks, dims, facts, fx, landing, rejects, validate
-from tradeloom.operators.amounts import order_totals
+from tradeloom.operators.amounts import order_totals, with_line_amounts
 from tradeloom.operators.keys import dense_keys
 from tradeloom.operators.merge import upsert
 from tradeloom.operators.monitoring import ledger_state
@@ -246,6 +246,37 @@ def _parse_numeric(s: Sample) -> DataFrame:
 _register("parse_numeric", _parse_numeric)
 
 
+def _parse_decimal(s: Sample) -> DataFrame:
+    """The parser that the rules call, on prices of eight digits behind the point and on what is no number."""
+    price = _eight_digit_price()
+    spellings = [
+        price,
+        F.concat(F.lit("  "), price, F.lit(" ")),
+        F.concat(F.lit("+"), price),
+        F.concat(F.lit("-"), price),
+        F.concat(price, F.lit("e2")),
+        F.concat(price, F.lit("d")),
+        F.concat(F.lit("1,"), price),
+        F.lit("nan"),
+        F.lit("inf"),
+        F.lit(""),
+        F.lit("0x1A"),
+    ]
+    parsed = parse_decimal(_spelling(F.col("l_orderkey") + F.col("l_linenumber"), spellings))
+    return s.tables.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", parsed.alias("parsed"))
+
+
+def _eight_digit_price() -> Column:
+    """A line's extended price over its quantity as text, cut after eight digits behind the point."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    units = F.call_function("div", cents * 1_000_000, F.col("l_quantity").cast("bigint"))
+    whole, rest = F.call_function("div", units, F.lit(100_000_000)), units % 100_000_000
+    return F.concat(whole.cast("string"), F.lit("."), F.lpad(rest.cast("string"), 8, "0"))
+
+
+_register("parse_decimal", _parse_decimal)
+
+
 def _parse_date(s: Sample) -> DataFrame:
     d = F.to_date("o_orderdate")
     formats = [
@@ -270,6 +301,32 @@ def _parse_date(s: Sample) -> DataFrame:
 _register("parse_date", _parse_date)
 
 
+@query
+def parse_date_spellings(s: Sample) -> DataFrame:
+    """Short years, months alone, weekdays and clock times around a date, and what is no date."""
+    d = F.to_date("o_orderdate")
+    formats = [
+        "MM/dd/yy",
+        "yyyy/MM",
+        "yyyy-MM",
+        "MMM yyyy",
+        "MMMM yyyy",
+        "EEEE, d MMMM yyyy",
+        "EEE d MMM yyyy",
+        "yyyy MMM d",
+        "yyyy-MM-dd HH:mm",
+        "dd.MM.yyyy HH:mm:ss",
+        "MM/dd/yyyy hh:mm a",
+        "yyyyMMddHHmmss",
+        "MMM. d, yyyy",
+        "yyyy-MM-dd'T'HH:mm:ss'Z'",
+        "'today'",
+        "HH:mm",
+    ]
+    text = _spelling(F.col("o_orderkey"), [F.date_format(d, f) for f in formats])
+    return s.tables.table("orders").select("o_orderkey", parse_date(text).alias("parsed"))
+
+
 def _date_key(s: Sample) -> DataFrame:
     return s.clean["orders"].select("order_id", date_key(F.col("order_date")).alias("date_key"))
 
@@ -363,6 +420,31 @@ def line_amounts_inr(s: Sample) -> DataFrame:
     )
 
 
+@query
+def line_amounts_exact(s: Sample) -> DataFrame:
+    """Amounts of prices with eight digits and discounts with four, as the load computes them from text."""
+    lines = s.tables.table("lineitem")
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    spec = SPECS["order_items"]
+    discount = F.concat((F.col("l_orderkey") % 100).cast("string"), F.lit("."), F.lpad((F.col("l_partkey") % 10_000).cast("string"), 4, "0"))
+    text = lines.select(
+        *key,
+        F.lit(0).alias("_raw_id"),
+        *[F.lit("x").alias(c) for c in ("order_item_id", "order_id", "product_id")],
+        F.col("l_quantity").cast("bigint").cast("string").alias("quantity"),
+        _eight_digit_price().alias("unit_price"),
+        discount.alias("discount_percent"),
+    )
+    parsed = text.withColumns({c: parse_decimal(F.col(c)) for c in ("quantity", "unit_price", "discount_percent")})
+    working = {
+        "quantity": F.col("quantity").cast("int"),
+        "unit_price": F.col("unit_price").try_cast(validate.working_type(C.SOURCE_SCHEMAS[spec.name]["unit_price"])),
+        "discount_percent": F.col("discount_percent").try_cast(validate.working_type(C.SOURCE_SCHEMAS[spec.name]["discount_percent"])),
+    }
+    rows = parsed.withColumns(working).withColumn("unit_cost", F.col("unit_price"))
+    return with_line_amounts(rows).select(*key, "gross_amount", "discount_amount", "net_amount", "cost_amount", "profit_amount")
+
+
 def _dirty_rates(s: Sample) -> DataFrame:
     return validate.typed(SPECS["exchange_rates"], s.dirty["exchange_rates"])
 
