@@ -601,8 +601,8 @@ def _merge_fact(fact: DataFrame, key: str, surrogate: str, changed: str) -> Data
     spark = fact.sparkSession
     fact = cut_lineage(fact)
     table = MonthlyTable(spark, f"{work_dir(spark)}/fact", key, surrogate)
-    table.merge(fact.filter(F.col("date_key") < 20000101).withColumn(changed, F.lit("EARLIER")))
-    table.merge(fact.filter(F.col("date_key") >= 19980101))
+    table.merge(fact.filter(F.col("date_key") < 20000101).withColumn(changed, F.lit("EARLIER")), stored=True)
+    table.merge(fact.filter(F.col("date_key") >= 19980101), stored=True)
     return table.read().drop("month")
 
 

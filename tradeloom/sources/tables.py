@@ -185,46 +185,49 @@ class MonthlyTable:
         reader = self.spark.read.option("basePath", f"{self.path}/rows")
         return reader.parquet(*[self._folder(m, load) for m, load in sorted(chosen.items())]).drop("load")
 
-    def merge(self, incoming: DataFrame) -> int:
+    def merge(self, incoming: DataFrame, stored: bool = False) -> int:
         """Upsert rows unique on the key; new ones are numbered on from the highest key.  Returns the rows merged.
 
-        The incoming rows are written and met with the keys, surrogate keys and
-        months of the table, three of its columns.  Then only the months concerned are
-        read whole, without the rows that are replaced.  The months are a
-        calendar's, so their list is short.
+        The incoming rows are written (unless they are ``stored`` already) and
+        met with the keys, surrogate keys and months of the table, three of its
+        columns.  Then only the months concerned are read whole, without the rows
+        that are replaced.  The months are a calendar's, so their list is short.
         """
         state = self.manifest.last() or {"months": {}, "highest": 0}
         month = F.floor(F.col(self.date_key) / 100).cast("int").alias("month")
-        rows = cut_lineage(incoming.select("*", month), "incoming")
+        rows = incoming.select("*", month)
         known = self.read()
         if known is None:
+            rows = rows if stored else cut_lineage(rows, "incoming")
             located = rows.withColumns({self.surrogate: F.lit(None).cast("bigint"), "_was": F.lit(None).cast("int")})
         else:
             index = known.select(self.key, self.surrogate, F.col("month").alias("_was"))
             located = cut_lineage(rows.join(index, self.key, "left"), "located")
-        fresh = located.where(F.col(self.surrogate).isNull()).drop(self.surrogate, "_was")
-        numbered = dense_keys(fresh, self.key, self.surrogate, start=state["highest"])
+        new = F.col(self.surrogate).isNull()
+        found = located.agg(
+            F.collect_set("month").alias("to"), F.collect_set("_was").alias("was"), F.count("*").alias("n"), F.count_if(new).alias("new")
+        ).first()
+        if not found.n:
+            return 0
+        touched = {*found.to, *found.was}
         columns = [self.surrogate, *incoming.columns, "month"]
-        changed = located.where(F.col(self.surrogate).isNotNull()).select(columns).unionByName(numbered.select(columns))
-        touched = located.select("month").union(located.select("_was")).distinct().dropna().collect()
-        touched = {r[0] for r in touched}
+        changed = located.where(~new).select(columns)
+        if found.new:
+            fresh = located.where(new).drop(self.surrogate, "_was")
+            changed = changed.unionByName(dense_keys(fresh, self.key, self.surrogate, start=state["highest"]).select(columns))
         kept = self.read(touched)
         if kept is not None:
             stay = kept.join(located.select(self.key), self.key, "left_anti")
             changed = changed.unionByName(stay.select(columns))
-        if not touched:
-            return 0
         load = uuid.uuid4().hex
         # Rows of a month go together, a large month to several tasks.
         changed.hint("rebalance", "month").write.partitionBy("month").parquet(f"{self.path}/rows/load={load}")
         written = {int(s.getPath().getName().removeprefix("month=")) for s in self._list(load) if s.isDirectory()}
         months = {m: own for m, own in state["months"].items() if int(m) not in touched}
         months |= {str(m): load for m in written}
-        merged = rows.count()
-        added = numbered.agg(F.max(self.surrogate)).first()[0]
-        self.manifest.put({"months": months, "highest": added or state["highest"]})
+        self.manifest.put({"months": months, "highest": state["highest"] + found.new})
         self._tidy({*months.values(), *state["months"].values()})
-        return merged
+        return found.n
 
     def _list(self, load: str):
         fs, p = _path(self.spark, f"{self.path}/rows/load={load}")
