@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tradeloom.llm.common import written
-from tradeloom.llm.prints import mix, multipliers, word_prints
+from tradeloom.llm.prints import mix, multipliers, runs, word_prints
 
 #: A phrase needs so many occurrences, and has so many words at most.
 SUPPORT = 100
@@ -177,7 +177,7 @@ def _pair_counts(frequent_words):
 
 
 def _suffixes(frequent_pairs, heavy_pairs, groups: int, longest: int):
-    """Suffixes of at least two words with counts, their group, and whether their prefix is extended."""
+    """Suffixes of at least two words with counts and whether their prefix is extended: a row per language and group of what a task holds."""
     weights = multipliers(longest, 3)
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,13 +202,17 @@ def _suffixes(frequent_pairs, heavy_pairs, groups: int, longest: int):
             return key, counts, pa.StructArray.from_arrays([pa.array(texts, pa.binary()), pa.array(group), pa.array(heavy)], ["text", "group", "heavy"])
 
         def rows(lang: str, keys: np.ndarray, counts: np.ndarray, found: pa.StructArray) -> pa.RecordBatch:
+            group, heavy, texts = np.asarray(found.field("group")), np.asarray(found.field("heavy")), found.field("text").to_pylist()
+            order = np.argsort(group, kind="stable")
+            heads = runs(group[order])
+            packs = [order[a:b] for a, b in zip(heads, np.append(heads[1:], len(order)), strict=False)]
             return pa.RecordBatch.from_pydict(
                 {
-                    "group": found.field("group"),
-                    "heavy": found.field("heavy"),
-                    "lang": pa.array([lang] * len(found), pa.string()),
-                    "suffix": found.field("text").cast(pa.string()),
-                    "n": counts,
+                    "group": pa.array(group[order[heads]], pa.int32()),
+                    "lang": pa.array([lang] * len(packs), pa.string()),
+                    "suffixes": pa.array([b"\n".join([texts[i] for i in own]) for own in packs], pa.binary()),
+                    "counts": pa.array([counts[own].tobytes() for own in packs], pa.binary()),
+                    "heavy": pa.array([heavy[own].tobytes() for own in packs], pa.binary()),
                 }
             )
 
@@ -253,10 +257,10 @@ def subtrees(suffixes: list[bytes], langs: list[str], counts: np.ndarray, heavy:
 
 def _grown(support: int, longest: int):
     def grown(rows: pa.Table) -> pa.Table:
-        suffixes = rows.column("suffix").cast(pa.binary()).to_pylist()
-        return subtrees(
-            suffixes, rows.column("lang").to_pylist(), np.asarray(rows.column("n")), np.asarray(rows.column("heavy")), support, longest
-        )
+        packs = [x.split(b"\n") for x in rows.column("suffixes").to_pylist()]  # no word holds a line end
+        langs = [lang for lang, own in zip(rows.column("lang").to_pylist(), packs, strict=True) for _ in own]
+        counts, heavy = (np.frombuffer(b"".join(rows.column(c).to_pylist()), kind) for c, kind in (("counts", np.int64), ("heavy", bool)))
+        return subtrees([x for own in packs for x in own], langs, counts, heavy, support, longest)
 
     return grown
 
@@ -294,7 +298,7 @@ def phrase_counts(
     kept = _bitmap(pairs.select(F.col("pair").alias("print")), bits)
     heavy = _bitmap(pairs.where(F.col("n") > budget).select(F.col("pair").alias("print")), bits)
     groups = max(1, math.ceil(occurrences / budget))
-    suffixes = docs.mapInArrow(_suffixes(kept, heavy, groups, longest), "group int, heavy boolean, lang string, suffix string, n long")
+    suffixes = docs.mapInArrow(_suffixes(kept, heavy, groups, longest), "group int, lang string, suffixes binary, counts binary, heavy binary")
     nodes = suffixes.groupBy("group").applyInArrow(_grown(support, longest), "lang string, phrase string, words int, n long")
     phrases = nodes.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
     return words, written(phrases, "phrases")
