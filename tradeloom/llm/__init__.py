@@ -1,4 +1,4 @@
-"""Operators of a training-data pipeline: ten of them, their queries, and shared helpers.
+"""Operators of a training-data pipeline: thirteen of them, their queries, and shared helpers.
 
 Functions that run on executors are shipped by value, so executors need no
 copy of this package.

@@ -41,7 +41,7 @@ BITS = 27
 BITMAP = 32768
 # Text that is tokenized at once, and distinct rows that a task puts together.
 CHUNK = 1 << 20
-HELD = 1 << 19
+HELD = 1 << 18
 # Rows of a batch that are taken out of Arrow at once.
 SLICE = 512
 
@@ -88,6 +88,7 @@ class Counter:
 
     def __init__(self, values: pa.DataType | None):
         self.type, self.parts, self.size = values, [], 0
+        self.held = HELD if values is None or pa.types.is_binary(values) else HELD // 2  # what has several values takes more room
 
     def add(self, keys: np.ndarray, counts: np.ndarray, values: pa.Array | None) -> None:
         self.parts.append((keys, counts, values))
@@ -102,11 +103,11 @@ class Counter:
 
     def full(self) -> bool:
         """Whether many distinct keys are held, even after equal ones are one."""
-        if self.size < HELD:
+        if self.size < self.held:
             return False
         self.parts = [self.merged()]
         self.size = len(self.parts[0][0])
-        return self.size >= HELD // 2
+        return self.size >= self.held // 2
 
 
 def _counted(
