@@ -47,5 +47,5 @@ def test_each_text_of_an_id_is_judged_by_itself(spark, tmp_path):
 
 
 def test_queries_are_registered():
-    assert {q.split("_")[0] for q in queries.QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 11))}
+    assert {q.split("_")[0] for q in queries.QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 14))}
     assert queries.ORACLES.keys() <= queries.QUERIES.keys()
