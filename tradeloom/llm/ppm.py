@@ -62,8 +62,8 @@ CODES = (1 << CODE) - 1
 LONGEST = (62 - 8) // CODE
 # Longer contexts are answered where their nearest bytes are at home.
 SPLIT = 4
-# Bytes that are looked at together; longer texts are taken piece by piece.
-PIECE = 1 << 22
+# Bytes that are looked at together, so that their arrays stay near the processor; longer texts are taken piece by piece.
+PIECE = 1 << 20
 #: Lower-cases A-Z.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -133,9 +133,13 @@ def _piece(parts: list[tuple[bytes, int, int, int]]):
 
 def _keys(data: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
     """The gram of each byte: its context, the nearest byte highest, and the byte itself lowest."""
-    key = data.copy()
+    key, codes = data.copy(), data + 1
     for n in range(1, min(order, len(data) - 1) + 1):
-        key[n:] |= np.where(at[n:] >= n, data[:-n] + 1, 0) << (8 + CODE * (order - n))
+        key[n:] |= codes[:-n] << (8 + CODE * (order - n))
+    # The first bytes of a text have less before them.
+    early = np.flatnonzero(at < order)
+    nearest = [SYMBOLS - 1 | ((1 << CODE * n) - 1) << (8 + CODE * (order - n)) for n in range(order + 1)]
+    key[early] &= np.array(nearest, np.int64)[at[early]]
     return key
 
 
@@ -146,6 +150,18 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[heads], np.add.reduceat(counts[order], heads) if len(heads) else counts[:0]
 
 
+def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The distinct ones of lists of distinct sorted keys, the sums of their counts, and where each list's keys are among them."""
+    every = np.sort(concat(keys, np.int64))
+    every = every[runs(every)]
+    sums, places = np.zeros(len(every), np.int64), []
+    for own, times in zip(keys, counts, strict=True):
+        at = np.searchsorted(every, own)
+        sums[at] += times
+        places.append(at.astype(np.int32))
+    return every, sums, places
+
+
 def count_contexts(texts: list[bytes], order: int = ORDER, training: np.ndarray | None = None) -> list[np.ndarray]:
     """The distinct grams of all bytes, sorted, and how often training texts have each; contexts stay inside a text."""
     training = np.ones(len(texts), np.int64) if training is None else training.astype(np.int64)
@@ -156,9 +172,37 @@ def count_contexts(texts: list[bytes], order: int = ORDER, training: np.ndarray
         heads = runs(marked >> 1)
         keys.append(marked[heads] >> 1)
         counts.append(np.add.reduceat(marked & 1, heads))
-    if len(keys) == 1:
-        return [keys[0], counts[0]]
-    return list(_summed(concat(keys, np.int64), concat(counts, np.int64)))
+    return list(_merged(keys, counts)[:2])
+
+
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and the place of each key among them: sorted by the lower half, then by the upper."""
+    low, rank = (1 << 32) - 1, np.arange(len(keys))
+    half = (keys & (1 << 31) - 1) << 32 | rank
+    half.sort()
+    order = half & low
+    half = (keys >> 31)[order] << 32 | rank
+    half.sort()
+    order = order[half & low]
+    keys = keys[order]
+    heads = runs(keys)
+    new, place = np.zeros(len(keys), np.int32), np.empty(len(keys), np.int32)
+    new[heads[1:]] = 1
+    place[order] = np.cumsum(new)
+    return keys[heads], place
+
+
+def place_contexts(texts: list[bytes], order: int, training: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+    """As ``count_contexts``; besides, per piece, the place of each byte's gram among them, and the byte's text."""
+    keys, counts, spots = [], [], []
+    for data, at, own, doc in _pieces(texts, order):
+        distinct, spot = _grouped(_keys(data, at, order)[own])
+        doc = doc[own]
+        keys.append(distinct)
+        counts.append(np.bincount(spot, training[doc], len(distinct)).astype(np.int64))
+        spots.append((spot, doc.astype(np.int32)))
+    every, sums, places = _merged(keys, counts)
+    return every, sums, [(place[spot], doc) for place, (spot, doc) in zip(places, spots, strict=True)]
 
 
 #: Per key: its probability if found, else the share left to shorter contexts; whether found; x << 16 | d of the last context.
@@ -205,12 +249,17 @@ class Grams:
         sizes = np.diff(np.concatenate((self.heads, [len(self.grams)])))
         context_of = np.repeat(np.arange(len(self.heads)), sizes)
         p, found, left = state or (np.ones(n_keys), np.zeros(n_keys, bool), np.zeros(n_keys, np.int64))
+        if not len(self.grams):
+            return p, found, left
+        shorter = np.minimum(np.searchsorted(self.grams, (self.grams >> (8 + CODE)) << 8 | self.grams & 255), len(self.grams) - 1)
+        at, long_enough = np.zeros(n_keys, np.int64), np.zeros(n_keys, bool)
         for n in reversed(lengths):
             gram, valid = self.of_length(n)
-            at = np.minimum(np.searchsorted(self.grams, gram), max(len(self.grams) - 1, 0))
-            if not len(self.grams):
-                continue
-            valid &= self.grams[at] == gram
+            at = np.where(long_enough, shorter[at], at)
+            new = np.flatnonzero(valid & ~long_enough)  # all of them first, then those at the start of texts
+            at[new] = np.minimum(np.searchsorted(self.grams, gram[new]), len(self.grams) - 1)
+            long_enough = valid
+            valid = valid & (self.grams[at] == gram)
             context = context_of[at]
             refused, own = np.where(valid, stats[1, context], 0), left
             total = np.where(valid, stats[0, context], 0) - (own >> 16)
@@ -246,13 +295,11 @@ def log_tables(counts: list[np.ndarray], order: int = ORDER) -> list[tuple[np.nd
     return tables
 
 
-def score(texts: list[bytes], keys: np.ndarray, logs: np.ndarray, order: int) -> np.ndarray:
+def score(spots: list, logs: np.ndarray, n_texts: int) -> np.ndarray:
     """log10 probability of each text from those of its distinct grams."""
-    total = np.zeros(len(texts))
-    for data, at, own, doc in _pieces(texts, order):
-        found = pa.array(_keys(data, at, order)[own]).dictionary_encode()
-        by_key = logs[np.searchsorted(keys, found.dictionary.to_numpy())]
-        total += np.bincount(doc[own], by_key[found.indices.to_numpy()], len(texts))
+    total = np.zeros(n_texts)
+    for spot, doc in spots:
+        total += np.bincount(doc, logs[spot], n_texts)
     return total
 
 
@@ -277,21 +324,16 @@ def _unsqueezed(blob: bytes) -> np.ndarray:
     return unpack64(pa.decompress(blob[8:], 8 * n, "zstd", asbytes=True)).astype(np.int64) if n else np.empty(0, np.int64)
 
 
-def _send_keys(buckets: int, order: int):
-    def send(rows: pa.Table) -> pa.Table:
-        texts, training = _texts(rows)
-        keys, counts = count_contexts(texts, order, training)
-        homes = [(b, own) for b, own in enumerate(_homes(keys, order, buckets)) if len(own)]
-        return pa.table(
-            {
-                "bucket": pa.array([b for b, _ in homes], pa.int32()),
-                "block": pa.array([rows.column("block")[0].as_py()] * len(homes), pa.int32()),
-                "prints": pa.array([_squeezed(np.diff(keys[own], prepend=0)) for _, own in homes], pa.binary()),
-                "counts": pa.array([_squeezed(counts[own]) for _, own in homes], pa.binary()),
-            }
-        )
-
-    return send
+def _send_keys(block: int, keys: np.ndarray, counts: np.ndarray, order: int, buckets: int) -> pa.Table:
+    homes = [(b, own) for b, own in enumerate(_homes(keys, order, buckets)) if len(own)]
+    return pa.table(
+        {
+            "bucket": pa.array([b for b, _ in homes], pa.int32()),
+            "block": pa.array([block] * len(homes), pa.int32()),
+            "prints": pa.array([_squeezed(np.diff(keys[own], prepend=0)) for _, own in homes], pa.binary()),
+            "counts": pa.array([_squeezed(counts[own]) for _, own in homes], pa.binary()),
+        }
+    )
 
 
 def _predict_keys(order: int):
@@ -301,15 +343,13 @@ def _predict_keys(order: int):
         Probabilities are 32-bit floats, negative where they are shares of keys not found.
         """
         lists = [np.cumsum(_unsqueezed(x)) for x in rows.column("prints").to_pylist()]
-        counts = np.concatenate([_unsqueezed(x) for x in rows.column("counts").to_pylist()])
-        keys, totals = _summed(np.concatenate(lists), counts)
+        keys, totals, places = _merged(lists, [_unsqueezed(x) for x in rows.column("counts").to_pylist()])
         grams = Grams(keys, totals, order, range(SPLIT, order + 1))
         stats = grams.local_stats(grams.counts, grams.counts > 0)
         p, found, left = grams.predict(grams.counts, stats, range(SPLIT + 1, order + 1))
         values, code = np.unique(np.where(found, p, -p).astype(np.float32).view(np.uint32), return_inverse=True)
         own_codes, own_values = [], []
-        for own in lists:
-            at = np.searchsorted(keys, own)
+        for at in places:
             used, own_code, times = np.unique(code[at], return_inverse=True, return_counts=True)
             by_times = np.argsort(-times, kind="stable")  # small codes for frequent ones
             own_codes.append(_squeezed(np.argsort(by_times)[own_code]))
@@ -338,88 +378,175 @@ def _states(answers: pa.Table, keys: np.ndarray, order: int, buckets: int) -> St
     return np.abs(p), p > 0, left
 
 
-class BlockGrams:
-    """The grams of a block's documents, and their exchange."""
+def _zipped(table: pa.Table, names: tuple[str, ...]) -> pa.Table:
+    """The binary columns ``names`` compressed, each value after its length."""
+    for name in names:
+        blobs = [len(x).to_bytes(8) + (pa.compress(x, "zstd", asbytes=True) if x else b"") for x in table.column(name).to_pylist()]
+        table = table.set_column(table.schema.get_field_index(name), name, pa.array(blobs, pa.binary()))
+    return table
+
+
+def _unzipped(table: pa.Table, names: tuple[str, ...]) -> pa.Table:
+    for name in names:
+        blobs = [pa.decompress(x[8:], int.from_bytes(x[:8]), "zstd", asbytes=True) if len(x) > 8 else b"" for x in table.column(name).to_pylist()]
+        table = table.set_column(table.schema.get_field_index(name), name, pa.array(blobs, pa.binary()))
+    return table
 
-    def __init__(self, rows: pa.Table, buckets: int, order: int):
-        self.texts, training = _texts(rows)
-        self.found = Grams(*count_contexts(self.texts, order, training), order, range(min(order, SPLIT) + 1))
-        self.buckets = buckets
 
-    def _sorted(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        prints = mix(values.astype(np.uint64))
-        by_print = np.argsort(prints)
-        return prints[by_print], by_print
+class Exchanged:
+    """Sorted numbers of a block, grams or contexts, in the order of their buckets, and the answers to them."""
 
-    def send(self, block: int, values: np.ndarray, counts: np.ndarray) -> pa.Table:
-        prints, by_print = self._sorted(values)
-        return send_counts(block, prints, counts[..., by_print], self.buckets)
+    def __init__(self, values: np.ndarray, buckets: int):
+        self.values = values
+        bucket = (mix(values.astype(np.uint64)) % np.uint64(buckets)).astype(np.uint32)
+        self.order = np.argsort(bucket, kind="stable")
+        self.starts = np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=buckets))))
+
+    def send(self, block: int, counts: np.ndarray) -> pa.Table:
+        """One row per bucket: the differences of its numbers, and the counts (one row or several), compressed."""
+        values, counts = self.values[self.order], counts[..., self.order]
+        used = np.flatnonzero(np.diff(self.starts))
+        parts = [slice(self.starts[b], self.starts[b + 1]) for b in used]
+        return pa.table(
+            {
+                "bucket": pa.array(used, pa.int32()),
+                "block": pa.array([block] * len(used), pa.int32()),
+                "prints": pa.array([_squeezed(np.diff(values[part], prepend=0)) for part in parts], pa.binary()),
+                "counts": pa.array([_squeezed(counts[..., part].ravel()) for part in parts], pa.binary()),
+            }
+        )
 
-    def answered(self, answers: pa.Table, values: np.ndarray, local: np.ndarray) -> np.ndarray:
-        prints, by_print = self._sorted(values)
+    def answered(self, answers: pa.Table, local: np.ndarray) -> np.ndarray:
         out = np.empty(local.shape, np.int64)
-        out[..., by_print] = totals_of(answers, bucket_starts(prints, self.buckets), local[..., by_print]).astype(np.int64)
+        found = totals_of(_unzipped(answers, ("at", "total")), self.starts, local[..., self.order])
+        out[..., self.order] = found.astype(np.int64)
         return out
 
-    def totals(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        """Per gram: its total, and whether this block owns it."""
-        counts = self.found.counts
-        doubled = self.answered(answers, self.found.grams, counts * 2 + (counts > 0))
-        return doubled >> 1, doubled & 1
 
+def _answering(answer):
+    """A bucket's ``answer`` to what ``Exchanged.send`` has sent, compressed."""
 
-def _send_grams(buckets: int, order: int):
-    def send(rows: pa.Table) -> pa.Table:
-        own = BlockGrams(rows, buckets, order)
-        return own.send(rows.column("block")[0].as_py(), own.found.grams, own.found.counts)
+    def answered(rows: pa.Table) -> pa.Table:
+        plain = {
+            "bucket": rows.column("bucket"),
+            "block": rows.column("block"),
+            "prints": pa.array([pack64(np.cumsum(_unsqueezed(x))) for x in rows.column("prints").to_pylist()], pa.binary()),
+            "counts": pa.array([pack64(_unsqueezed(x)) for x in rows.column("counts").to_pylist()], pa.binary()),
+        }
+        return _zipped(answer(pa.table(plain)), ("at", "total"))
 
-    return send
+    return answered
+
+
+def _gram_totals(found: Grams, grams: Exchanged, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Per gram: its total, and whether this block owns it."""
+    doubled = grams.answered(answers, found.counts * 2 + (found.counts > 0))
+    return doubled >> 1, doubled & 1
+
+
+def _own_grams(block: int, keys: np.ndarray, counts: np.ndarray, order: int) -> pa.Table:
+    """A block's grams of up to ``SPLIT`` context bytes, which come back to it with what the buckets answer."""
+    for _ in range(order - SPLIT):
+        keys, counts = _summed((keys >> (8 + CODE)) << 8 | keys & 255, counts)
+    return pa.table(
+        {
+            "bucket": pa.array([block], pa.int32()),
+            "block": pa.array([block], pa.int32()),
+            "prints": pa.array([_squeezed(np.diff(keys, prepend=0))], pa.binary()),
+            "counts": pa.array([_squeezed(counts)], pa.binary()),
+        }
+    )
+
+
+def _returned(rows: pa.Table) -> pa.Table:
+    return rows.select(["block", "bucket", "prints", "counts"]).rename_columns(["block", "bucket", "at", "total"])
 
 
 def _send_contexts(buckets: int, order: int):
-    def send(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        own = BlockGrams(rows, buckets, order)
-        stats = own.found.local_stats(*own.totals(answers))
-        return own.send(rows.column("block")[0].as_py(), own.found.contexts, stats)
+    """Of one block, from its own grams and their totals: what it has of each context."""
+
+    def send(rows: pa.Table) -> pa.Table:
+        of_kind = {kind: rows.filter(pc.equal(rows.column("kind"), kind)) for kind in (OWN, GRAMS)}
+        own = of_kind[OWN]
+        keys, counts = np.cumsum(_unsqueezed(own.column("at")[0].as_py())), _unsqueezed(own.column("total")[0].as_py())
+        found = Grams(keys, counts, order, range(order + 1))
+        stats = found.local_stats(*_gram_totals(found, Exchanged(found.grams, buckets), of_kind[GRAMS]))
+        return Exchanged(found.contexts, buckets).send(own.column("block")[0].as_py(), stats)
 
     return send
 
 
 def _model_scores(rows: pa.Table, keys: pa.Table, grams: pa.Table, contexts: pa.Table, buckets: int, order: int) -> np.ndarray:
-    own = BlockGrams(rows, buckets, order)
-    found = own.found
-    totals, owned = own.totals(grams)
-    stats = own.answered(contexts, found.contexts, found.local_stats(totals, owned))
-    state = _states(keys, found.keys, order, buckets) if order > SPLIT else None
-    return score(own.texts, found.keys, _log10(found.predict(totals, stats, found.lengths, state)), order)
+    texts, training = _texts(rows)
+    own, counts, spots = place_contexts(texts, order, training)
+    found = Grams(own, counts, order, range(min(order, SPLIT) + 1))
+    totals, owned = _gram_totals(found, Exchanged(found.grams, buckets), grams)
+    stats = Exchanged(found.contexts, buckets).answered(contexts, found.local_stats(totals, owned))
+    state = _states(keys, own, order, buckets) if order > SPLIT else None
+    return score(spots, _log10(found.predict(totals, stats, found.lengths, state)), len(texts))
 
 
-def _tokens(texts: list) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Lower-cased texts, token prints and their documents; each document's last token is the end.
+def _tokens(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct token prints of the lower-cased texts, sorted; per token, its place there and its text.
 
-    The end's print is that of a blank, which no word is.
+    Each text's last token is the end, whose print is that of a blank, which no word is.
     """
-    lowered = [(t or b"").translate(LOWER) for t in texts]
-    words = [t.split() for t in lowered]
-    for own in words:
-        own.append(b" ")
-    doc = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    return lowered, concat([word_prints(w) for w in words], np.uint64), doc
+    text = rows.column("text").cast(pa.large_string()).combine_chunks()
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(text, "")))
+    words, n = split.flatten(), len(split)
+    doc = np.repeat(np.arange(n), split.value_lengths().to_numpy(zero_copy_only=False))
+    real = pc.greater(pc.binary_length(words), 0)
+    found = words.filter(real).dictionary_encode()
+    distinct = found.dictionary
+    ends = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset : distinct.offset + len(distinct) + 1].tolist() if len(distinct) else []
+    data = (distinct.buffers()[2] or pa.py_buffer(b"")).to_pybytes() if len(distinct) else b""
+    prints = word_prints([data[a:b] for a, b in zip(ends, ends[1:])] + [b" "])
+    prints, place = np.unique(prints, return_inverse=True)
+    at = np.concatenate((found.indices.to_numpy(), np.full(n, len(distinct))))
+    return prints, place[at], np.concatenate((doc[real.to_numpy(zero_copy_only=False)], np.arange(n)))
+
+
+def _send(buckets: int, order: int, adaptive: bool):
+    """All that a block asks: the counts of its tokens, of its longest grams and of the shorter ones."""
 
-
-def _send(buckets: int):
     def send(rows: pa.Table) -> pa.Table:
-        _, prints, doc = _tokens(rows.column("text").cast(pa.binary()).to_pylist())
-        training = np.asarray(rows.column("training"))[doc]
-        distinct, group = np.unique(prints, return_inverse=True)
-        counts = np.bincount(group, training, len(distinct))
-        return send_counts(rows.column("block")[0].as_py(), distinct, counts, buckets)
+        texts, training = _texts(rows)
+        block = rows.column("block")[0].as_py()
+        distinct, group, doc = _tokens(rows)
+        sent = {TOKENS: send_counts(block, distinct, np.bincount(group, training[doc], len(distinct)), buckets)}
+        if not adaptive:
+            keys, counts = count_contexts(texts, order, training)
+            found = Grams(keys, counts, order, range(min(order, SPLIT) + 1))
+            sent[GRAMS] = Exchanged(found.grams, buckets).send(block, found.counts)
+            sent[OWN] = _own_grams(block, keys, counts, order)
+            if order > SPLIT:
+                sent[KEYS] = _send_keys(block, keys, counts, order, buckets)
+        return pa.concat_tables([_of_kind(table, kind) for kind, table in sent.items()])
 
     return send
 
 
+def _of_kind(table: pa.Table, kind: int) -> pa.Table:
+    return table.add_column(0, "kind", pa.array([kind] * len(table), pa.int32()))
+
+
+def _answer(kinds: dict):
+    """Answer what is sent about ``kinds``, each by its function; nothing else."""
+    none = pa.schema([("kind", pa.int32()), ("block", pa.int32()), ("bucket", pa.int32()), ("at", pa.binary()), ("total", pa.binary())])
+
+    def answer(rows: pa.Table) -> pa.Table:
+        kind = rows.column("kind")[0].as_py()
+        if kind not in kinds:
+            return none.empty_table()
+        return _of_kind(kinds[kind](rows), kind).select(none.names)
+
+    return answer
+
+
 def _corpus(rows: pa.Table) -> pa.Table:
-    """Of one bucket: its distinct training tokens and how often they occur."""
+    """Of one bucket of tokens: its distinct training tokens and how often they occur."""
+    if rows.column("kind")[0].as_py() != TOKENS:
+        return pa.table({"types": pa.array([], pa.int64()), "tokens": pa.array([], pa.int64())})
     prints = concat([unpack64(x) for x in rows.column("prints").to_pylist()], np.uint64)
     counts = concat([unpack64(x) for x in rows.column("counts").to_pylist()], np.uint64)
     return pa.table(
@@ -433,15 +560,14 @@ def _corpus(rows: pa.Table) -> pa.Table:
 def _apply(buckets: int, order: int, adaptive: bool):
     def apply(rows: pa.Table, answers: pa.Table) -> pa.Table:
         of_kind = [answers.filter(pc.equal(answers.column("kind"), kind)) for kind in (TOKENS, KEYS, GRAMS, CONTEXTS)]
-        texts = rows.column("text").cast(pa.binary()).to_pylist()
-        lowered, prints, doc = _tokens(texts)
-        distinct, group = np.unique(prints, return_inverse=True)
-        training = np.asarray(rows.column("training"))[doc]
-        local = np.bincount(group, training, len(distinct)).astype(np.uint64)
-        totals = totals_of(of_kind[TOKENS], bucket_starts(distinct, buckets), local)[group].astype(np.float64)
+        texts, training = _texts(rows)
+        distinct, group, doc = _tokens(rows)
+        local = np.bincount(group, training[doc], len(distinct)).astype(np.uint64)
+        found = _unzipped(of_kind[TOKENS], ("at", "total"))
+        totals = totals_of(found, bucket_starts(distinct, buckets), local)[group].astype(np.float64)
         n = len(texts)
         if adaptive:
-            model = [ByteTrie(order).log10(t, adaptive=True) for t in lowered]
+            model = [ByteTrie(order).log10(t, adaptive=True) for t in texts]
         else:
             model = _model_scores(rows, *of_kind[KEYS:], buckets, order)
         return pa.table(
@@ -459,7 +585,7 @@ def _apply(buckets: int, order: int, adaptive: bool):
 
 
 #: What an answer is about.
-TOKENS, KEYS, GRAMS, CONTEXTS = range(4)
+TOKENS, KEYS, GRAMS, CONTEXTS, OWN = range(5)
 
 
 def scored(
@@ -484,20 +610,20 @@ def scored(
     if mode == "pretrained" and order > LONGEST:
         raise ValueError(f"a gram of more than {LONGEST} context bytes does not fit a 64-bit print")
     blocks, n = in_any_blocks(rows, block_bytes)
-    sent = blocks.groupBy("block").applyInArrow(_send(n), SENT)
-    totals = sent.groupBy("bucket").applyInArrow(_corpus, "types long, tokens long")
+    short = min(order, SPLIT)
+    schema = f"kind int, {SENT}"
+    sent = blocks.groupBy("block").applyInArrow(_send(n, order, mode == "adaptive"), schema).groupBy("kind", "bucket")
+    totals = sent.applyInArrow(_corpus, "types long, tokens long")
     size = totals.agg(F.coalesce(F.sum("types"), F.lit(0)).alias("v"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"))
-    answers = sent.groupBy("bucket").applyInArrow(shared_counts, COUNTS).withColumn("kind", F.lit(TOKENS))
+    about_tokens = {TOKENS: lambda rows: _zipped(shared_counts(rows), ("at", "total"))}
+    about_grams = {GRAMS: _answering(owned_counts)}
+    answered = f"kind int, {COUNTS}"
+    answers = sent.applyInArrow(_answer({**about_tokens, **about_grams, KEYS: _predict_keys(order)}), answered)
     if mode == "pretrained":
-        grams = blocks.groupBy("block").applyInArrow(_send_grams(n, min(order, SPLIT)), SENT)
-        grams = grams.groupBy("bucket").applyInArrow(owned_counts, COUNTS)
-        contexts = blocks.groupBy("block").cogroup(grams.groupBy("block")).applyInArrow(_send_contexts(n, min(order, SPLIT)), SENT)
-        contexts = contexts.groupBy("bucket").applyInArrow(shared_counts, COUNTS)
-        answers = answers.union(grams.withColumn("kind", F.lit(GRAMS))).union(contexts.withColumn("kind", F.lit(CONTEXTS)))
-    if mode == "pretrained" and order > SPLIT:
-        keys = blocks.groupBy("block").applyInArrow(_send_keys(n, order), SENT)
-        keys = keys.groupBy("bucket").applyInArrow(_predict_keys(order), COUNTS)
-        answers = answers.union(keys.withColumn("kind", F.lit(KEYS)))
+        grams = sent.applyInArrow(_answer({**about_grams, OWN: _returned}), answered)
+        contexts = grams.groupBy("block").applyInArrow(_send_contexts(n, short), SENT)
+        contexts = contexts.groupBy("bucket").applyInArrow(_answering(shared_counts), COUNTS)
+        answers = answers.unionByName(contexts.withColumn("kind", F.lit(CONTEXTS)))
     scores = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _apply(n, order, mode == "adaptive"),
         "id long, training boolean, n_tokens long, n_known long, log_counts double, score double",
