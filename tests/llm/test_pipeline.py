@@ -49,3 +49,21 @@ def test_each_text_of_an_id_is_judged_by_itself(spark, tmp_path):
 def test_queries_are_registered():
     assert {q.split("_")[0] for q in queries.QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 14))}
     assert queries.ORACLES.keys() <= queries.QUERIES.keys()
+
+
+def test_stages_take_any_columns_and_empty_tables(spark, tmp_path):
+    item = "planted words of the benchmark item that nobody else would ever write down here"
+    plain = " ".join(f"word{i}" for i in range(40))
+    columns = "doc_id long, text string, near_key string, near_row string, class_id long, id long, hit_id long, hit_digest string, n_chars long"
+    rows = [(i, t, "k", "r", 1, 2, 3, "d", 9) for i, t in [(None, plain), (1, plain), (1, f"{item} {plain[::-1]}"), (2, plain), (3, None), (3, None)]]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    table = spark.createDataFrame(rows, columns)
+    once = corpus_pipeline.keep_one_of_each(spark, table, str(tmp_path))
+    assert once.columns == table.columns
+    expected = [("1", item[:7]), ("1", "word0 w"), ("3", "None"), ("None", "word0 w")]
+    assert sorted((str(r["doc_id"]), str(r["text"])[:7]) for r in once.collect()) == sorted(expected)
+    clean = corpus_pipeline.drop_contaminated(spark, table, str(tmp_path))
+    assert clean.columns == table.columns and clean.count() == 5
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, table.where("false"), str(tmp_path)).count() == 0

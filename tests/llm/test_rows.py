@@ -5,16 +5,20 @@ import hashlib
 import itertools
 import json
 import math
+import os
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.helpers import docs, texts
-from tradeloom.llm import bpe, chat, language, ppm, quality, queries, secret_scan, warc
+from tests.llm.helpers import docs, long_text, texts
+from tradeloom.llm import bpe, chat, common, language, ppm, quality, queries, secret_scan, warc
 from tradeloom.llm.common import crc_bucket
+from tradeloom.llm.prints import word_prints
 
 TOKENIZER = queries.tokenizer_path(queries.TOKENIZER)
 ODD = [
@@ -279,3 +283,81 @@ def test_trie_is_deep_and_spread_over_blocks(spark, monkeypatch, blocks):
                 trie.learn(text, at)
         found = {r["id"]: r["score"] for r in ppm.scored(docs(spark, rows), training, order=order).collect()}
         assert found == pytest.approx({i: trie.log10(t, adaptive=False) for i, t in lowered.items()}, rel=1e-6)
+
+
+def _base_by_pattern(text):
+    """The base spans as the patterns say, matches that fail dropped."""
+    either = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+    names = "|".join([*map(either, ("password", "passwd", "secret", "token")), f"{either('api')}_?{either('key')}"])
+    assign = rf"""({names})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    found = [(m.start(), 0, m.end()) for m in re.finditer(assign, text) if len(m.group(2)) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m.group()) >= 24]
+    return sorted(found)
+
+
+def test_base_spans_follow_the_patterns():
+    parts = ["password", "PassWd", "secret", "ToKen", "api_key", "APIKEY", "paſſword", "toKen", '"', "'", " ", "  ", ":", "=", "abc12", "abcdef"]
+    parts += ["AKIA", "AKIAABCDEFGHIJKLMNO", "P", "0123456789ab", "é", "\n", "\t", "F", ".", "token:token=abcdef", "日"]
+    draw = np.random.default_rng(5)
+    for _ in range(20000):
+        text = "".join(draw.choice(parts, draw.integers(0, 14)))
+        assert secret_scan.base_spans(text) == _base_by_pattern(text), text
+
+
+def test_structures_of_any_depth_and_place(spark):
+    key = _element(0x30, _element(2, b"\0") + _element(4, bytes(range(60))))
+    deep = _element(5, b"")
+    for _ in range(40):
+        deep = _element(0x30, deep)
+    deep = _element(0x30, _element(2, b"\1") + deep)
+    code = lambda b: base64.urlsafe_b64encode(b).decode().rstrip("=")
+    blank = f"{code(b'{ ' + json.dumps({'alg': 'none'}).encode()[1:])}.{code(b'{}')}."
+    for text, kind, start, end in [
+        (f"a{key.hex()}", "hexkey", 1, 1 + 2 * len(key)),
+        (f"{key.hex().upper()}B", "hexkey", 0, 2 * len(key)),
+        (f"x {code(deep)}", "der", 2, 2 + len(code(deep))),
+        (f"see {blank}", "jwt", 4, 4 + len(blank)),
+        (code(_element(0x30, _element(2, b"\0") + _element(4, bytes(19)))), "der", 0, 35),
+    ]:
+        assert (start, secret_scan.RANK[kind], end) in secret_scan.confirmed_spans(text), (text, kind)
+    assert secret_scan.confirmed_spans(code(_element(0x30, _element(2, b"\0") + b"\4\x30" + bytes(40)))) == []
+    assert secret_scan.scanned(docs(spark, [])).count() == 0
+    far = "plain words " * 200_000
+    rows = [(1, far + key.hex()), (1, far + key.hex()), (2, None)]
+    found = Counter((r["id"], r["spans"]) for r in secret_scan.scanned(docs(spark, rows)).collect())
+    assert found[1, f"hex:{len(far)}:{len(far) + 2 * len(key)},hexkey:{len(far)}:{len(far) + 2 * len(key)}"] == 2 and found[2, ""] == 1
+
+
+def test_tokens_are_split_at_ascii_blanks():
+    rows = pa.table({"text": pa.chunked_array([["A b\x1cB\x0b\x0cc  ", None, ""], ["\x85é É a", " \t\r\n"]], pa.string())})
+    distinct, place, doc = ppm._tokens(rows)
+    expected = Counter()
+    for i, text in enumerate(rows.column("text").to_pylist()):
+        expected.update((i, w) for w in (text or "").encode().translate(ppm.LOWER).split() + [b" "])
+    words = {int(p): w for (_, w), p in zip(expected, word_prints([w for _, w in expected]), strict=True)}
+    assert Counter((int(i), words[int(p)]) for i, p in zip(doc, distinct[place], strict=True)) == expected
+
+
+def test_scores_of_many_blocks_are_those_of_one(spark):
+    rows = [*texts(), *((100 + i, long_text(i, 300)) for i in range(60))]
+    table = common.written(docs(spark, rows).repartition(4), "docs")
+    one, many = (
+        sorted((str(r["id"]), r["n_tokens"], r["n_known"], round(r["score"], 3)) for r in ppm.scored(table, F.lit(True), block_bytes=size).collect())
+        for size in (1 << 30, 20_000)
+    )
+    assert common.part_count(table, 20_000) > 3 and one == many
+
+
+def test_training_rows_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_DOCS", 5)
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda lines, labels: seen.append((lines, labels)))
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    quality.train(docs(spark, [(1, f"line {i} of words") for i in range(30)] + [(2, "other line")] * 3), labels)
+    assert len(seen[0][0]) == 5 == len(seen[0][1])
+
+
+def test_local_folders_become_absolute():
+    assert warc._absolute("some/folder") == os.path.abspath("some/folder")
+    assert [warc._absolute(f) for f in ("/a/b", "file:/a", "s3://b/c")] == ["/a/b", "file:/a", "s3://b/c"]

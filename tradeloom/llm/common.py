@@ -16,6 +16,14 @@ BLOCK_BYTES = 4 * 1024 * 1024
 UNKNOWN_SIZE = 1 << 50
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have: ``name``, underlined as often as needed."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -190,12 +190,13 @@ def _sample_lines(batches):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Crf:
-    """Fit the CRF on a bounded sample of the labelled documents (quality 1 or 0)."""
+    """Fit the CRF on all lines of at most ``TRAIN_DOCS`` labelled rows (quality 1 or 0), also where ids repeat."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("quality"))
     known = known.where(F.col("quality").isin(0, 1)).orderBy(F.xxhash64("id"), "id", "quality").limit(TRAIN_DOCS)
-    # At most TRAIN_DOCS rows of two numbers.
+    # At most TRAIN_DOCS rows of two numbers; as many rows of line masks reach the driver.
     sample = rows.join(F.broadcast(known), "id").mapInArrow(_sample_lines, "id long, quality int, masks binary")
+    sample = sample.orderBy(F.xxhash64("id"), "id", "quality", "masks").limit(TRAIN_DOCS)
     found = sorted((r["id"], r["quality"], bytes(r["masks"])) for r in sample.collect() if r["masks"])
     return fit([np.frombuffer(x[2], np.uint16).tolist() for x in found], [x[1] for x in found])
 

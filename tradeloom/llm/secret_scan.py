@@ -8,7 +8,11 @@ lengths or headers hold are reported, as further kinds:
     pem   armoured block whose body decodes to a nested-length key encoding
     der   base64 run that decodes to a nested-length key encoding
     ssh   base64 run that decodes to length-prefixed fields of a key type
-    hexkey  hex run that decodes to a nested-length key encoding
+    hexkey  hex run that decodes to a nested-length key encoding, but for one digit at either end
+
+Keys have at least ``MIN_KEY_BYTES`` bytes and fill their run; lengths nest to
+any depth.  A token's header begins with a brace, at the start of its run or
+followed by a quote.
 """
 
 from __future__ import annotations
@@ -31,12 +35,14 @@ WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # Runs of at least the needed length; a shorter run has no match inside either.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-ANY_HEX = re.compile(r"[0-9A-Fa-f]{48,}")
-TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+# No key is shorter.
+MIN_KEY_BYTES = 24
+ANY_HEX = re.compile(rf"[0-9A-Fa-f]{{{2 * MIN_KEY_BYTES},}}")
+# What a brace encodes to: any at the start of a run, with a quote after it anywhere.
+TOKEN = re.compile(r"(?:eyJ|(?<![A-Za-z0-9_-])e[w-z0-9_-])[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----", re.A)
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{44,}={0,2}")
+BASE64 = re.compile(rf"[A-Za-z0-9+/_-]{{{-(-MIN_KEY_BYTES * 4 // 3)},}}={{0,2}}")
 KEY_TYPES = (b"ssh-rsa", b"ssh-ed25519", b"ssh-dss", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
-MAX_DEPTH = 12
 
 
 def decode64(text: str) -> bytes | None:
@@ -63,28 +69,28 @@ def _element(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + length) if at + length <= end else None
 
 
-def nested(data: bytes, at: int, end: int, depth: int = 0) -> int | None:
+def nested(data: bytes, at: int, end: int) -> int | None:
     """How many elements the range holds, nested ones included; None if a length does not fit exactly."""
-    if depth > MAX_DEPTH:
-        return None
-    count = 0
-    while at < end:
-        element = _element(data, at, end)
+    count, ends = 0, [end]
+    while ends:
+        if at == ends[-1]:
+            ends.pop()
+            continue
+        element = _element(data, at, ends[-1])
         if element is None:
             return None
-        tag, start, at = element
+        tag, start, stop = element
         count += 1
+        at = stop
         if tag & 0x20:
-            inner = nested(data, start, at, depth + 1)
-            if inner is None:
-                return None
-            count += inner
+            at = start
+            ends.append(stop)
     return count
 
 
 def is_key_encoding(data: bytes | None) -> bool:
     """A sequence of nested lengths that fills the data and holds an integer and a key, or an algorithm."""
-    if not data or len(data) < 24 or data[0] != 0x30:
+    if not data or len(data) < MIN_KEY_BYTES or data[0] != 0x30:
         return False
     whole = _element(data, 0, len(data))
     if whole is None or whole[2] != len(data):
@@ -98,7 +104,7 @@ def is_key_encoding(data: bytes | None) -> bool:
 
 def is_wire_key(data: bytes | None) -> bool:
     """Length-prefixed fields that fill the data, the first of which names a key type."""
-    if not data:
+    if not data or len(data) < MIN_KEY_BYTES:
         return False
     at, fields = 0, 0
     while at + 4 <= len(data):
@@ -136,7 +142,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of candidates whose structure holds."""
     found = []
-    if "eyJ" in text:
+    if "." in text:
         found += [(m.start(), RANK["jwt"], m.end()) for m in TOKEN.finditer(text) if is_signed_token(m.group())]
     if "-----BEGIN" in text:
         for m in PEM.finditer(text):
@@ -150,8 +156,12 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
         elif is_wire_key(data):
             found.append((m.start(), RANK["ssh"], m.end()))
     for m in ANY_HEX.finditer(text):
-        if len(m.group()) % 2 == 0 and is_key_encoding(bytes.fromhex(m.group())):
-            found.append((m.start(), RANK["hexkey"], m.end()))
+        start, end = m.span()
+        odd = (end - start) % 2
+        for a, b in ((start, end - odd), (start + 1, end - 1 + odd)):
+            if is_key_encoding(bytes.fromhex(text[a:b])):
+                found.append((a, RANK["hexkey"], b))
+                break
     return found
 
 
@@ -193,7 +203,8 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Spans are kind:start:end in code points, by start and kind, joined by
     commas; ``redacted`` is null where there is nothing to redact.  Null texts
-    are empty.  Repeated rows repeat; other columns are not read.
+    are empty and have no spans; texts of any length are scanned whole.
+    Repeated rows repeat, an empty table gives none; other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(_scan, SCANNED)

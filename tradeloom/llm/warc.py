@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -115,6 +116,11 @@ class _File:
         self.records += 1
 
 
+def _absolute(folder: str) -> str:
+    """A folder named without a scheme, from the driver's working folder, as pyarrow wants it."""
+    return folder if ":/" in folder else os.path.abspath(folder)
+
+
 def _write(folder: str, file_bytes: int):
     def write(batches) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(folder)
@@ -161,6 +167,7 @@ def write_archives(rows: DataFrame, folder: str, parts: int, file_bytes: int = F
     A record's chunks must be adjacent in their partition, as ``chunks`` makes
     them.  The folder is a URI that pyarrow opens (file, hdfs, s3, gs).
     """
+    folder = _absolute(folder)
     system, base = fs.FileSystem.from_uri(folder)
     system.create_dir(base, recursive=True)
     return written(rows.mapInArrow(_write(folder, file_bytes), "path string, records long, bytes long"), "list")
@@ -292,7 +299,7 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """
     spark = pages.sparkSession
     if folder is None:
-        folder = f"{shared_dir(spark, 'spark-warehouse/shared').rstrip('/')}/warc-{uuid.uuid4().hex}"
+        folder = _absolute(f"{shared_dir(spark, 'spark-warehouse/shared').rstrip('/')}/warc-{uuid.uuid4().hex}")
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     listed = write_archives(chunks(pages, id_col, url_col, html_col), folder, part_count(pages, TASK_BYTES))
