@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradeloom.llm import bpe, decontaminate, near_dup, quality, secret_scan
-from tradeloom.llm.common import sha256_utf8, table, written
+from tradeloom.llm.common import free_name, sha256_utf8, table, written
 from tradeloom.llm.queries import TOKENIZER, tokenizer_path
 
 
@@ -32,22 +32,24 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     if ids.where("doc_id IS NULL OR n > 1").isEmpty():
         gone = near_dup.near_duplicates(docs).where("id <> class_id").select(F.col("id").alias("doc_id"))
         return docs.join(written(gone, "gone"), "doc_id", "left_anti").select(docs.columns)
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    keyed = docs.withColumn("near_key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
-    first = F.min(F.struct("doc_id", "text", *rest)).alias("row")
-    once = written(keyed.groupBy("near_key").agg(first).select("near_key", "row.*"), "once")
-    classes = near_dup.near_duplicates(once, id_col="near_key").withColumnRenamed("id", "near_key")
-    least = F.min(F.struct("doc_id", "text", "near_key"))["near_key"].alias("near_key")
-    members = once.select("near_key", "doc_id", "text").join(classes, "near_key")
-    kept = members.groupBy("class_id", F.col("doc_id").isNull()).agg(least).select("near_key")
-    return once.join(written(kept, "kept"), "near_key", "left_semi").select(docs.columns)
+    key, row = free_name(docs, "near_key"), free_name(docs, "near_row")
+    first = F.min(F.struct(F.lit(0).alias(key), *[c for c in docs.columns if c not in ("doc_id", "text")])).alias(row)
+    # The key is written with its row, so it stays that row's.
+    once = docs.groupBy("doc_id", "text").agg(first).select("doc_id", "text", f"{row}.*")
+    once = written(once.withColumn(key, F.monotonically_increasing_id()), "once")
+    classes = near_dup.near_duplicates(once, id_col=key).select(F.col("id").alias(key), F.col("class_id").alias(row))
+    least = F.min(F.struct("doc_id", "text", key))[key].alias(key)
+    members = once.select(key, "doc_id", "text").join(classes, key)
+    kept = members.groupBy(row, F.col("doc_id").isNull()).agg(least).select(key)
+    return once.join(written(kept, "kept"), key, "left_semi").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0")
-    found = written(found.select(F.col("id").alias("hit_id"), F.col("digest").alias("hit_digest")), "contaminated")
-    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.md5(F.col("text").cast("binary")) == F.col("hit_digest"))
+    hit, digest = free_name(docs, "hit_id"), free_name(docs, "hit_digest")
+    found = written(found.select(F.col("id").alias(hit), F.col("digest").alias(digest)), "contaminated")
+    same = F.col("doc_id").eqNullSafe(F.col(hit)) & (F.md5(F.col("text").cast("binary")) == F.col(digest))
     return docs.join(found, same, "left_anti")
 
 
