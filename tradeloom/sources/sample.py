@@ -23,6 +23,7 @@ from tradeloom.contracts import (
     STORE_TYPES,
 )
 from tradeloom.operators.joins import lookup_join
+from tradeloom.session import cut_lineage
 
 TABLE_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -127,6 +128,7 @@ class SampleSources:
         self.spark = spark
         self.directory = directory
         self._tables: dict[str, DataFrame] = {}
+        self._volumes: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         """A sample table, as Spark reads it at every size."""
@@ -171,10 +173,17 @@ class SampleSources:
 
     def order_days(self) -> DataFrame:
         """Every calendar day from the first to the last order date."""
-        day = self.table("orders").select(F.to_date("o_orderdate").alias("d"))
-        first, last = day.agg(F.min("d")).scalar(), day.agg(F.max("d")).scalar()
+        day = self.order_volumes()
+        first, last = day.agg(F.min("day")).scalar(), day.agg(F.max("day")).scalar()
         return self.spark.range(1).select(F.explode(F.sequence(first, last)).alias("day"))
 
+    def order_volumes(self) -> DataFrame:
+        """Per order date its number of orders: one pass over the orders, written once, as many frames start from it."""
+        if self._volumes is None:
+            day = self.table("orders").where("o_orderdate IS NOT NULL").groupBy(F.to_date("o_orderdate").alias("day"))
+            self._volumes = cut_lineage(day.agg(F.count(F.lit(1)).alias("orders")), "order_volumes")
+        return self._volumes
+
     def _places(self) -> DataFrame:
         regions = self.table("region").withColumnRenamed("r_regionkey", "n_regionkey")
         return lookup_join(self.table("nation"), regions, "n_regionkey").select(
@@ -462,8 +471,8 @@ class SampleSources:
         )
 
     def _exchange_rates(self) -> DataFrame:
-        """A rate per weekday and currency; NZD is only quoted on Mondays."""
-        days = self.order_days()
+        """A rate per weekday with orders and currency, which follows the day's orders; NZD is only quoted on Mondays."""
+        days = self.order_volumes()
         quotes = F.array(
             *[
                 F.struct(
@@ -475,7 +484,7 @@ class SampleSources:
             ]
         )
         key, code = F.col("q.key"), F.col("q.code")
-        permille = ((F.dayofyear("day") + key) % 21 + 990).cast("decimal(4,0)")
+        permille = ((F.col("orders") + F.dayofyear("day") + key) % 21 + 990).cast("decimal(4,0)")
         rate = F.col("q.seed") * (permille * F.lit("0.001").cast("decimal(4,3)"))
         base = code == "INR"
         quoted = base | ((F.weekday("day") < 5) & ((code != "NZD") | (F.weekday("day") == 0)))
