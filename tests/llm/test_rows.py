@@ -7,6 +7,7 @@ import json
 import math
 import os
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -42,6 +43,34 @@ def test_bpe_equals_the_library(spark):
     assert bpe.encoded(docs(spark, []), TOKENIZER).count() == 0
 
 
+def same_as_library(texts_):
+    tokenizers = pytest.importorskip("tokenizers")
+    library = tokenizers.Tokenizer.from_file(TOKENIZER)
+    encoder = bpe.Encoder(bpe.Merges(TOKENIZER))
+    for start in range(0, len(texts_), 2000):
+        part = texts_[start : start + 2000]
+        for text, (ids, decoded), found in zip(part, encoder.encode(part), library.encode_batch(part, add_special_tokens=False), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == found.ids, ascii(text)
+            assert decoded == library.decode(found.ids, skip_special_tokens=False), ascii(text)
+
+
+def test_bpe_equals_the_library_on_every_code_point():
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    same_as_library(["".join(f"a{c}{c}b {c}\u0323 " for c in points[at : at + 64]) for at in range(0, len(points), 64)])
+    marks = [c for c in points if unicodedata.category(c) == "Mn"] + ["\U00011935\U00011930", "\U00011938"]
+    same_as_library(["".join(f"b\u0301{c} b\u0327{c}\u0323 b{c}\u0334{c} e{c}\u0301 " for c in marks[at : at + 32]) for at in range(0, len(marks), 32)])
+
+
+def test_bpe_equals_the_library_on_mixed_texts():
+    pick = np.random.default_rng(5)
+    planes = [(0x20, 0x7F), (0xA0, 0x250), (0x300, 0x370), (0x370, 0x600), (0x7C0, 0x1D00), (0x1D00, 0x2200), (0x2C00, 0xD7FF), (0xE000, 0x10000), (0x10000, 0x20000)]
+    rows = []
+    for _ in range(4000):
+        lows, highs = np.array(planes)[pick.integers(0, len(planes), 30)].T
+        rows.append("".join(map(chr, pick.integers(lows, highs))) + pick.choice(["", "'s", " 've ", "<|endoftext|>", "ΑΣ "]))
+    same_as_library(rows)
+
+
 def test_matrix_and_single_trees_merge_alike():
     merges = bpe.Merges(TOKENIZER)
     words = [bytes(np.random.default_rng(n).choice(list(b"theinganonrst"), n)) for n in range(1, 200)]

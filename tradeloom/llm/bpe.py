@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 from collections.abc import Iterator
 from itertools import islice
 
@@ -20,6 +19,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from tradeloom.llm.unicode_edges import NO_LETTERS, normalised
+
 #: White space of the tokenizer's patterns: Unicode's White_Space.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: What Python's split takes for white space, but the tokenizer does not.
@@ -235,14 +236,16 @@ class Encoder:
         return self.split_plain(text)
 
     def split_plain(self, text: str) -> list[str]:
-        if not text.isascii():
-            # Lower-casing is by character: a final sigma gets no form of its own.
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
+        text = text.lower() if text.isascii() else normalised(text)
         if SEPARATORS.search(text):
             return [c for c in self.spaces.split(text) if c]
         return text.split()
 
+    def pieces(self, chunk: str) -> list[str]:
+        if chunk.isascii() or not NO_LETTERS.search(chunk):
+            return self.words.findall(chunk)
+        return [chunk[m.start() : m.end()] for m in self.words.finditer(NO_LETTERS.sub("\ufffd", chunk))]
+
     def learn(self, chunks: set[str]) -> None:
         """Encode chunks that are not remembered yet."""
         new = chunks - self.ids.keys()
@@ -252,7 +255,7 @@ class Encoder:
             new = chunks
         whole = [c for c in new if c.isalpha()]
         mixed = [c for c in new if not c.isalpha() and c[0] != " "]
-        pieces = [self.words.findall(c) for c in mixed]
+        pieces = [self.pieces(c) for c in mixed]
         whole += {p for own in pieces for p in own} - self.ids.keys() - new.intersection(whole)
         flat, starts, ends = merge_words(self.merges, [w.encode() for w in whole])
         raw = flat.astype("<u4").tobytes()
