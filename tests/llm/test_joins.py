@@ -104,6 +104,25 @@ def test_no_block_gathers_rows_of_one_id(spark, monkeypatch, repeated):
     assert found.count() == 22 and found.where("n_removed > 0 OR longest_repeat > 0").count() == 0
 
 
+@pytest.mark.parametrize(("min_words", "first_bytes"), [(1, 6), (2, 6), (7, 2), (13, 1)])
+def test_first_level_only_finds_candidates(spark, monkeypatch, min_words, first_bytes):
+    monkeypatch.setattr("tradeloom.llm.common.part_count", lambda df, size: 5)
+    found = substring.remove_repeats(docs(spark), min_words=min_words, first_bytes=first_bytes).collect()
+    assert Counter((r["id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in found) == expected_kept(texts(), min_words)
+
+
+def test_windows_without_repeated_parts_do_not_travel(spark, monkeypatch):
+    monkeypatch.setattr("tradeloom.llm.common.part_count", lambda df, size: 3)
+    tables = {}
+    write = substring.written
+    monkeypatch.setattr(substring, "written", lambda df, name: tables.setdefault(name, write(df, name)))
+    shared = " ".join(f"s{i}" for i in range(20))
+    rows = [(1, f"a b c {shared}"), (2, f"{shared} d e f"), (3, " ".join(f"u{i}" for i in range(500))), (4, "a b c d e f " + " ".join(f"v{i}" for i in range(99)))]
+    substring.remove_repeats(docs(spark, rows)).collect()
+    left = {r["id"]: (len(r["prints"]) // 8, r["text"]) for r in tables["first_level"].collect()}
+    assert left == {1: (8, rows[0][1]), 2: (8, rows[1][1]), 3: (0, None), 4: (0, None)}
+
+
 def expected_longest(rows, width):
     words = [(i, tuple((t or "").encode().split())) for i, t in rows]
     out = {}

@@ -51,13 +51,15 @@ def bucket_starts(sorted_prints: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(index, np.arange(buckets + 1, dtype=np.uint64))
 
 
-def pack64(a: np.ndarray) -> bytes:
-    """Byte planes, highest first: sorted values then compress well in the shuffle."""
-    return np.ascontiguousarray(a.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+def pack64(a: np.ndarray, count: int = 8) -> bytes:
+    """Byte planes, highest first, the upper ``count``: sorted values then compress well in the shuffle."""
+    return np.ascontiguousarray(a.astype(">u8").view(np.uint8).reshape(-1, 8).T[:count]).tobytes()
 
 
-def unpack64(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(blob, np.uint8).reshape(8, -1)
+def unpack64(blob: bytes, count: int = 8) -> np.ndarray:
+    planes = np.frombuffer(blob, np.uint8).reshape(count, -1)
+    if count < 8:
+        planes = np.vstack([planes, np.zeros((8 - count, planes.shape[1]), np.uint8)])
     return np.ascontiguousarray(planes.T).view(">u8").ravel().astype(np.uint64)
 
 

@@ -1,16 +1,21 @@
 """Substring dedup: word windows repeated across documents, level by level.
 
-Level 0 takes all windows of ``min_words`` words.  Windows that repeat across
-documents, and they alone, are extended to twice the length at the next level,
-until no window repeats.  Level 0 decides what is removed; the levels above
-tell how long the repeats are.
+The first level takes all windows of half ``min_words`` words.  Windows that
+repeat across documents, and they alone, are extended to the next level: two
+that overlap or touch make one of ``min_words``, then two of those one of twice
+the length, until no window repeats.  So a window of ``min_words`` is looked at
+only where all that the first level knows of it repeats, and that level decides
+what is removed; the levels above tell how long the repeats are.
 
 Every level is one exchange of fingerprints (see ``prints``): blocks of
 documents in id order -> buckets of fingerprints -> blocks.  A bucket answers a
 block only with the positions, in the block's own sorted list, of fingerprints
 that other blocks have as well, and whether a block with smaller ids is among
-them.  A fingerprint of twice the length is made from those of its halves, so
-the levels above 0 do not read the texts again.
+them.  A longer window's fingerprint is made from those of its two parts, so
+only the first level reads all texts; after it, texts without a candidate are
+finished.  The first level only has to find candidates, so it sends the upper
+bytes of its fingerprints: two that agree there and not below cost a candidate
+that the next level, which compares whole ones, drops.
 """
 
 from __future__ import annotations
@@ -20,12 +25,15 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradeloom.llm.common import BLOCK_BYTES, in_blocks, written
 from tradeloom.llm.prints import MIX_A, MIX_B, bucket_starts, concat, mix, pack64, runs, unpack64, window_prints, word_prints
 
 MIN_WORDS = 13
+# Bytes of a fingerprint that the first level sends.
+FIRST_BYTES = 6
 
 
 class Block:
@@ -55,16 +63,21 @@ class Block:
         self.doc = doc[self.at]
 
 
-def _sent(block: int, prints: np.ndarray, buckets: int) -> pa.Table:
-    """A block's distinct prints, sorted, one row per bucket."""
-    prints = np.unique(prints)
+def upper(prints: np.ndarray, count: int) -> np.ndarray:
+    """The upper ``count`` bytes of each print, the others 0."""
+    return prints & ~np.uint64((1 << 8 * (8 - count)) - 1)
+
+
+def _sent(block: int, prints: np.ndarray, buckets: int, count: int = 8) -> pa.Table:
+    """A block's distinct prints, sorted, one row per bucket; only the upper ``count`` bytes travel."""
+    prints = np.unique(upper(prints, count))
     starts = bucket_starts(prints, buckets)
     used = np.flatnonzero(np.diff(starts))
     return pa.table(
         {
             "bucket": pa.array(used, pa.int32()),
             "block": pa.array([block] * len(used), pa.int32()),
-            "prints": pa.array([pack64(prints[starts[b] : starts[b + 1]]) for b in used], pa.binary()),
+            "prints": pa.array([pack64(prints[starts[b] : starts[b + 1]], count) for b in used], pa.binary()),
         }
     )
 
@@ -72,20 +85,20 @@ def _sent(block: int, prints: np.ndarray, buckets: int) -> pa.Table:
 SENT = "bucket int, block int, prints binary"
 
 
-def _send(buckets: int, width: int):
+def _send(buckets: int, width: int, count: int):
     def send(rows: pa.Table) -> pa.Table:
-        return _sent(rows.column("block")[0].as_py(), Block(rows, width).prints, buckets)
+        return _sent(rows.column("block")[0].as_py(), Block(rows, width).prints, buckets, count)
 
     return send
 
 
-def _copies(rows: pa.Table) -> pa.Table:
+def _copies(rows: pa.Table, count: int = 8) -> pa.Table:
     """Of one bucket: for each block, which of its prints a smaller block has, too, and which only larger ones have."""
     block = np.asarray(rows.column("block"))
     bucket = rows.column("bucket")[0].as_py()
     blobs = rows.column("prints")
     order = np.argsort(block, kind="stable")
-    lists = [unpack64(blobs[int(i)].as_py()) for i in order]
+    lists = [unpack64(blobs[int(i)].as_py(), count) for i in order]
     sizes = [len(x) for x in lists]
     all_prints = concat(lists, np.uint64)
     owner = np.repeat(np.arange(len(lists)), sizes)
@@ -113,6 +126,10 @@ def _copies(rows: pa.Table) -> pa.Table:
     )
 
 
+def _copies_of(count: int):
+    return lambda rows: _copies(rows, count)
+
+
 COPIES = "block int, bucket int, later binary, earliest binary"
 
 
@@ -139,12 +156,12 @@ def _judged(prints: np.ndarray, rank: np.ndarray, answers: pa.Table, buckets: in
     return is_later, is_repeated
 
 
-def _extended(place: np.ndarray, prints: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of twice the width whose halves are both given; a place is document << 32 | first word, ascending."""
+def _extended(place: np.ndarray, prints: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows made of a given one and the given one ``step`` words on; a place is document << 32 | first word, ascending."""
     if not len(place):
         return place, prints
-    half = np.minimum(np.searchsorted(place, place + width), len(place) - 1)
-    whole = place[half] == place + width
+    half = np.minimum(np.searchsorted(place, place + step), len(place) - 1)
+    whole = place[half] == place + step
     return place[whole], mix(prints[whole] * MIX_A + prints[half[whole]] * MIX_B)
 
 
@@ -156,55 +173,94 @@ def _packed(place: np.ndarray, prints: np.ndarray, docs: int) -> tuple[list[byte
     return spots, [prints[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def _apply(buckets: int, width: int):
-    def apply(rows: pa.Table, answers: pa.Table) -> pa.Table:
+def _candidates(buckets: int, width: int, min_words: int, count: int):
+    def candidates(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
-            return EMPTY
+            return FIRST.empty_table()
         block = Block(rows, width)
-        later, repeated = _judged(block.prints, block.rank[block.doc], answers, buckets)
-        change = np.zeros(int(block.ends[-1]) + 1, np.int64)
-        np.add.at(change, block.at[later], 1)
-        np.add.at(change, block.at[later] + width, -1)
-        covered = np.cumsum(change)[:-1] > 0
-        texts, removed, spans = [], [], []
-        for words, size, end in zip(block.words, block.sizes, block.ends, strict=True):
-            gone = covered[end - size : end]
-            n = int(gone.sum())
-            removed.append(n)
-            if n:
-                edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
-                spans.append(edges.astype(np.int64).tolist())
-                texts.append(b" ".join([words[i] for i in np.flatnonzero(~gone)]))
-            else:
-                spans.append([])
-                texts.append(b" ".join(words))
+        _, repeated = _judged(upper(block.prints, count), block.rank[block.doc], answers, buckets)
         n = len(block.words)
         place = (block.doc.astype(np.int64) << 32) + block.at - (block.ends - block.sizes)[block.doc]
-        spots, prints = _packed(*_extended(place[repeated], block.prints[repeated], width), n)
+        spots, prints = _packed(*_extended(place[repeated], block.prints[repeated], min_words - width), n)
+        left = [len(x) > 0 for x in prints]
+        text = block.rows.column("text").combine_chunks()
+        kept = [None if more else b" ".join(words) for more, words in zip(left, block.words, strict=True)]
         return pa.table(
             {
                 "id": block.rows.column("id").combine_chunks().cast(pa.int64()),
                 "n_words": pa.array(block.sizes, pa.int64()),
-                "n_removed": pa.array(removed, pa.int64()),
-                "kept_text": pa.array(texts, pa.binary()).cast(pa.string()),
-                "removed_spans": pa.array(spans, pa.list_(pa.int64())),
+                "text": pc.if_else(pa.array(left), text, pa.scalar(None, text.type)),
+                "kept_text": pa.array(kept, pa.binary()).cast(pa.string()),
                 "block": pa.array([block.rows.column("block")[0].as_py()] * n, pa.int32()),
                 "row": pa.array(np.arange(n), pa.int32()),
                 "rank": pa.array(block.rank, pa.int32()),
-                "repeated": pa.array(np.bincount(block.doc[repeated], minlength=n) > 0),
                 "spots": pa.array(spots, pa.binary()),
                 "prints": pa.array(prints, pa.binary()),
-            }
+            },
+            FIRST,
         )
 
-    return apply
+    return candidates
+
+
+FIRST = pa.schema(
+    [
+        ("id", pa.int64()),
+        ("n_words", pa.int64()),
+        ("text", pa.string()),
+        ("kept_text", pa.string()),
+        ("block", pa.int32()),
+        ("row", pa.int32()),
+        ("rank", pa.int32()),
+        ("spots", pa.binary()),
+        ("prints", pa.binary()),
+    ]
+)
+FIRST_ROWS = "id long, n_words long, text string, kept_text string, block int, row int, rank int, spots binary, prints binary"
+
+
+def _removed(words: list[bytes], first: np.ndarray, width: int) -> tuple[int, bytes, list[int]]:
+    """Words covered by windows that begin at ``first``: how many, the text of the others, and starts and ends of the runs."""
+    change = np.zeros(len(words) + 1, np.int64)
+    np.add.at(change, first, 1)
+    np.add.at(change, first + width, -1)
+    gone = np.cumsum(change)[:-1] > 0
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
+    return int(gone.sum()), b" ".join([words[i] for i in np.flatnonzero(~gone)]), edges.tolist()
+
+
+def _decide(buckets: int, width: int):
+    def decide(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return DECIDED.empty_table()
+        own = Candidates(rows)
+        n = len(own.rows)
+        later, repeated = _judged(own.prints, np.asarray(own.rows.column("rank"))[own.doc], answers, buckets)
+        cuts = np.searchsorted(own.doc[later], np.arange(n + 1))
+        first = (own.place & 0xFFFFFFFF)[later]
+        texts = own.rows.column("text").cast(pa.binary())
+        found = [_removed(texts[i].as_py().split(), first[cuts[i] : cuts[i + 1]], width) for i in range(n)]
+        removed, kept, spans = zip(*found, strict=True)
+        spots, prints = _packed(*_extended(own.place[repeated], own.prints[repeated], width), n)
+        columns = {c: own.rows.column(c) for c in ("id", "n_words", "block", "row", "rank")}
+        columns |= {
+            "n_removed": pa.array(removed, pa.int64()),
+            "kept_text": pa.array(kept, pa.binary()).cast(pa.string()),
+            "removed_spans": pa.array(spans, pa.list_(pa.int64())),
+            "repeated": pa.array(np.bincount(own.doc[repeated], minlength=n) > 0),
+            "spots": pa.array(spots, pa.binary()),
+            "prints": pa.array(prints, pa.binary()),
+        }
+        return pa.table([columns[c] for c in DECIDED.names], DECIDED)
+
+    return decide
 
 
 STATE_ARROW = pa.schema(
     [("block", pa.int32()), ("row", pa.int32()), ("rank", pa.int32()), ("repeated", pa.bool_()), ("spots", pa.binary()), ("prints", pa.binary())]
 )
 STATE = "block int, row int, rank int, repeated boolean, spots binary, prints binary"
-EMPTY = pa.schema(
+DECIDED = pa.schema(
     [
         ("id", pa.int64()),
         ("n_words", pa.int64()),
@@ -213,12 +269,12 @@ EMPTY = pa.schema(
         ("removed_spans", pa.list_(pa.int64())),
         *STATE_ARROW,
     ]
-).empty_table()
+)
 RESULT = f"id long, n_words long, n_removed long, kept_text string, removed_spans array<long>, {STATE}"
 
 
 class Candidates:
-    """The windows of one block that both their halves make possible repeats."""
+    """The windows of one block that both their parts make possible repeats."""
 
     def __init__(self, rows: pa.Table):
         self.rows = rows.take(pa.array(np.argsort(np.asarray(rows.column("row")), kind="stable")))
@@ -250,15 +306,15 @@ def _next_level(buckets: int, width: int):
     return level
 
 
-def longest_repeats(level_zero: DataFrame, buckets: int, width: int) -> DataFrame:
+def longest_repeats(decided: DataFrame, buckets: int, width: int) -> DataFrame:
     """Per document (block, row) with a repeat: the longest doubling of ``width`` at which a window of it is repeated.
 
     Each level reads the candidates that the one before left, asks the buckets
     which of them repeat, and writes those that can be doubled once more.  Its
     exchange is only of use to itself, so the driver then has its files collected.
     """
-    spark = level_zero.sparkSession
-    reached, state = [], level_zero
+    spark = decided.sparkSession
+    reached, state = [], decided
     while True:
         reached.append(state.where("repeated").select("block", "row", F.lit(width).cast("long").alias("longest")))
         left = state.where("octet_length(prints) > 0").select("block", "row", "rank", "spots", "prints")
@@ -266,7 +322,7 @@ def longest_repeats(level_zero: DataFrame, buckets: int, width: int) -> DataFram
             break
         width *= 2
         sent = left.groupBy("block").applyInArrow(_send_candidates(buckets), SENT)
-        answers = sent.groupBy("bucket").applyInArrow(_copies, COPIES)
+        answers = sent.groupBy("bucket").applyInArrow(_copies_of(8), COPIES)
         state = left.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_next_level(buckets, width), STATE)
         state = written(state, f"repeats{width}")
         del left, sent, answers
@@ -281,6 +337,7 @@ def remove_repeats(
     min_words: int = MIN_WORDS,
     block_bytes: int = BLOCK_BYTES,
     kept: Callable[[Column], Column] | None = None,
+    first_bytes: int = FIRST_BYTES,
 ) -> DataFrame:
     """Texts without the words of windows that start in a document with a smaller id.
 
@@ -289,21 +346,34 @@ def remove_repeats(
     removed_spans (word starts and ends, alternating), and longest_repeat: the
     longest of min_words, 2 * min_words, 4 * min_words, ... of which the
     document has a window that another one has, too, or 0.  ``kept`` is applied
-    to kept_text before it is stored, for instance a digest.  Null texts have no
+    to kept_text before it is stored, for instance a digest.  ``first_bytes``
+    tells how much of a fingerprint the first level sends, not what is found.  Null texts have no
     words.  Rows of equal id are one document and do not remove from each
     other; rows without id neither lose nor claim a window.  Other columns of
     ``docs`` are not read, so their names cannot clash.
     """
     rows, n = in_blocks(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id", block_bytes)
-    sent = rows.groupBy("block").applyInArrow(_send(n, min_words), SENT)
-    answers = sent.groupBy("bucket").applyInArrow(_copies, COPIES)
-    level_zero = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_apply(n, min_words), RESULT)
-    if kept is not None:
-        level_zero = level_zero.withColumn("kept_text", kept(F.col("kept_text")))
-    level_zero = written(level_zero, "level_zero")
+    half = -(-min_words // 2)
+    sent = rows.groupBy("block").applyInArrow(_send(n, half, first_bytes), SENT)
+    answers = sent.groupBy("bucket").applyInArrow(_copies_of(first_bytes), COPIES)
+    first = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_candidates(n, half, min_words, first_bytes), FIRST_ROWS)
+    store = kept if kept is not None else lambda text: text
+    has_candidates = F.octet_length("prints") > 0
+    first = first.withColumn("kept_text", F.when(~has_candidates, store(F.col("kept_text"))))
+    first = written(first, "first_level")
     del rows, sent, answers
-    longest = longest_repeats(level_zero, n, min_words)
-    out = level_zero.select("block", "row", "id", "n_words", "n_removed", "kept_text", "removed_spans")
-    return out.join(longest, ["block", "row"], "left").select(
-        "id", "n_words", "n_removed", "kept_text", "removed_spans", F.coalesce("longest", F.lit(0)).alias("longest_repeat")
+    docs.sparkSession._jvm.System.gc()  # the shuffled texts are of no more use
+    left = first.where(has_candidates).select("id", "n_words", "text", "block", "row", "rank", "spots", "prints")
+    sent = left.groupBy("block").applyInArrow(_send_candidates(n), SENT)
+    answers = sent.groupBy("bucket").applyInArrow(_copies_of(8), COPIES)
+    decided = left.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_decide(n, min_words), RESULT)
+    decided = written(decided.withColumn("kept_text", store(F.col("kept_text"))), "decided")
+    del left, sent, answers
+    longest = longest_repeats(decided, n, min_words)
+    names = ["id", "n_words", "n_removed", "kept_text", "removed_spans"]
+    none = F.lit(0).cast("long")
+    finished = first.where(~has_candidates).select(
+        "id", "n_words", none.alias("n_removed"), "kept_text", F.array().cast("array<long>").alias("removed_spans"), none.alias("longest_repeat")
     )
+    found = decided.select("block", "row", *names).join(longest, ["block", "row"], "left")
+    return finished.unionByName(found.select(*names, F.coalesce("longest", none).alias("longest_repeat")))
