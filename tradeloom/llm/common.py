@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import math
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -56,6 +58,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of frames that nothing refers to any more.
+
+    Its context cleaner does so once the driver's collector has found their
+    plans; events still on their way to listeners hold a plan a moment longer,
+    so it is asked twice.
+    """
+    gc.collect()
+    for pause in (1.0, 0.5):
+        time.sleep(pause)
+        spark._jvm.System.gc()
+
+
 def crc_bucket(key: Column, buckets: int) -> Column:
     """crc32 of the key written as text, modulo ``buckets``; null counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % buckets

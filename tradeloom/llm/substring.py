@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tradeloom.llm.common import BLOCK_BYTES, in_blocks, written
+from tradeloom.llm.common import BLOCK_BYTES, drop_shuffles, in_blocks, written
 from tradeloom.llm.prints import MIX_A, MIX_B, bucket_starts, concat, mix, pack64, runs, unpack64, window_prints, word_prints
 
 MIN_WORDS = 13
@@ -362,7 +362,7 @@ def remove_repeats(
     first = first.withColumn("kept_text", F.when(~has_candidates, store(F.col("kept_text"))))
     first = written(first, "first_level")
     del rows, sent, answers
-    docs.sparkSession._jvm.System.gc()  # the shuffled texts are of no more use
+    drop_shuffles(docs.sparkSession)  # the shuffled texts are of no more use
     left = first.where(has_candidates).select("id", "n_words", "text", "block", "row", "rank", "spots", "prints")
     sent = left.groupBy("block").applyInArrow(_send_candidates(n), SENT)
     answers = sent.groupBy("bucket").applyInArrow(_copies_of(8), COPIES)
