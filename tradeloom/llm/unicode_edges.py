@@ -57,10 +57,18 @@ ODD = re.compile(f"[{char_class([*PLAIN_MARKS.split(), *CAPITALS])}]")
 NO_LETTERS = re.compile(f"[{char_class(NEITHER.split())}]")
 
 
+def latin(text: str) -> bool:
+    """Whether all characters are below U+0100; much faster than a search."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def normalised(text: str) -> str:
     """NFC and lower case as the library has them; lower-casing is by character, so a final sigma gets no form of its own."""
-    odd = ODD.search(text)
-    if odd:
+    if not latin(text) and ODD.search(text):
         # A mark that is not reordered ends what can be composed, as a letter does.
         text = "".join(unicodedata.normalize("NFC", part) for part in MARKS.split(text)).translate(SMALL)
     else:
