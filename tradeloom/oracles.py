@@ -160,6 +160,14 @@ CROSS JOIN seed_currency
 WHERE currency_code = 'INR'
    OR (isodow(d) < 6 AND (currency_code <> 'NZD' OR isodow(d) = 1))"""
 
+CTES["stg_daily_rates"] = CTES["stg_rates"].replace(
+    "FROM (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1)",
+    """FROM (SELECT s.d, count(o_orderdate) AS n
+      FROM (SELECT CAST(unnest(generate_series((SELECT min(CAST(o_orderdate AS DATE)) FROM orders),
+                   (SELECT max(CAST(o_orderdate AS DATE)) FROM orders), INTERVAL 1 DAY)) AS DATE) AS d) s
+      LEFT JOIN orders ON CAST(o_orderdate AS DATE) = s.d GROUP BY 1)""",
+)
+
 # --------------------------------------------------------------------------
 # Dirty sources as text.
 # --------------------------------------------------------------------------
@@ -649,7 +657,7 @@ CTES["seed_days"] = (
 CTES["data_days"] = """
 SELECT signup_date AS d FROM stg_customers UNION SELECT opening_date FROM stg_stores
 UNION SELECT order_date FROM stg_orders UNION SELECT payment_date FROM stg_payments
-UNION SELECT rate_date FROM stg_rates"""
+UNION SELECT rate_date FROM stg_daily_rates"""
 
 
 def _divide(n: str, d: str) -> str:

@@ -503,12 +503,12 @@ def dim_date_seed(s: Sample) -> DataFrame:
 
 @query
 def dim_date_from_data(s: Sample) -> DataFrame:
-    return dims.dates_in_data(s.clean)
+    return dims.dates_in_data(s.tables.dated_tables())
 
 
 @query
 def dim_date(s: Sample) -> DataFrame:
-    return dims.dim_date(s.spark, s.clean)
+    return dims.dim_date(s.spark, s.tables.dated_tables())
 
 
 def _dimension(table: str) -> Callable[[Sample], DataFrame]:

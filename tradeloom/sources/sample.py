@@ -163,6 +163,11 @@ class SampleSources:
     def staged_tables(self) -> LazyFrames:
         return LazyFrames(SOURCE_TABLES, self.staged)
 
+    def dated_tables(self) -> LazyFrames:
+        """The staged tables with rates quoted on every calendar day, for what lists the days of the data."""
+        rates = lambda: self._exchange_rates(every_day=True).select("_raw_id", *SOURCE_SCHEMAS["exchange_rates"])
+        return LazyFrames(SOURCE_TABLES, lambda name: rates() if name == "exchange_rates" else self.staged(name))
+
     def sources(self, dirty: bool = False) -> LazyFrames:
         return LazyFrames(SOURCE_TABLES, lambda name: self.source(name, dirty))
 
@@ -470,9 +475,14 @@ class SampleSources:
             }
         )
 
-    def _exchange_rates(self) -> DataFrame:
-        """A rate per weekday with orders and currency, which follows the day's orders; NZD is only quoted on Mondays."""
+    def _exchange_rates(self, every_day: bool = False) -> DataFrame:
+        """A rate per weekday with orders and currency, which follows the day's orders; NZD is only quoted on Mondays.
+
+        ``every_day``: the days without orders between the first and the last one have theirs, too.
+        """
         days = self.order_volumes()
+        if every_day:
+            days = self.order_days().join(days, "day", "left").fillna(0, "orders")
         quotes = F.array(
             *[
                 F.struct(
