@@ -85,7 +85,8 @@ def sales_lines(
     """Order lines with keys and amounts, before the load projection.
 
     ``with_payment=False`` leaves out the payment join, which never adds or
-    drops lines, for callers that do not read the payment method.
+    drops lines, for callers that do not read the payment method.  Lines that carry
+    their product's id are grouped by it, so they meet their product last.
     """
     carry = carry or {}
     headers = order_headers(valid, dims, fallback, with_payment, carry)
@@ -94,7 +95,12 @@ def sales_lines(
     items = valid["order_items"].select(
         "order_item_id", "order_id", "product_id", "quantity", "unit_price", "discount_percent"
     )
-    lines = lookup_join(lookup_join(items, products, "product_id"), headers, "order_id")
+    sides = [(products, "product_id"), (headers, "order_id")]
+    if "product_id" in carry.get("dim_product", ()):
+        sides.reverse()
+    lines = items
+    for side, key in sides:
+        lines = lookup_join(lines, side, key)
     return (
         with_inr_amounts(with_line_amounts(lines))
         .withColumnRenamed("order_id", "source_order_id")

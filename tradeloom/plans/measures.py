@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tradeloom.functions.dates import seconds_between
 from tradeloom.functions.money import safe_divide
 from tradeloom.plans.marts import TOTAL
+from tradeloom.session import cut_lineage
 
 Measures = dict[str, Column]
 
@@ -120,9 +121,10 @@ def share_of_all(
 ) -> DataFrame:
     """Group totals and their share of the whole mart, whatever ``where`` keeps.
 
-    The total is a scalar subquery over the same mart, whose shuffle Spark
-    reuses, so neither a cross join nor a one-task window is needed.
+    The mart is written and the total is a scalar subquery over it, so neither a
+    second evaluation, a cross join nor a one-task window is needed.
     """
+    mart = cut_lineage(mart, "mart")
     whole = mart.agg(money_total(value)).scalar()
     groups = summarise(mart, {value: money_total(value)}, by, where)
     return groups.withColumn(name, safe_divide(F.col(value), whole))
