@@ -2,6 +2,12 @@
 
 from datetime import date, datetime
 
+from pyspark.sql import functions as F
+
+from tradeloom.functions.parse import parse_date
+from tradeloom.functions.text import collapse_blanks, norm_text
+from tradeloom.operators import validate
+from tradeloom.operators.rules import SPECS
 from tradeloom.queries import QUERIES, Sample
 from tradeloom.sources.sample import TABLE_SCHEMAS
 
@@ -9,7 +15,7 @@ ROWS = {
     "region": [(0, "R")],
     "nation": [(0, "N", 0)],
     "customer": [(1, "Customer#1", 0, 1.0, "BUILDING")],
-    "supplier": [(1, "Supplier#1", 0, 1.0)],
+    "supplier": [(0, "Supplier#0", 0, 1.0)],
     "part": [(1, "p", "b", "ECONOMY", 1, 10.0)],
     "orders": [(k, 1, "F", 10.0, datetime(1995, 1, day), "5-LOW") for k, day in ((1, 2), (2, 9))],
     "lineitem": [(1, 1, 1, 1, 1.0, 10.0, 0.0, 0.0, "N", "O", datetime(1995, 1, 3))],
@@ -31,3 +37,40 @@ def test_days_without_orders_have_their_rates_and_dates(spark, tmp_path):
         assert days >= set(between)
     rates = Sample(spark, directory).tables.dated_tables()["exchange_rates"]
     assert sorted(r["rate_date"] for r in rates.where("currency_code = 'INR'").collect()) == between
+
+
+def joins(df):
+    """The joins of a frame's plan, the last one first, with the columns that their left sides bring."""
+    found, left = [], [df._jdf.queryExecution().optimizedPlan()]
+    while left:
+        node = left.pop(0)
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Join":
+            output = children[0].output()
+            found.append((node.simpleString(1000), {output.apply(i).name() for i in range(output.size())}))
+        left += children[:1]
+    return found
+
+
+def test_records_meet_others_as_one_integer(spark, tmp_path):
+    sample = Sample(spark, sample_tables(spark, tmp_path))
+    met = joins(validate.rule_counts(SPECS["order_items"], sample.tagged("order_items")))
+    assert len(met) == 3
+    for _, columns in met:
+        assert validate.HITS in columns and not columns & {"quantity", "unit_price", "discount_percent"}
+
+
+def test_lines_grouped_by_product_meet_it_last(spark, tmp_path):
+    sample = Sample(spark, sample_tables(spark, tmp_path))
+    assert "product_id" in joins(sample.mart("product_performance"))[0][0]
+    assert "order_id" in joins(sample.mart("category_performance"))[0][0]
+    shares = QUERIES["product_share"](spark, str(tmp_path)).collect()
+    assert [(r["product_id"], r["revenue_share"]) for r in shares] == [("PRD-1", 1.0)]
+
+
+def test_blanks_of_any_kind_are_collapsed_as_before(spark):
+    values = ["a", "a b", " x", "café", "a  b", "\x7f", "", None, "2020-01-15\n", "2020-01-5T", "2020-02-30"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    rows = df.select(norm_text(F.col("v")), collapse_blanks(F.coalesce("v", F.lit(""))), parse_date(F.col("v"))).collect()
+    assert all(r[0] == r[1] for r in rows)
+    assert [r[2] for r in rows[-3:]] == [date(2020, 1, 15), None, None]

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Accepted spellings.
+PLAIN_DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INFINITY_PATTERN = r"(?i)^[+-]?inf(inity)?$"
 ISO_DATE_PATTERN = (
@@ -63,6 +64,7 @@ def parse_date(c: Column) -> Column:
     its first day.  Relative words (``now``, ``today``) and clock-only values
     are not dates here.
     """
+    plain = F.when(c.rlike(PLAIN_DATE_PATTERN), c.try_cast("date"))
     t = F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
     iso = F.when(t.rlike(ISO_DATE_PATTERN), t.try_cast("date"))
     compact = F.when(t.rlike(r"^[0-9]{8}([0-9]{6})?$"), F.try_to_date(F.substring(t, 1, 8), "yyyyMMdd"))
@@ -84,4 +86,4 @@ def parse_date(c: Column) -> Column:
         day.rlike(NAMED_DATE_PATTERN),
         F.coalesce(*[F.try_to_date(named, f) for f in NAMED_DATE_FORMATS]),
     )
-    return F.coalesce(iso, compact, numeric, by_name)
+    return F.coalesce(plain, iso, compact, numeric, by_name)

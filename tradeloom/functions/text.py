@@ -4,14 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+#: What a text must hold before there can be anything to collapse or strip in it.
+UNTIDY_PATTERN = r"[^!-~]"
+
 
 def norm_text(c: Column) -> Column:
     """Collapse whitespace runs to one blank and strip both ends.
 
     The regex runs first because Spark's ``trim`` only removes U+0020; tabs,
     newlines and non-breaking blanks become plain blanks and are trimmed after.
+    Text of printable ASCII without blanks, as ids and codes are, needs neither.
     """
-    return F.trim(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"(?U)\s+", " "))
+    t = F.coalesce(c.cast("string"), F.lit(""))
+    return F.when(t.rlike(UNTIDY_PATTERN), collapse_blanks(t)).otherwise(t)
+
+
+def collapse_blanks(t: Column) -> Column:
+    """Every run of whitespace of any kind as one blank, none at the ends."""
+    return F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
 
 
 def norm_code(c: Column) -> Column:

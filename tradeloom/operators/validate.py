@@ -21,6 +21,8 @@ from tradeloom.operators.rules import DUPLICATE, SPECS, TableSpec, known
 
 HITS = "_hits"
 MALFORMED_RULE = "malformed_record"
+#: How the rules are named that compare a record with others.
+MET_RULES = ("duplicate_", "orphan_")
 #: Decimal places that numbers keep until amounts are rounded: with them a price times a quantity, and a discount on an
 #: amount, fit 38 digits exactly.
 WORKING_PLACES = 16
@@ -91,25 +93,33 @@ def tag(spec: TableSpec, raw: DataFrame, parents: dict[str, DataFrame] | None =
 
     ``parents`` maps a parent table to a frame of its valid rows.
     """
-    df = mark_duplicates(normalise(spec, raw), spec)
-    for column, parent in spec.parents.items():
-        df = mark_known(df, column, parents[parent])
-    bits = [
-        F.when(rule.hit, F.lit(1 << i)).otherwise(F.lit(0)) for i, rule in enumerate(spec.rules())
-    ]
+    rules = spec.rules()
+    bits = [F.when(rule.hit, F.lit(1 << i)).otherwise(F.lit(0)) for i, rule in enumerate(rules)]
     working = _working_types(spec)
     # A number beyond the working type, or beyond the type its table is loaded with, cannot
     # be stored, so its record is bad: it counts against the rule that says it is invalid.
-    names = [r.name for r in spec.rules()]
+    names = [r.name for r in rules]
     for n in (*spec.numbers, *spec.integers):
         rule = _range_rule(n, names)
         loaded = F.col(n).try_cast(SOURCE_SCHEMAS[spec.name][n])
         too_big = F.col(n).isNotNull() & (working[n].isNull() | loaded.isNull())
         bits[rule] = F.when(too_big, F.lit(1 << rule)).otherwise(bits[rule])
-    hits = reduce(lambda a, b: a.bitwiseOR(b), bits)
-    return df.withColumn(HITS, hits).select(
-        "_raw_id", *[working.get(n, F.col(n)).alias(n) for n in spec.columns], HITS
+    # What a record decides by itself is judged before the joins, so that these move
+    # one integer instead of all that the rules read.
+    met = [i for i, n in enumerate(names) if n.startswith(MET_RULES)]
+    own = [bit for i, bit in enumerate(bits) if i not in met]
+    df = normalise(spec, raw).select(
+        "_raw_id", *[working.get(n, F.col(n)).alias(n) for n in spec.columns], _any_bit(own).alias(HITS)
     )
+    df = mark_duplicates(df, spec)
+    for column, parent in spec.parents.items():
+        df = mark_known(df, column, parents[parent])
+    hits = _any_bit([F.col(HITS), *[bits[i] for i in met]])
+    return df.withColumn(HITS, hits).select("_raw_id", *spec.columns, HITS)
+
+
+def _any_bit(bits: list[Column]) -> Column:
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
 def _range_rule(column: str, rule_names: list[str]) -> int:
