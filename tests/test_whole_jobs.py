@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.parse import parse_date
 from tradeloom.functions.text import collapse_blanks, norm_text
-from tradeloom.operators import validate
+from tradeloom.operators import keys, validate
 from tradeloom.operators.rules import SPECS
 from tradeloom.queries import QUERIES, Sample
+from tradeloom.session import cut_lineage
 from tradeloom.sources.sample import TABLE_SCHEMAS
 
 ROWS = {
@@ -74,3 +75,13 @@ def test_blanks_of_any_kind_are_collapsed_as_before(spark):
     rows = df.select(norm_text(F.col("v")), collapse_blanks(F.coalesce("v", F.lit(""))), parse_date(F.col("v"))).collect()
     assert all(r[0] == r[1] for r in rows)
     assert [r[2] for r in rows[-3:]] == [date(2020, 1, 15), None, None]
+
+
+def test_stored_rows_are_numbered_without_another_copy(spark, monkeypatch):
+    df = spark.range(1000).selectExpr("CAST(id AS STRING) AS k", "id AS v")
+    written = []
+    monkeypatch.setattr(keys, "cut_lineage", lambda df, name="rows": written.append(name) or cut_lineage(df, name))
+    numbered = [keys.dense_keys(df, "k", "sk", start=5, parts=7, stored=stored) for stored in (False, True)]
+    assert written == ["numbered"]
+    first, second = ({r["k"]: r["sk"] for r in n.collect()} for n in numbered)
+    assert first == second and sorted(first.values()) == list(range(6, 1006))

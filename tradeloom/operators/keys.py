@@ -17,7 +17,12 @@ def digest_part(digest: Column, parts: int) -> Column:
 
 
 def dense_keys(
-    df: DataFrame, business_key: str, surrogate: str, start: Column | int | None = None, parts: int | None = None
+    df: DataFrame,
+    business_key: str,
+    surrogate: str,
+    start: Column | int | None = None,
+    parts: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Number rows ``start+1 .. start+n`` by the key's MD5, equal digests by the key.
 
@@ -26,15 +31,21 @@ def dense_keys(
     evaluated once.  The numbered rows are written, and the sizes of the parts,
     read from there, become their offsets.  ``parts`` is the session's number of
     shuffle partitions unless given; it does not change the result, which depends
-    on the data only, so a recomputed task hands out the same keys.
+    on the data only, so a recomputed task hands out the same keys.  Rows that are
+    ``stored`` already, or cost no more than a read, are not written again: the
+    sizes are counted from their keys.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     digest = F.md5(F.col(business_key).cast("string"))
     placed = df.withColumns({"_digest": digest, "_part": digest_part(digest, parts)})
     position = F.row_number().over(W.partitionBy("_part").orderBy("_digest", business_key))
-    numbered = cut_lineage(placed.withColumn("_position", position).drop("_digest"), "numbered")
+    numbered = placed.withColumn("_position", position).drop("_digest")
     # A row per part; their number is a setting, not the data's.
-    sizes = numbered.groupBy("_part").agg(F.max("_position").alias("_size"))
+    if stored:
+        sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
+    else:
+        numbered = cut_lineage(numbered, "numbered")
+        sizes = numbered.groupBy("_part").agg(F.max("_position").alias("_size"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     first = start if isinstance(start, Column) else F.lit(start or 0).cast("bigint")

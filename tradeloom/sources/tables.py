@@ -214,7 +214,7 @@ class MonthlyTable:
         changed = located.where(~new).select(columns)
         if found.new:
             fresh = located.where(new).drop(self.surrogate, "_was")
-            changed = changed.unionByName(dense_keys(fresh, self.key, self.surrogate, start=state["highest"]).select(columns))
+            changed = changed.unionByName(dense_keys(fresh, self.key, self.surrogate, start=state["highest"], stored=True).select(columns))
         kept = self.read(touched)
         if kept is not None:
             stay = kept.join(located.select(self.key), self.key, "left_anti")
