@@ -124,7 +124,7 @@ def share_of_all(
     The mart is written and the total is a scalar subquery over it, so neither a
     second evaluation, a cross join nor a one-task window is needed.
     """
-    mart = cut_lineage(mart, "mart")
+    mart = cut_lineage(mart.select(*by, value) if where is None else mart, "mart")
     whole = mart.agg(money_total(value)).scalar()
     groups = summarise(mart, {value: money_total(value)}, by, where)
     return groups.withColumn(name, safe_divide(F.col(value), whole))
