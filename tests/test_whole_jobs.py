@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.parse import parse_date
 from tradeloom.functions.text import collapse_blanks, norm_text
-from tradeloom.operators import keys, validate
+from tradeloom.operators import joins as lookups, keys, validate
 from tradeloom.operators.rules import SPECS
 from tradeloom.queries import QUERIES, Sample
 from tradeloom.session import cut_lineage
 from tradeloom.sources.sample import TABLE_SCHEMAS
+from tests.fixtures import row, sources
 
 ROWS = {
     "region": [(0, "R")],
@@ -85,3 +86,30 @@ def test_stored_rows_are_numbered_without_another_copy(spark, monkeypatch):
     assert written == ["numbered"]
     first, second = ({r["k"]: r["sk"] for r in n.collect()} for n in numbered)
     assert first == second and sorted(first.values()) == list(range(6, 1006))
+
+
+def test_rows_meet_only_exceptions_of_what_is_too_large_to_broadcast(spark, monkeypatch):
+    lines = [row("order_items", order_item_id=f"ITEM-{i // 2 if i < 4 else i}") for i in range(8)]
+    lines += [row("order_items", order_item_id=f"ODD-{p}", product_id=p) for p in ("PRD-X", "PRD-4", "")]
+    products = [row("products"), row("products", product_id="PRD-4", unit_cost="-1")]
+    raw = sources(spark, order_items=lines, products=products)
+    hits = lambda: sorted(tuple(r) for r in validate.tagged_table("order_items", raw).select("_raw_id", "_hits").collect())
+    expected = hits()
+    written = []
+    monkeypatch.setattr(lookups, "cut_lineage", lambda df, name: written.append(df.collect()) or cut_lineage(df, name))
+    monkeypatch.setattr(lookups, "BROADCAST_INPUT_LIMIT", -1)
+    monkeypatch.setattr(validate, "MANY_PER_PARENT", 0)
+    assert hits() == expected and sum(h != 0 for _, h in expected) == 5
+    assert {"ITEM-0", "ITEM-1"} in [{r[0] for r in rows} for rows in written]
+    assert {"PRD-X", "PRD-4", ""} in [{r[0] for r in rows} for rows in written]
+
+
+def test_parents_that_arrive_together_are_met_as_often(spark, monkeypatch):
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,), ("b",)], "k string")
+    parents = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
+    seen = lambda: sorted(map(str, validate.mark_known(df, "k", parents).collect()))
+    expected = seen()
+    monkeypatch.setattr(lookups, "BROADCAST_INPUT_LIMIT", -1)
+    assert seen() == expected
+    monkeypatch.setattr(validate, "MANY_PER_PARENT", 0)
+    assert seen() == expected and len(expected) == 7

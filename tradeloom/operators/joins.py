@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tradeloom.session import cut_lineage
+
 # Compressed input bytes a broadcast side may be built from.  Small enough that
 # the hash table stays a few hundred MB even at a tenfold in-memory blow-up.
 BROADCAST_INPUT_LIMIT = 16 * 1024 * 1024
@@ -37,3 +39,15 @@ def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> Da
     if size is not None and size <= BROADCAST_INPUT_LIMIT:
         right = F.broadcast(right)
     return left.join(right, on, how)
+
+
+def exceptions_join(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:
+    """``lookup_join`` to the few exceptions found among many rows.
+
+    How few there are no file says, so above the limit they are written and the
+    size of what was written decides: as a rule ``left`` is not moved then.
+    """
+    size = input_bytes(right)
+    if size is not None and size > BROADCAST_INPUT_LIMIT:
+        right = cut_lineage(right, "exceptions")
+    return lookup_join(left, right, on, how)

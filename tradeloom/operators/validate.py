@@ -16,13 +16,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tradeloom.contracts import OVERALL_RULE, QUALITY_THRESHOLD, SOURCE_SCHEMAS, SOURCE_TABLES
 from tradeloom.functions.parse import parse_date, parse_decimal
 from tradeloom.functions.text import norm_code, norm_text
-from tradeloom.operators.joins import lookup_join
+from tradeloom.operators import joins
+from tradeloom.operators.joins import exceptions_join, input_bytes, lookup_join
 from tradeloom.operators.rules import DUPLICATE, SPECS, TableSpec, known
 
 HITS = "_hits"
 MALFORMED_RULE = "malformed_record"
 #: How the rules are named that compare a record with others.
 MET_RULES = ("duplicate_", "orphan_")
+#: How many times a table's input must be its parent's for its distinct parent ids to count as few.
+MANY_PER_PARENT = 5
 #: Decimal places that numbers keep until amounts are rounded: with them a price times a quantity, and a discount on an
 #: amount, fit 38 digits exactly.
 WORKING_PLACES = 16
@@ -79,13 +82,37 @@ def mark_duplicates(df: DataFrame, spec: TableSpec) -> DataFrame:
         .drop("_n")
     )
     later = F.coalesce(F.col("_raw_id") > F.col("_first"), F.lit(False))
-    return lookup_join(df, repeated, list(spec.key), "left").withColumn(DUPLICATE, later).drop("_first")
+    return exceptions_join(df, repeated, list(spec.key)).withColumn(DUPLICATE, later).drop("_first")
 
 
 def mark_known(df: DataFrame, column: str, parent_keys: DataFrame) -> DataFrame:
-    """Left join to the valid parents' keys; the marker is NULL for an orphan."""
+    """Left join to the valid parents' keys; the marker is NULL for an orphan.
+
+    Where the parents are too many to broadcast but few beside the rows, the
+    rows' distinct ids are checked against them, and rows meet the exceptions only.
+    """
     keys = parent_keys.select(F.col(column), F.lit(True).alias(known(column)))
-    return lookup_join(df, keys, column, "left")
+    if not _few_parents(df, keys):
+        return lookup_join(df, keys, column, "left")
+    marker = F.col(known(column))
+    expected = F.col(column).isNotNull() & F.coalesce(marker, F.lit(True))
+    marked = exceptions_join(df, _exceptions(df, column, parent_keys), column)
+    return marked.withColumn(known(column), F.when(expected, F.lit(True)))
+
+
+def _few_parents(df: DataFrame, keys: DataFrame) -> bool:
+    rows, parents = input_bytes(df), input_bytes(keys)
+    if rows is None or parents is None:
+        return False
+    return parents > joins.BROADCAST_INPUT_LIMIT and parents * MANY_PER_PARENT <= rows
+
+
+def _exceptions(df: DataFrame, column: str, parent_keys: DataFrame) -> DataFrame:
+    """The ids in ``df`` that have not exactly one parent: marked false without one, else true, a row per parent."""
+    parents = parent_keys.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    met = df.select(column).distinct().join(parents, column, "left").where("_n IS NULL OR _n > 1")
+    marks = F.when(F.col("_n") > 1, F.array_repeat(F.lit(True), F.col("_n").cast("int")))
+    return met.select(column, F.explode(F.coalesce(marks, F.array(F.lit(False)))).alias(known(column)))
 
 
 def tag(spec: TableSpec, raw: DataFrame, parents: dict[str, DataFrame] | None = None) -> DataFrame:
