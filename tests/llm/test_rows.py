@@ -13,6 +13,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,6 +298,29 @@ def test_probabilities_sum_to_one_and_adapt(spark, monkeypatch):
     assert ppm.scored(docs(spark, []), F.lit(True)).count() == 0
 
 
+def test_shorter_grams_of_a_block_are_summed_once(monkeypatch):
+    calls, summed = [], ppm._summed
+    monkeypatch.setattr(ppm, "_summed", lambda keys, counts: calls.append(len(keys)) or summed(keys, counts))
+    texts = [b"abracadabra", None, b"a", b"the cadabra"]
+    rows = pa.table({"text": pa.array(texts, pa.binary()), "training": [True, True, False, True], "block": pa.array([0] * 4, pa.int32())})
+    sent = ppm._send(3, ppm.ORDER, False)(rows)
+    assert len(calls) == ppm.ORDER
+    own = sent.filter(pc.equal(sent.column("kind"), ppm.OWN))
+    lowered = [(t or b"") for t in texts]
+    keys, counts = ppm.count_contexts(lowered, ppm.SPLIT, np.array([1, 1, 0, 1]))
+    assert np.cumsum(ppm._unsqueezed(own.column("prints")[0].as_py())).tolist() == keys.tolist()
+    assert ppm._unsqueezed(own.column("counts")[0].as_py()).tolist() == counts.tolist()
+
+
+@pytest.mark.parametrize("buckets", [1, 5, 1 << 16, 70_000])
+def test_prints_are_dealt_in_order(buckets):
+    prints = np.arange(200_000, dtype=np.uint64) * np.uint64(977)
+    bucket = ppm.mix(prints) % np.uint64(buckets)
+    order, sizes = ppm._dealt(prints, buckets)
+    assert order.tolist() == np.argsort(bucket, kind="stable").tolist()
+    assert sizes.tolist() == np.bincount(bucket.astype(np.int64), minlength=buckets).tolist()
+
+
 @pytest.mark.parametrize("blocks", [1, 5])
 def test_trie_is_deep_and_spread_over_blocks(spark, monkeypatch, blocks):
     monkeypatch.setattr("tradeloom.llm.common.part_count", lambda df, size: blocks)

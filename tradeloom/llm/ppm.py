@@ -214,6 +214,8 @@ class Grams:
 
     A context of n bytes has n codes above 0, so longer ones are larger
     numbers, and the sorted grams are in order of length and context.
+    ``longest`` has what ``keys`` imply at the longest of the lengths, also
+    where a text has less before it, and the counts.
     """
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, order: int, lengths: range):
@@ -222,6 +224,8 @@ class Grams:
         for n in range(order, lengths.start - 1, -1):
             if n < order:
                 keys, counts = _summed((keys >> (8 + CODE)) << 8 | keys & 255, counts)
+            if n == lengths.stop - 1:
+                self.longest = keys, counts
             if n in lengths:
                 valid = (keys >> 8) & CODES > 0 if n else slice(None)
                 grams.insert(0, keys[valid])
@@ -307,11 +311,16 @@ def _texts(rows: pa.Table) -> tuple[list[bytes], np.ndarray]:
     return [(t or b"").translate(LOWER) for t in rows.column("text").cast(pa.binary()).to_pylist()], np.asarray(rows.column("training"))
 
 
+def _dealt(prints: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of prints by bucket, theirs within one, and how many each bucket has; 16-bit numbers are sorted by digits."""
+    bucket = (mix(prints) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+    return np.argsort(bucket, kind="stable"), np.bincount(bucket, minlength=buckets)
+
+
 def _homes(keys: np.ndarray, order: int, buckets: int) -> list[np.ndarray]:
     """Per bucket: the keys whose nearest ``SPLIT`` bytes are at home there, in order."""
-    nearest = (keys >> (8 + CODE * (order - SPLIT))).astype(np.uint64)
-    home = (mix(nearest) % np.uint64(buckets)).astype(np.uint32)
-    return np.split(np.argsort(home, kind="stable"), np.cumsum(np.bincount(home, minlength=buckets))[:-1])
+    dealt, sizes = _dealt((keys >> (8 + CODE * (order - SPLIT))).astype(np.uint64), buckets)
+    return np.split(dealt, np.cumsum(sizes)[:-1])
 
 
 def _squeezed(a: np.ndarray) -> bytes:
@@ -398,9 +407,8 @@ class Exchanged:
 
     def __init__(self, values: np.ndarray, buckets: int):
         self.values = values
-        bucket = (mix(values.astype(np.uint64)) % np.uint64(buckets)).astype(np.uint32)
-        self.order = np.argsort(bucket, kind="stable")
-        self.starts = np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=buckets))))
+        self.order, sizes = _dealt(values.astype(np.uint64), buckets)
+        self.starts = np.concatenate(([0], np.cumsum(sizes)))
 
     def send(self, block: int, counts: np.ndarray) -> pa.Table:
         """One row per bucket: the differences of its numbers, and the counts (one row or several), compressed."""
@@ -444,10 +452,9 @@ def _gram_totals(found: Grams, grams: Exchanged, answers: pa.Table) -> tuple[np.
     return doubled >> 1, doubled & 1
 
 
-def _own_grams(block: int, keys: np.ndarray, counts: np.ndarray, order: int) -> pa.Table:
+def _own_grams(block: int, found: Grams) -> pa.Table:
     """A block's grams of up to ``SPLIT`` context bytes, which come back to it with what the buckets answer."""
-    for _ in range(order - SPLIT):
-        keys, counts = _summed((keys >> (8 + CODE)) << 8 | keys & 255, counts)
+    keys, counts = found.longest
     return pa.table(
         {
             "bucket": pa.array([block], pa.int32()),
@@ -518,7 +525,7 @@ def _send(buckets: int, order: int, adaptive: bool):
             keys, counts = count_contexts(texts, order, training)
             found = Grams(keys, counts, order, range(min(order, SPLIT) + 1))
             sent[GRAMS] = Exchanged(found.grams, buckets).send(block, found.counts)
-            sent[OWN] = _own_grams(block, keys, counts, order)
+            sent[OWN] = _own_grams(block, found)
             if order > SPLIT:
                 sent[KEYS] = _send_keys(block, keys, counts, order, buckets)
         return pa.concat_tables([_of_kind(table, kind) for kind, table in sent.items()])
