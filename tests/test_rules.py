@@ -1,5 +1,7 @@
 """Every rule with a bad row next to a good one, precedence, counts and cascades."""
 
+import threading
+
 import pytest
 
 from tests.fixtures import row, sources, text_frame
@@ -224,3 +226,26 @@ def test_numbers_beyond_the_load_type_are_rejected(spark):
     tagged = validate.validate_all(raw)
     assert validate.valid_rows(tagged["products"]).count() == 0
     assert landing.staging_rows("products", validate.valid_rows(tagged["products"])).count() == 0
+
+
+def test_tables_are_tagged_side_by_side(spark):
+    together = threading.Barrier(sum(not spec.parents for spec in SPECS.values()))
+
+    def keep(name, df):
+        if not SPECS[name].parents:
+            together.wait(timeout=60)
+        return df
+
+    tagged = validate.validate_all(sources(spark), keep)
+    assert list(tagged) == list(C.SOURCE_TABLES)
+    assert {name: df.count() for name, df in tagged.items()} == {name: 1 for name in C.SOURCE_TABLES}
+
+
+def test_a_table_that_fails_ends_the_validation(spark):
+    def keep(name, df):
+        if name == "customers":
+            raise OSError("disk full")
+        return df
+
+    with pytest.raises(OSError, match="disk full"):
+        validate.validate_all(sources(spark), keep)

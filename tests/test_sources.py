@@ -2,6 +2,7 @@
 
 import pytest
 
+from tradeloom.sources import sample
 from tradeloom.sources.csv_scan import read_csv
 from tradeloom.sources.tables import Table
 
@@ -29,3 +30,14 @@ def test_kept_versions(spark, tmp_path):
     for _ in range(5):
         table.replace(spark.range(1))
     assert table._complete() == [3, 4, 5]
+
+
+def test_rows_of_a_small_file_are_dealt_to_all_cores(spark, tmp_path, monkeypatch):
+    rows = spark.range(1000).selectExpr("id p_partkey", "'p' p_name", "'b' p_brand", "'t' p_type", "1 p_size", "9.5D p_retailprice")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    products = lambda: sample.SampleSources(spark, str(tmp_path)).source("products", dirty=True)
+    dealt = products()
+    assert len({r[0] for r in dealt.selectExpr("spark_partition_id()").collect()}) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(sample, "DEALT_INPUT_LIMIT", 0)
+    assert products().rdd.getNumPartitions() == 1
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, products().collect()))

@@ -8,9 +8,11 @@ set, so each rule condition is evaluated once per record.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from concurrent.futures import Future, ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradeloom.contracts import OVERALL_RULE, QUALITY_THRESHOLD, SOURCE_SCHEMAS, SOURCE_TABLES
@@ -19,6 +21,7 @@ from tradeloom.functions.text import norm_code, norm_text
 from tradeloom.operators import joins
 from tradeloom.operators.joins import exceptions_join, input_bytes, lookup_join
 from tradeloom.operators.rules import DUPLICATE, SPECS, TableSpec, known
+from tradeloom.sources.sample import LazyFrames
 
 HITS = "_hits"
 MALFORMED_RULE = "malformed_record"
@@ -115,10 +118,11 @@ def _exceptions(df: DataFrame, column: str, parent_keys: DataFrame) -> DataFrame
     return met.select(column, F.explode(F.coalesce(marks, F.array(F.lit(False)))).alias(known(column)))
 
 
-def tag(spec: TableSpec, raw: DataFrame, parents: dict[str, DataFrame] | None = None) -> DataFrame:
+def tag(spec: TableSpec, raw: DataFrame, parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Normalised rows in working types plus the bit set of violated rules.
 
-    ``parents`` maps a parent table to a frame of its valid rows.
+    ``parents`` maps a parent table to a frame of its valid rows, and is asked
+    once the repeated keys are known.
     """
     rules = spec.rules()
     bits = [F.when(rule.hit, F.lit(1 << i)).otherwise(F.lit(0)) for i, rule in enumerate(rules)]
@@ -203,18 +207,23 @@ def rejected_rows(spec: TableSpec, tagged: DataFrame) -> DataFrame:
 
 
 def validate_all(
-    raw: dict[str, DataFrame],
+    raw: Mapping[str, DataFrame],
     keep: Callable[[str, DataFrame], DataFrame] = lambda _name, df: df,
 ) -> dict[str, DataFrame]:
     """Tag all tables; a parent's valid keys feed its children.
 
     ``keep`` lets a batch run write each tagged table once and go on from the
-    written copy instead of recomputing the cascade.
+    written copy instead of recomputing the cascade.  Tables are tagged side by
+    side, so that the jobs of small ones leave no core idle; a table waits for its
+    parents where it meets them.
     """
-    tagged: dict[str, DataFrame] = {}
-    for name in SOURCE_TABLES:
-        tagged[name] = keep(name, _tag_with_parents(name, raw, tagged))
-    return tagged
+    running: dict[str, Future[DataFrame]] = {}
+    tagged = LazyFrames(SOURCE_TABLES, lambda name: running[name].result())
+    inherit = inheritable_thread_target(raw[SOURCE_TABLES[0]].sparkSession)
+    with ThreadPoolExecutor(len(SOURCE_TABLES)) as pool:
+        for name in SOURCE_TABLES:
+            running[name] = pool.submit(inherit(lambda n: keep(n, _tag_with_parents(n, raw, tagged))), name)
+        return {name: tagged[name] for name in SOURCE_TABLES}
 
 
 def tagged_table(name: str, raw: dict[str, DataFrame]) -> DataFrame:
@@ -227,10 +236,10 @@ def tagged_table(name: str, raw: dict[str, DataFrame]) -> DataFrame:
 
 
 def _tag_with_parents(
-    name: str, raw: dict[str, DataFrame], tagged: dict[str, DataFrame]
+    name: str, raw: Mapping[str, DataFrame], tagged: Mapping[str, DataFrame]
 ) -> DataFrame:
     spec = SPECS[name]
-    parents = {parent: valid_rows(tagged[parent]) for parent in spec.parents.values()}
+    parents = LazyFrames(tuple(spec.parents.values()), lambda parent: valid_rows(tagged[parent]))
     return tag(spec, raw[name], parents)
 
 

@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     # A hot join key is split into several tasks even where that costs a shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A join one of whose sides comes in small parts looks up their rows and sorts neither side.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # A stage whose rules and parsers make a method that the JVM would only interpret runs in smaller ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }

@@ -22,7 +22,7 @@ from tradeloom.contracts import (
     SOURCE_TABLES,
     STORE_TYPES,
 )
-from tradeloom.operators.joins import lookup_join
+from tradeloom.operators.joins import input_bytes, lookup_join
 from tradeloom.session import cut_lineage
 
 TABLE_SCHEMAS = {
@@ -55,6 +55,8 @@ CHANNEL_BY_PRIORITY = {
     "4-NOT SPECIFIED": "PHYSICAL_STORE",
     "5-LOW": "WEBSITE",
 }
+#: Bytes of a file up to which it may be read by a few tasks only, so that its rows are dealt to all cores.
+DEALT_INPUT_LIMIT = 16 * 1024 * 1024
 STATUS_BY_FLAG = {"F": "DELIVERED", "O": "SHIPPED", "P": "PENDING"}
 
 
@@ -143,7 +145,7 @@ class SampleSources:
 
     def source(self, name: str, dirty: bool = False) -> DataFrame:
         """The same rows as text; the dirty variant adds defects and repeats."""
-        rows = self._rows(name, dirty)
+        rows = self._dealt(self._rows(name, dirty))
         text = {c: F.col(c).cast("string") for c in SOURCE_SCHEMAS[name]}
         if dirty:
             defects: Defects = getattr(self, f"_{name}_defects")()
@@ -160,6 +162,13 @@ class SampleSources:
                 text[column] = changed.otherwise(text[column])
         return rows.select("_raw_id", *[c.alias(n) for n, c in text.items()])
 
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows of a small file on all cores: one row group is one task, but its rows are costly to render and judge."""
+        size = input_bytes(rows)
+        if size is None or size > DEALT_INPUT_LIMIT:
+            return rows
+        return rows.repartition(self.spark.sparkContext.defaultParallelism, "_key")
+
     def staged_tables(self) -> LazyFrames:
         return LazyFrames(SOURCE_TABLES, self.staged)
 
