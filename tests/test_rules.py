@@ -1,13 +1,15 @@
 """Every rule with a bad row next to a good one, precedence, counts and cascades."""
 
+import re
 import threading
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.fixtures import row, sources, text_frame
 from tradeloom import contracts as C
 from tradeloom.contracts import OVERALL_RULE, RULE_REASONS
-from tradeloom.operators import landing, rejects, validate
+from tradeloom.operators import joins, landing, rejects, validate
 from tradeloom.operators.rules import SPECS
 
 # Table -> rule -> cells that break exactly that rule.
@@ -228,6 +230,41 @@ def test_numbers_beyond_the_load_type_are_rejected(spark):
     assert landing.staging_rows("products", validate.valid_rows(tagged["products"])).count() == 0
 
 
+@pytest.mark.parametrize(
+    "table, cell, inside, outside",
+    [("products", "selling_price", "9999999999.994", "9999999999.995"),
+     ("orders", "order_total", "999999999999.9949999", "999999999999.995"),
+     ("deliveries", "delivery_time_minutes", "1440.4", "2147483647.5"),
+     ("deliveries", "delivery_time_minutes", "1440", "-99999999999999999999")],
+)
+def test_load_types_end_where_rounding_leaves_them(spark, table, cell, inside, outside):
+    keys = [{SPECS[table].key[0]: f"K-{i}"} for i in (1, 2)]
+    rows = [row(table, **keys[0], **{cell: inside}), row(table, **keys[1], **{cell: outside})]
+    tagged = validate.tagged_table(table, sources(spark, **{table: rows}))
+    assert [r["_raw_id"] for r in validate.valid_rows(tagged).collect()] == [0]
+    assert validate.rejected_rows(SPECS[table], tagged).first()["failed_rule"] == f"invalid_{cell.removesuffix('_minutes')}"
+
+
+def test_arrivals_that_are_no_number_are_sorted_by_a_hash_first(spark, monkeypatch):
+    monkeypatch.setattr(joins, "cut_lineage", lambda df, name: df)
+    ids = ["ITEM-1", "ITEM-2", "ITEM-1", "ITEM-1", " ", "ITEM-2"]
+    raw = text_frame(spark, "order_items", [row("order_items", order_item_id=i) for i in ids])
+    raw = raw.withColumn("_raw_id", F.struct((9 - F.col("_raw_id")).alias("a"), F.col("_raw_id").cast("string").alias("b")))
+    marked = validate.mark_duplicates(validate.normalise(SPECS["order_items"], raw), SPECS["order_items"])
+    later = [int(r["_raw_id"]["b"]) for r in marked.where("_duplicate").collect()]
+    assert sorted(later) == [0, 1, 2] and "_hash" not in marked.columns and "_first" not in marked.columns
+    assert re.search(r"SortAggregate\(key=\[(_hash|_groupingexpression)#", marked._jdf.queryExecution().executedPlan().toString())
+
+
+def test_rare_date_spellings_leave_the_stage_small_enough_to_compile(spark):
+    """The step of one table that judges records is compiled as one stage."""
+    raw = sources(spark)
+    for table in ("orders", "payments"):
+        plan = validate.normalise(SPECS[table], raw[table])._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [int(plan.apply(i)._3().maxMethodCodeSize()) for i in range(plan.size())]
+        assert sizes and max(sizes) < int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
+
+
 def test_tables_are_tagged_side_by_side(spark):
     together = threading.Barrier(sum(not spec.parents for spec in SPECS.values()))
 

@@ -59,12 +59,19 @@ def parse_date(c: Column) -> Column:
     """Text to date, each value by its own format, month first when ambiguous.
 
     The branches are ordered from the common spelling to the rare one and each
-    is guarded, so a well-formed ISO value costs one match and one cast.
+    is guarded, so a well-formed ISO value costs one match and one cast.  All
+    others go through a lambda, whose body is not compiled into the caller's
+    stage: with it the stage's method outgrows what the JVM compiles.
     A weekday in front and a clock time behind are ignored; a month stands for
     its first day.  Relative words (``now``, ``today``) and clock-only values
     are not dates here.
     """
     plain = F.when(c.rlike(PLAIN_DATE_PATTERN), c.try_cast("date"))
+    return F.coalesce(plain, F.get(F.transform(F.array(c), _other_date), F.lit(0)))
+
+
+def _other_date(c: Column) -> Column:
+    """The date of a text that is not spelled ``yyyy-MM-dd``."""
     t = F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
     iso = F.when(t.rlike(ISO_DATE_PATTERN), t.try_cast("date"))
     compact = F.when(t.rlike(r"^[0-9]{8}([0-9]{6})?$"), F.try_to_date(F.substring(t, 1, 8), "yyyyMMdd"))
@@ -86,4 +93,4 @@ def parse_date(c: Column) -> Column:
         day.rlike(NAMED_DATE_PATTERN),
         F.coalesce(*[F.try_to_date(named, f) for f in NAMED_DATE_FORMATS]),
     )
-    return F.coalesce(plain, iso, compact, numeric, by_name)
+    return F.coalesce(iso, compact, numeric, by_name)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-#: What a text must hold before there can be anything to collapse or strip in it.
-UNTIDY_PATTERN = r"[^!-~]"
+#: Text in which there is nothing to collapse or strip: printable ASCII without blanks, matched in one pass from the start.
+TIDY_PATTERN = r"^[!-~]*\z"
 
 
 def norm_text(c: Column) -> Column:
@@ -16,7 +16,7 @@ def norm_text(c: Column) -> Column:
     Text of printable ASCII without blanks, as ids and codes are, needs neither.
     """
     t = F.coalesce(c.cast("string"), F.lit(""))
-    return F.when(t.rlike(UNTIDY_PATTERN), collapse_blanks(t)).otherwise(t)
+    return F.when(t.rlike(TIDY_PATTERN), t).otherwise(collapse_blanks(t))
 
 
 def collapse_blanks(t: Column) -> Column:

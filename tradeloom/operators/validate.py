@@ -10,10 +10,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping
 from concurrent.futures import Future, ThreadPoolExecutor
+from decimal import Decimal
 from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from tradeloom.contracts import OVERALL_RULE, QUALITY_THRESHOLD, SOURCE_SCHEMAS, SOURCE_TABLES
 from tradeloom.functions.parse import parse_date, parse_decimal
@@ -59,10 +61,18 @@ def working_type(load_type: str) -> str:
 def _working_types(spec: TableSpec) -> dict[str, Column]:
     """The parsed numbers in the types later steps compute with: the whole digits of the load type, ``WORKING_PLACES`` behind."""
     narrowed = {n: F.col(n).try_cast(working_type(SOURCE_SCHEMAS[spec.name][n])) for n in spec.numbers if n not in spec.integers}
-    narrowed.update({n: F.bround(F.col(n), 0).try_cast("int") for n in spec.integers})
+    # Of 18 digits, a whole number is a long and becomes an integer without a detour over a double.
+    narrowed.update({n: F.bround(F.col(n), 0).try_cast("decimal(18,0)").try_cast("int") for n in spec.integers})
     return narrowed
 
 
+def _beyond_load_type(column: str, load_type: str) -> Column:
+    """Whether a parsed number has more whole digits than its load type, once it is rounded half up to its places."""
+    precision, scale = map(int, re.findall(r"[0-9]+", load_type))
+    bound = F.lit(Decimal(10) ** (precision - scale) - Decimal(5).scaleb(-scale - 1))
+    return (F.col(column) >= bound) | (F.col(column) <= -bound)
+
+
 def typed(spec: TableSpec, raw: DataFrame) -> DataFrame:
     """Normalised rows in working types, without judging them."""
     return normalise(spec, raw).withColumns(_working_types(spec))
@@ -77,12 +87,15 @@ def mark_duplicates(df: DataFrame, spec: TableSpec) -> DataFrame:
     """
     dated = [F.col(k).isNotNull() for k in spec.key if k in spec.dates]
     usable = dated[0] if dated else F.col(spec.key[0]) != ""
+    # Arrivals that are no plain number are aggregated by sorting, which compares whole ids where their first
+    # eight bytes are alike; a hash in front of them tells them apart.
+    by_hash = [] if isinstance(df.schema["_raw_id"].dataType, IntegralType) else [F.hash(*spec.key).alias("_hash")]
     repeated = (
         df.filter(usable)
-        .groupBy(*spec.key)
+        .groupBy(*by_hash, *spec.key)
         .agg(F.min("_raw_id").alias("_first"), F.count("*").alias("_n"))
         .filter(F.col("_n") > 1)
-        .drop("_n")
+        .drop("_n", "_hash")
     )
     later = F.coalesce(F.col("_raw_id") > F.col("_first"), F.lit(False))
     return exceptions_join(df, repeated, list(spec.key)).withColumn(DUPLICATE, later).drop("_first")
@@ -130,10 +143,12 @@ def tag(spec: TableSpec, raw: DataFrame, parents: Mapping[str, DataFrame] | None
     # A number beyond the working type, or beyond the type its table is loaded with, cannot
     # be stored, so its record is bad: it counts against the rule that says it is invalid.
     names = [r.name for r in rules]
+    # What the load type holds fits the working type, and an integer is loaded as it is computed with.
     for n in (*spec.numbers, *spec.integers):
         rule = _range_rule(n, names)
-        loaded = F.col(n).try_cast(SOURCE_SCHEMAS[spec.name][n])
-        too_big = F.col(n).isNotNull() & (working[n].isNull() | loaded.isNull())
+        too_big = F.col(n).isNotNull() & working[n].isNull()
+        if n not in spec.integers:
+            too_big = _beyond_load_type(n, SOURCE_SCHEMAS[spec.name][n])
         bits[rule] = F.when(too_big, F.lit(1 << rule)).otherwise(bits[rule])
     # What a record decides by itself is judged before the joins, so that these move
     # one integer instead of all that the rules read.

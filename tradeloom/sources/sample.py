@@ -93,6 +93,12 @@ def _formatted(name: str, pattern: str) -> Column:
     return F.date_format(name, pattern)
 
 
+def _compact_day(name: str) -> Column:
+    """``yyyyMMdd``, from the date's numbers where the year has four digits."""
+    digits = (F.year(name) * 10000 + F.month(name) * 100 + F.dayofmonth(name)).cast("string")
+    return F.when(F.year(name).between(1000, 9999), digits).otherwise(_formatted(name, "yyyyMMdd"))
+
+
 @dataclass(frozen=True)
 class Defects:
     """Which rows arrive twice, and what replaces a column's text where."""
@@ -367,14 +373,14 @@ class SampleSources:
         cents = _cents(F.col("l_extendedprice"))
         # Unit price in cents, half up, in integer arithmetic.
         price = _from_cents(_whole(cents * 2 + quantity, quantity * 2))
-        shipped = F.date_format("l_shipdate", "yyyyMMdd")
+        shipped = _compact_day("l_shipdate")
         item = F.concat_ws("-", F.lit("ITEM"), order, line)
         if not short_ids:
             item = F.concat_ws("-", item, "l_partkey", "l_suppkey", cents, shipped)
         arrival = F.struct(
             "l_partkey", "l_suppkey", cents.alias("cents"), shipped.alias("shipped")
         )
-        return self.table("lineitem").select(
+        return self.table("lineitem").withColumn("l_shipdate", F.to_date("l_shipdate")).select(
             (order + line).alias("_key"),
             arrival.alias("_raw_id"),
             item.alias("order_item_id"),
