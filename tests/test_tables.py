@@ -1,11 +1,14 @@
 """Tables that change as a whole: monthly facts, snapshots, and keys over parts."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tradeloom.operators import keys
+from tradeloom.session import scratch
+from tradeloom.sources import tables
 from tradeloom.sources.tables import MonthlyTable, Snapshot
 
 
@@ -91,3 +94,60 @@ def test_keys_read_their_input_once(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("k")).withColumn("k", counted("k"))
     assert keys.dense_keys(df, "k", "sk", parts=7).count() == 100
     assert seen.value == 100
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_merge_leaves_the_table_only(spark, tmp_path, monkeypatch):
+    kept = tmp_path / "shared"
+    monkeypatch.setattr("tradeloom.session.shared_dir", lambda *_: str(kept))
+    table = MonthlyTable(spark, f"{tmp_path}/f", "k", "sk")
+    before = shuffle_files(spark)
+    for v in ("x", "y"):
+        table.merge(rows(spark, *[(f"k{i}", 19980101 + i, v) for i in range(20)], ("other" + v, 19990101, v)))
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)  # they are removed beside the driver's work
+    assert not shuffle_files(spark) - before
+    assert [f for _, _, names in os.walk(kept) for f in names if f.endswith(".parquet")] == []
+    assert len(state(table)) == 22
+
+
+def test_settings_of_a_step_end_with_it(spark):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    with pytest.raises(ValueError), scratch(spark) as write:
+        assert spark.conf.get(name) != before
+        stored = write(spark.range(3), "rows")
+        assert stored.count() == 3
+        raise ValueError
+    assert spark.conf.get(name) == before
+    with pytest.raises(Exception, match="(?i)not.*exist"):
+        stored.count()
+
+
+def test_months_are_moved_in_bounded_statements(spark, tmp_path, monkeypatch):
+    first = [(f"k{i}", 19980101 + 100 * (i % 6), "x") for i in range(60)]
+    # January is replaced whole, of February a part, k2 moves to another month, and some are new.
+    second = [(f"k{i}", 19980101, "y") for i in range(0, 60, 6)] + [("k1", 19980201, "y"), ("k2", 19980601, "y")]
+    second += [(f"new{i}", 19990101 + i, "y") for i in range(9)]
+    found = []
+    for most in (None, 4):
+        if most:
+            monkeypatch.setattr(tables, "STATEMENT_ROWS", 3 * most)
+            monkeypatch.setattr(tables, "TASK_ROWS", most)
+        table = MonthlyTable(spark, f"{tmp_path}/f{most}", "k", "sk")
+        table.merge(rows(spark, *first))
+        read = []
+        monkeypatch.setattr(table, "read", lambda months=None, t=table: read.append(months) or MonthlyTable.read(t, months))
+        assert table.merge(rows(spark, *second)) == 21
+        found.append(state(table))
+        whole = set().union(*read[2:-1])  # after the keys and the counts, before the result
+        assert whole == {199802, 199803, 199806}
+    assert found[0] == found[1] and len(found[0]) == 69
+    assert found[0]["k0"][1:] == (19980101, "y") and found[0]["k2"][1:] == (19980601, "y") and found[0]["k7"][1:] == (19980201, "x")
+    assert len(files(table)[199801]) > 1

@@ -25,9 +25,9 @@ from tradeloom.operators.monitoring import ledger_state
 from tradeloom.operators.payments import payment_by_order
 from tradeloom.operators.rules import SPECS
 from tradeloom.plans import filters, marts, measures, reports
-from tradeloom.session import configure, cut_lineage, work_dir
+from tradeloom.session import configure, cut_lineage, scratch, work_dir
 from tradeloom.sources.sample import LazyFrames, SampleSources
-from tradeloom.sources.tables import MonthlyTable
+from tradeloom.sources.tables import MonthlyTable, with_row_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -604,10 +604,11 @@ def merge_dim_customer(s: Sample) -> DataFrame:
 def _merge_fact(fact: DataFrame, key: str, surrogate: str, changed: str) -> DataFrame:
     """Two loads of a monthly table, overlapping in 1998-1999; the first one held another status."""
     spark = fact.sparkSession
-    fact = cut_lineage(fact)
     table = MonthlyTable(spark, f"{work_dir(spark)}/fact", key, surrogate)
-    table.merge(fact.filter(F.col("date_key") < 20000101).withColumn(changed, F.lit("EARLIER")), stored=True)
-    table.merge(fact.filter(F.col("date_key") >= 19980101), stored=True)
+    with scratch(spark) as write:
+        fact = write(with_row_ids(fact), "fact")
+        table.merge(fact.filter(F.col("date_key") < 20000101).withColumn(changed, F.lit("EARLIER")), stored=True)
+        table.merge(fact.filter(F.col("date_key") >= 19980101), stored=True)
     return table.read().drop("month")
 
 

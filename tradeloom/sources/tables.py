@@ -8,15 +8,22 @@ previous state in force, and no path is overwritten while it is being read.
 from __future__ import annotations
 
 import json
+import math
 import uuid
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradeloom.operators.keys import dense_keys
-from tradeloom.session import cut_lineage
+from tradeloom.session import PACKED, scratch
 
 PREFIX = "version-"
 KEPT_VERSIONS = 2
+#: Identifies an incoming row of a merge.
+ROW = "_row"
+#: Rows of a month that one task writes at most, and rows that one statement of a merge moves (or one month, if larger).
+TASK_ROWS, STATEMENT_ROWS = 500_000, 32_000_000
 
 
 def _path(spark: SparkSession, path: str):
@@ -154,6 +161,47 @@ class Snapshot:
                     fs.delete(status.getPath(), True)
 
 
+def with_row_ids(df: DataFrame) -> DataFrame:
+    """Rows with an id each, which holds once they are written."""
+    return df.withColumn(ROW, F.monotonically_increasing_id())
+
+
+@dataclass(frozen=True)
+class Places:
+    """The tasks that write some months: small months share one, a large month has several."""
+
+    months: dict[int, tuple[int, int]]  # first task and number of tasks
+    tasks: int
+
+    @classmethod
+    def of(cls, sizes: dict[int, int], cores: int) -> Places:
+        most = min(TASK_ROWS, max(TASK_ROWS // 10, math.ceil(sum(sizes.values()) / cores)))
+        months, task, room = {}, -1, 0
+        for month, n in sorted(sizes.items()):
+            if n > room:
+                task, room = task + 1, most
+            months[month] = (task, max(1, math.ceil(n / most)))
+            task += months[month][1] - 1
+            room -= n
+        return cls(months, task + 1)
+
+    def _placed(self, df: DataFrame, month: str, key: str) -> DataFrame:
+        """The rows of these months, each in the task that writes it."""
+        rows = [F.struct(*[F.lit(v).alias(n) for v, n in zip((m, *v), (month, "_first", "_tasks"))]) for m, v in self.months.items()]
+        tasks = df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+        place = F.col("_first") + F.pmod(F.xxhash64(key), F.col("_tasks")).cast("int")
+        met = df.join(F.broadcast(tasks), month).select(*df.columns, place.alias("_place"))
+        return met.repartitionById(self.tasks, "_place")
+
+    def met(self, left: DataFrame, right: DataFrame, month: str, key: str, how: str = "inner") -> DataFrame:
+        """Rows of these months met on ``key`` within their month, in one exchange of each, and left where they are written.
+
+        ``right`` is narrow, and a task's share of it is bounded, so it is looked up there.
+        """
+        left, right = self._placed(left, month, key), self._placed(right, month, key)
+        return left.join(right.hint("shuffle_hash"), ["_place", month, key], how).drop("_place")
+
+
 class MonthlyTable:
     """A keyed fact in folders by month, merged month by month.
 
@@ -188,46 +236,73 @@ class MonthlyTable:
     def merge(self, incoming: DataFrame, stored: bool = False) -> int:
         """Upsert rows unique on the key; new ones are numbered on from the highest key.  Returns the rows merged.
 
-        The incoming rows are written (unless they are ``stored`` already) and
-        met with the keys, surrogate keys and months of the table, three of its
-        columns.  Then only the months concerned are read whole, without the rows
-        that are replaced.  The months are a calendar's, so their list is short.
+        The incoming rows are written (unless they are ``stored`` already,
+        ``with_row_ids``).  Their keys, months and row ids alone are met with the
+        keys, surrogate keys and months of the table, and numbered.  Then each row
+        is moved once, to the task that writes its month, and gets its surrogate
+        key there.  Of the table only months that keep a row are read whole.  The
+        months are a calendar's, so their list is short.
         """
+        with scratch(self.spark) as write:
+            rows = incoming if stored else write(with_row_ids(incoming), "incoming")
+            return self._merge(rows.withColumn("month", F.floor(F.col(self.date_key) / 100).cast("int")), write)
+
+    def _merge(self, rows: DataFrame, write: Callable[[DataFrame, str], DataFrame]) -> int:
         state = self.manifest.last() or {"months": {}, "highest": 0}
-        month = F.floor(F.col(self.date_key) / 100).cast("int").alias("month")
-        rows = incoming.select("*", month)
-        known = self.read()
+        located, known = rows.select(self.key, "month", ROW), self.read()
         if known is None:
-            rows = rows if stored else cut_lineage(rows, "incoming")
-            located = rows.withColumns({self.surrogate: F.lit(None).cast("bigint"), "_was": F.lit(None).cast("int")})
+            located = located.withColumns({self.surrogate: F.lit(None).cast("bigint"), "_was": F.lit(None).cast("int")})
         else:
             index = known.select(self.key, self.surrogate, F.col("month").alias("_was"))
-            located = cut_lineage(rows.join(index, self.key, "left"), "located")
+            located = write(located.join(index, self.key, "left"), "located")
         new = F.col(self.surrogate).isNull()
-        found = located.agg(
-            F.collect_set("month").alias("to"), F.collect_set("_was").alias("was"), F.count("*").alias("n"), F.count_if(new).alias("new")
-        ).first()
-        if not found.n:
+        found = located.groupBy("month").agg(F.count("*").alias("n"), F.count_if(new).alias("new")).collect()
+        if not found:
             return 0
-        touched = {*found.to, *found.was}
-        columns = [self.surrogate, *incoming.columns, "month"]
-        changed = located.where(~new).select(columns)
-        if found.new:
-            fresh = located.where(new).drop(self.surrogate, "_was")
-            changed = changed.unionByName(dense_keys(fresh, self.key, self.surrogate, start=state["highest"], stored=True).select(columns))
-        kept = self.read(touched)
-        if kept is not None:
-            stay = kept.join(located.select(self.key), self.key, "left_anti")
-            changed = changed.unionByName(stay.select(columns))
+        sizes, added = {r.month: r.n for r in found}, sum(r.new for r in found)
+        if None in sizes:
+            raise ValueError(f"{self.date_key} is missing in {sizes[None]} rows")
+        keys = located.where(~new).select(ROW, "month", self.surrogate)
+        if added:
+            fresh = located.where(new).select(self.key, ROW, "month")
+            keys = keys.unionByName(
+                dense_keys(fresh, self.key, self.surrogate, start=state["highest"], columns=[ROW, "month"], write=write)
+            )
+        touched, kept = set(sizes), {}
+        if known is not None:
+            replaced = located.where("_was IS NOT NULL").groupBy("_was").agg(F.count_distinct(self.surrogate).alias("n"))
+            replaced = {r["_was"]: r.n for r in replaced.collect()}
+            touched |= set(replaced)
+            here = self.read(touched)
+            counts = {r.month: r["count"] for r in here.groupBy("month").count().collect()} if here is not None else {}
+            kept = {m: n for m, n in counts.items() if replaced.get(m) != n}
         load = uuid.uuid4().hex
-        # Rows of a month go together, a large month to several tasks.
-        changed.hint("rebalance", "month").write.partitionBy("month").parquet(f"{self.path}/rows/load={load}")
+        columns = [self.surrogate, *(c for c in rows.columns if c not in (ROW, "month")), "month"]
+        for places in self._statements({m: sizes.get(m, 0) + kept.get(m, 0) for m in {*sizes, *kept}}):
+            changed = places.met(rows, keys, "month", ROW).select(columns)
+            stay = self.read(set(kept) & set(places.months))
+            if stay is not None:
+                gone = located.select(F.col("_was").alias("month"), self.key, F.lit(True).alias("_gone"))
+                stay = places.met(stay, gone, "month", self.key, "left").where("_gone IS NULL")
+                changed = changed.unionByName(stay.select(columns))
+            changed.write.mode("append").options(**PACKED).partitionBy("month").parquet(f"{self.path}/rows/load={load}")
         written = {int(s.getPath().getName().removeprefix("month=")) for s in self._list(load) if s.isDirectory()}
         months = {m: own for m, own in state["months"].items() if int(m) not in touched}
         months |= {str(m): load for m in written}
-        self.manifest.put({"months": months, "highest": state["highest"] + found.new})
+        self.manifest.put({"months": months, "highest": state["highest"] + added})
         self._tidy({*months.values(), *state["months"].values()})
-        return found.n
+        return sum(sizes.values())
+
+    def _statements(self, sizes: dict[int, int]) -> Iterator[Places]:
+        """The months, by their rows, in groups that are moved together."""
+        cores = self.spark.sparkContext.defaultParallelism
+        group: dict[int, int] = {}
+        for month, n in sorted(sizes.items()):
+            if group and sum(group.values()) + n > STATEMENT_ROWS:
+                yield Places.of(group, cores)
+                group = {}
+            group[month] = n
+        yield Places.of(group, cores)
 
     def _list(self, load: str):
         fs, p = _path(self.spark, f"{self.path}/rows/load={load}")
